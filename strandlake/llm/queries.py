@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, linededup, packing
+from strandlake.llm import bpe, fingerprints, langid, linededup, neighbours, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,14 +26,32 @@ def op3_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), byte_bpe()))
 
 
+def op4_language_id_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op6_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), byte_bpe(), keep_ids=False).drop("ids")
 
 
+def op7_quality_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op9_improbable_feature_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_next(table(spark, sf_dir, "documents"))
+
+
+def op10_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
