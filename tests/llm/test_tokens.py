@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 MODEL = bpe.PrefixEncoder(PATH)
 ENCODER = MODEL.encoder()
-CACHED = packing.library_encoder(PATH)
+CACHED = packing.Encoder(PATH)
 
 ODD = ["", " ", "  a  ", "a \n b", "don't  stop\n\n  x", "é" * 40, "a" * 3000, "<|endoftext|>", "x  <|endoftext|>  y<|endoftext|>", "\x00\x1c\x85\xa0​  　z", "12 345,67 ½", "🙂🙂 🙂", "\r\n\t tab", " lead", "trail "]
 
