@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, fingerprints, jaccard, langid, linededup, neighbours, packing, quality, secrets
+from strandlake.llm import bpe, fingerprints, jaccard, langid, linededup, neighbours, packing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op4_language_id_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op5_pii_information_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op6_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), byte_bpe(), keep_ids=False).drop("ids")
 
