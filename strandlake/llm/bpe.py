@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -87,41 +88,49 @@ class PrefixEncoder:
                         return True
 
     def _fits(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= self.PAIR_LIMIT:
-                self.pairs.clear()
-            known = self.pairs[key] = self.compatible(a, b)
-        return known
+        if len(self.pairs) >= self.PAIR_LIMIT:
+            self.pairs.clear()
+        found = self.pairs[a << 20 | b] = self.compatible(a, b)
+        return found
 
     def piece(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
         last = [-1] * len(raw)
-        size, fits = self.size, self._fits
+        size, known, fits = self.size, self.pairs.get, self._fits
         for end, token in self.automaton.iter(raw.decode("latin-1")):
             if last[end] < 0:
                 before = end - size[token]
-                if before < 0 or fits(last[before], token):
+                if before < 0:
                     last[end] = token
+                else:
+                    a = last[before]
+                    fit = known(a << 20 | token)
+                    if fits(a, token) if fit is None else fit:
+                        last[end] = token
         out, at = [], len(raw) - 1
         while at >= 0:
             out.append(last[at])
             at -= size[last[at]]
         return out[::-1]
 
-    def chunks(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            yield np.array([i for p in self.pieces.findall(text) for i in self.piece(p.encode())], "<u4").tobytes()
+    def chunk(self, text: str) -> bytes:
+        return np.array([i for p in self.pieces.findall(text) for i in self.piece(p.encode())], "<u4").tobytes()
 
     def encoder(self) -> ChunkEncoder:
         (content, number), = self.special.items() or {None: 0}.items()
-        return ChunkEncoder(self.chunks, content, number)
+        return ChunkEncoder(self.chunk, content, number)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def loaded(tokenizer_path: str) -> tuple[PrefixEncoder, ChunkEncoder]:
+    """One model for all tasks of a Python worker."""
+    model = PrefixEncoder(tokenizer_path)
+    return model, model.encoder()
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit; null unless ``keep_ids``),
     ids_sha256, decoded_sha256 of the text decoded from the ids.
@@ -132,8 +141,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     prepare(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PrefixEncoder(tokenizer_path)
-        encoder = model.encoder()
+        model, encoder = loaded(tokenizer_path)
         for batch in batches:
             coded = encoder.encode(batch.column(1).to_pylist())
             back = [hashlib.sha256(model.decode(np.frombuffer(c, "<u4")).encode()).hexdigest() for c in coded]

@@ -7,8 +7,7 @@ may be cut there and its chunks encoded one by one. Repeated chunks are looked u
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
-from itertools import chain
+from collections.abc import Callable
 
 import numpy as np
 
@@ -21,36 +20,32 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
-class ChunkEncoder:
-    """encode_missing turns a list of distinct strings into their ids as little-endian unsigned 32-bit bytes.
+class Known(dict):
+    """Ids of chunks that follow a blank. It holds at most ``limit`` of them and starts anew beyond it."""
 
-    The dictionary holds at most ``limit`` chunks and starts anew beyond it, so memory is bounded."""
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[chunk] = self.make(" " + chunk)
+        return found
 
-    def __init__(self, encode_missing: Callable[[list[str]], Iterable[bytes]], special: str | None = None, special_id: int = 0, limit: int = 300_000):
-        self.encode_missing, self.special, self.limit = encode_missing, special, limit
-        self.special_bytes = np.uint32(special_id).tobytes()
-        self.known: dict[str, bytes] = {}
 
-    def _learn(self, wanted: set[str]) -> None:
-        new = [x for x in wanted if x not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(wanted)
-        self.known.update(zip(new, self._encode([" " + x for x in new]), strict=True))
+class ChunkEncoder:
+    """make turns a chunk into its ids as little-endian unsigned 32-bit bytes; the special string is one id."""
+
+    def __init__(self, make: Callable[[str], bytes], special: str | None = None, special_id: int = 0, limit: int = 600_000):
+        self.make, self.special = make, special
+        self.special_bytes = np.uint32(special_id).tobytes()
+        self.known = Known(make, limit)
 
-    def _encode(self, chunks: list[str]) -> Iterable[bytes]:
-        return chain.from_iterable(self.encode_missing(chunks[i : i + 4096]) for i in range(0, len(chunks), 4096))
+    def section(self, text: str) -> bytes:
+        parts = cut(text)
+        return self.make(parts[0]) + b"".join(map(self.known.__getitem__, parts[1:]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes; None counts as empty."""
-        sections = [(t or "").split(self.special) if self.special else [t or ""] for t in texts]
-        parts = [[cut(s) for s in doc] for doc in sections]
-        wanted: set[str] = set()
-        for doc in parts:
-            for p in doc:
-                wanted.update(p[1:])
-        self._learn(wanted)
-        heads = list({p[0] for doc in parts for p in doc})
-        head = dict(zip(heads, self._encode(heads), strict=True))
-        get = self.known.__getitem__
-        return [self.special_bytes.join(head[p[0]] + b"".join(map(get, p[1:])) for p in doc) for doc in parts]
+        return [self.special_bytes.join(map(self.section, t.split(self.special) if self.special else [t])) for t in (x or "" for x in texts)]
