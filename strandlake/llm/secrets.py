@@ -33,7 +33,10 @@ LENGTHS = (16, 20, 24, 32, 48)
 DIGITS, SMALL, LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SPAN = "array<struct<s:int,e:int,x:string>>"
-NONE = F.array().cast(SPAN)
+
+
+def none() -> Column:
+    return F.array().cast(SPAN)
 
 
 def located(text: Column, found: Column, pattern: str) -> Column:
@@ -46,7 +49,7 @@ def located(text: Column, found: Column, pattern: str) -> Column:
         e = s + F.length(y["x"])
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), y["x"].alias("x")))).alias("out")).cast(f"struct<at:int,out:{SPAN}>")
 
-    return F.when(F.size(found) > 0, F.aggregate(parts, start, add, lambda acc: acc["out"])).otherwise(NONE)
+    return F.when(F.size(found) > 0, F.aggregate(parts, start, add, lambda acc: acc["out"])).otherwise(none())
 
 
 def upper_tail(z: Column) -> Column:
@@ -169,9 +172,9 @@ def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> DataFr
     with_found = docs.withColumns({"__text": text, "__a": F.regexp_extract_all(text, F.lit(ASSIGN), 0), "__k": F.when(F.contains(text, F.lit("AKIA")), F.regexp_extract_all(text, F.lit(ACCESS), 0)).otherwise(F.array().cast("array<string>")), "__h": F.regexp_extract_all(text, F.lit(HEX), 0), "__t": F.regexp_extract_all(text, F.lit(TOKEN), 0)})
     body = F.col("__text")
     value = F.regexp_extract_all(body, F.lit(ASSIGN), 2)
-    assigned = F.when(F.size("__a") > 0, F.filter(F.zip_with(located(body, F.col("__a"), ASSIGN), value, lambda c, v: F.struct(c["s"].alias("s"), c["e"].alias("e"), v.alias("x"))), lambda c: F.length(c["x"]) >= LEAST_ASSIGNED)).otherwise(NONE)
+    assigned = F.when(F.size("__a") > 0, F.filter(F.zip_with(located(body, F.col("__a"), ASSIGN), value, lambda c, v: F.struct(c["s"].alias("s"), c["e"].alias("e"), v.alias("x"))), lambda c: F.length(c["x"]) >= LEAST_ASSIGNED)).otherwise(none())
     odd = F.exists("__t", lambda x: ~is_word(x) & ~x.rlike("^[0-9]+$"))
-    tokens = F.when(odd, F.filter(located(body, F.col("__t"), TOKEN), lambda c: ~is_word(c["x"]) & ~c["x"].rlike("^[0-9]+$"))).otherwise(NONE)
+    tokens = F.when(odd, F.filter(located(body, F.col("__t"), TOKEN), lambda c: ~is_word(c["x"]) & ~c["x"].rlike("^[0-9]+$"))).otherwise(none())
     limit = F.array(*[F.lit(float(x)) for x in limits])
     random = F.filter(battery(tokens), lambda c: c["p"] >= F.element_at(limit, length_class(c["n"]) + 1))
 
