@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.coords import format_ranges
 from strandlake.functions.indels import deletion_metrics, insertion_metrics, reported_insertion
-from strandlake.functions.iupac import amino_list, genome_id, translate_partial, variant_hash
+from strandlake.functions.iupac import amino_list, genome_id, variant_hash
 from strandlake.schema import CDS_STATES, names
 
 
@@ -117,5 +117,3 @@ def with_stop_extension(states: Column, due: Column, q_end: Column, stop_end: Co
     one = F.struct(F.lit("I").alias("op"), q_end.alias("q_start"), stop_end.alias("q_end"), cds_len.alias("c_start"), cds_len.alias("c_end"))
     return F.when(due & stop_end.isNotNull() & (F.size(states) > 0), F.concat(states, F.array(one))).otherwise(states).cast(CDS_STATES)
 
-
-__all__ = ["aligned", "genome_rows", "materialize_products", "product_rows", "spliced", "translate_partial", "with_stop_extension"]

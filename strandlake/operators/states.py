@@ -88,7 +88,7 @@ def condensed(states: Column) -> Column:
 
 def has_required_start(states: Column, nt: Column, required: Column) -> Column:
     """Whether the query's three bases at the start of the product are the required codon; U counts as T."""
-    first = F.try_element_at(states, F.lit(1))
+    first = F.get(states, F.lit(0))
     at_start = first["op"].isin("M", "I") & (first["c_start"] == 0)
     codon = F.translate(F.substr(nt, first["q_start"] + 1, F.lit(3)), "U", "T")
     return F.coalesce(required.isNull() | (at_start & (codon == required)), F.lit(False))
