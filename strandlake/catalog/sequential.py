@@ -44,7 +44,7 @@ s AS (SELECT CAST(c_custkey AS VARCHAR) AS query_id, substr(r, 1, CAST(a - 1 AS
 
 def annotate_genomes(spark: SparkSession, sf: str) -> DataFrame:
     """The whole plan: genome rows. With both ends repaired a genome is its query."""
-    done = annotate(prepare(mutated(spark, sf)), synthetic_module())
+    done = annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False)
     return done.tables()["gen_seq"].select("query_id", "genome_id", long("genome_length").alias("genome_length"))
 
 
@@ -53,15 +53,15 @@ SQL["annotate_genomes"] = _MUTATED + "SELECT query_id, sha1(nt) AS genome_id, le
 
 def annotate_products(spark: SparkSession, sf: str) -> DataFrame:
     """The whole plan: product rows."""
-    return annotate(prepare(mutated(spark, sf)), synthetic_module()).tables()["seq"]
+    return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["seq"]
 
 
 def annotate_insertions(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate(prepare(mutated(spark, sf)), synthetic_module()).tables()["ins"]
+    return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["ins"]
 
 
 def annotate_deletions(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate(prepare(mutated(spark, sf)), synthetic_module()).tables()["del"]
+    return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["del"]
 
 
 def align_best(spark: SparkSession, sf: str) -> DataFrame:

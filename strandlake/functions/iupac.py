@@ -54,19 +54,24 @@ def resolved() -> dict[str, str]:
 _RESOLVED = resolved()
 
 
+def resolved_by_letter() -> dict[str, str]:
+    """The ambiguous codons of each amino acid, joined by commas."""
+    out: dict[str, list[str]] = {}
+    for text, letter in _RESOLVED.items():
+        out.setdefault(letter, []).append(text)
+    return {letter: ",".join(texts) for letter, texts in sorted(out.items())}
+
+
 def amino(codon: Column, strict: bool = False) -> Column:
     """The letter of a codon of an aligned sequence: - for three gaps, . for padding (or padding and gaps), ~ for a
     partial codon, X where ambiguous (``strict``: wherever a base is)."""
     c = plain(codon)
     place = [F.instr(F.lit(BASES), F.substring(c, k, 1)) for k in (1, 2, 3)]
     sure = F.substr(F.lit(AMINO), 16 * (place[0] - 1) + 4 * (place[1] - 1) + place[2], F.lit(1))
-    by_letter: dict[str, list[str]] = {}
-    for text, letter in _RESOLVED.items():
-        by_letter.setdefault(letter, []).append(text)
     unsure = F.lit("X")
     if not strict:
-        for letter, texts in sorted(by_letter.items()):
-            unsure = F.when(F.instr(F.lit(",".join(texts)), c) > 0, F.lit(letter)).otherwise(unsure)
+        for letter, texts in resolved_by_letter().items():
+            unsure = F.when(F.instr(F.lit(texts), c) > 0, F.lit(letter)).otherwise(unsure)
     return (
         F.when(c.rlike("^[TCAG]{3}$"), sure)
         .when(c == "---", F.lit("-"))

@@ -99,12 +99,14 @@ def products_of(aligned: DataFrame, module: Module) -> DataFrame:
     return materialize_products(rows)
 
 
-def annotate(queries: DataFrame, module: Module) -> Annotation:
-    """queries: query_id, nt, ctype. The aligned rows are persisted (memory and disk), since several tables follow
-    from them and alignment is the costly step."""
+def annotate(queries: DataFrame, module: Module, keep: bool = True) -> Annotation:
+    """queries: query_id, nt, ctype. With ``keep`` the aligned rows are persisted (memory and disk), since several
+    tables follow from them and alignment is the costly step; without, for a single table, they are not."""
     spark = queries.sparkSession
     known = module.group_table(spark).select("ctype").distinct()
-    aligned = aligned_states(queries, module).persist(StorageLevel.MEMORY_AND_DISK)
+    aligned = aligned_states(queries, module)
+    if keep:
+        aligned = aligned.persist(StorageLevel.MEMORY_AND_DISK)
     good = aligned.filter(F.col("score").isNotNull())
     return Annotation(
         products_of(good, module),

@@ -151,10 +151,12 @@ def test_paths(tmp_path):
             check_paths("in", outputs)
 
 
-def test_sql_functions(spark):
+def test_sql_functions(spark, folder):
     from strandlake.sql import register
 
-    register(spark)
+    register(spark, load(folder, "mini"))
+    assert spark.sql("SELECT nt_translate('AUGYTA---.-.AT-AC') AS a, nt_translate('') AS b").first() == ("ML-.~~", "")
+    assert [tuple(r) for r in spark.sql(f"SELECT reference_id, cigar FROM nt_annotate('{REF}', 'T')").collect()] == [("R1", "18M")]
     row = spark.sql("SELECT nt_sanitize('ac-gt.u e*Z') AS a, revcomp('AACGRU') AS b, nt_align('AACGT', 'TTAACGTT', 5, 4, 10, 1) AS c").first()
     assert (row.a, row.b, row.c.cigar, row.c.r_start) == ("ACGTUNN", "AYCGTT", "5M", 2)
 
