@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()  # applications that have the package's files
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,8 +46,9 @@ def prepare(spark: SparkSession, batch_rows: int = 1000) -> None:
     PYTHONPATH lacks it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     home = str(PACKAGE.parent)
-    if home in os.environ.get("PYTHONPATH", "").split(":") or spark.conf.get("spark.strandlake.shipped", None):
+    application = spark.sparkContext.applicationId
+    if home in os.environ.get("PYTHONPATH", "").split(":") or application in _shipped:
         return
     made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), PACKAGE.name), "zip", home, PACKAGE.name)
     spark.sparkContext.addPyFile(made)
-    spark.conf.set("spark.strandlake.shipped", "true")
+    _shipped.add(application)
