@@ -10,8 +10,9 @@ A list may hold a large share of all groups, so its pairs are never made as they
 * equal sets are one class from the start;
 * each list first compares its members with one hub for each class of size, which takes as many pairs as the list
   has members; the links found make components;
-* then only pairs of different components are made, and of those only the ones that the distances to the hub allow
-  (one less the similarity is a metric), so the members of a large component don't meet each other again.
+* then, within a list, members of different components only are compared by counts of their tokens in ranges of the
+  hash space, which bound the overlap; only the few pairs that the bound leaves are made. Long lists are cut into
+  blocks, and each pair of blocks is a task's share.
 
 The result is exact but for collisions of 64-bit token hashes. Frequent tokens are those in at least
 ``frequent_share`` of all documents, so their number is bounded by the mean set size over that share; only they, and
@@ -22,10 +23,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.components import connected_components
@@ -35,6 +37,8 @@ from strandlake.llm.textbytes import shingle_sets, utf8
 LAST_ID = (1 << 63) - 1
 BITMAP = 1 << 24
 _BLOCK = 1 << 21
+#: Ranges of the coarse counts, rows of a block of a list, and the size of a set from which a count may not fit.
+COARSE, LIST_BLOCK, TOO_LARGE = 128, 1024, 1 << 21
 
 
 def least_overlap(total: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -64,10 +68,26 @@ def name_of(tokens: np.ndarray) -> bytes:
 
 def counts_of(tokens: np.ndarray) -> bytes:
     """How many tokens fall into each of a power of two of equal ranges, about a quarter of the set's size."""
-    bits = min(max(int(len(tokens) // 4).bit_length(), 4), 12)
+    bits = min(max(int(len(tokens) // 4).bit_length(), 7), 12)
     return np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u2").tobytes()
 
 
+def coarse_counts(tokens: np.ndarray) -> bytes:
+    """The same for COARSE ranges, in one byte each where that is enough, else in two."""
+    counts = np.minimum(np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=COARSE), 65535)
+    return counts.astype(np.uint8 if counts.max() < 256 else "<u2").tobytes()
+
+
+def coarse_table(rows: list[bytes]) -> np.ndarray:
+    out = np.empty((len(rows), COARSE), np.uint16)
+    small = np.array([len(r) == COARSE for r in rows], bool)
+    for dtype, which in ((np.uint8, small), ("<u2", ~small)):
+        at = np.flatnonzero(which)
+        if len(at):
+            out[at] = np.frombuffer(b"".join(rows[i] for i in at), dtype).reshape(len(at), COARSE)
+    return out
+
+
 def overlap_bound(a: bytes, b: bytes) -> int:
     """No overlap of the two sets is larger."""
     x, y = (np.frombuffer(c, "<u2").astype(np.int64) for c in (a, b))
@@ -114,7 +134,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int, words: int)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, met = shared.value, set()
         for batch in batches:
-            names, sizes, groups, counts, prefixes = [], [], [], [], []
+            names, sizes, groups, counts, coarse, prefixes = [], [], [], [], [], []
             for tokens in shingle_sets(*utf8(batch.column(1)), words):
                 n = len(tokens)
                 late = last[np.minimum(np.searchsorted(last, tokens), len(last) - 1)] == tokens if len(last) else np.zeros(n, bool)
@@ -125,13 +145,14 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int, words: int)
                 sizes.append(n)
                 groups.append(group)
                 counts.append(counts_of(tokens))
+                coarse.append(coarse_counts(tokens))
                 prefixes.append(prefix if n and group not in met else None)
                 met.add(group)
             some = column_of_sets([p if p is not None else np.empty(0, np.uint64) for p in prefixes])
-            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(groups, pa.int64()), pa.array(counts, pa.binary()), some]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sid", "n", "gid", "counts", "prefix"])
+            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(groups, pa.int64()), pa.array(counts, pa.binary()), pa.array(coarse, pa.binary()), some]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sid", "n", "gid", "counts", "coarse", "prefix"])
 
-    return docs.mapInArrow(work, "doc_id long, sid binary, n int, gid long, counts binary, prefix array<long>")
+    return docs.mapInArrow(work, "doc_id long, sid binary, n int, gid long, counts binary, coarse binary, prefix array<long>")
 
 
 def shared_lists(signed: DataFrame) -> DataFrame:
@@ -180,7 +201,7 @@ class Join:
         frequent = frequent_tokens(docs, frequent_share, words)
         self.signed = self.scratch.write(signatures(docs, frequent, percent, words), "signed")
         some = self.signed.filter(F.col("n") > 0)
-        self.classes = self.scratch.write(some.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
+        self.classes = self.scratch.write(some.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "classes")
         self.made = 0
 
     def lists(self) -> DataFrame:
@@ -245,29 +266,72 @@ class Join:
         self.scratch.drop(f"sets{k}")
         return out
 
+    def crossing(self, rows: DataFrame) -> DataFrame:
+        """(a, b): pairs of a list in different components that the coarse counts leave; a pair may come repeatedly."""
+        percent = self.percent
+        mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks")).filter("lo <> hi").select("token", "blocks")
+        own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+        cut = rows.join(mixed, "token").withColumn("own", own).join(self.classes.select("sid", "coarse"), "sid")
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cut = cut.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "sid", "n", "comp", "coarse")
+        dealt = cut.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+        def pairs_of(table: pa.Table, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rows of all pairs within each run of equal keys; between the two blocks only, where there are two."""
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+            size = np.diff(np.append(first, len(key)))
+            a, b = [], []
+            for m in np.unique(size[size > 1]).tolist():
+                x, y = np.triu_indices(m, 1)
+                at = first[size == m][:, None]
+                a.append((at + x).ravel())
+                b.append((at + y).ravel())
+            if not a:
+                return np.empty(0, int), np.empty(0, int)
+            a, b = np.concatenate(a), np.concatenate(b)
+            second, two = table["second"].to_numpy().astype(bool), key[:, 1] != key[:, 2]
+            n = table["n"].to_numpy().astype(np.int64)
+            comp = np.frombuffer(b"".join(table["comp"].to_pylist()), np.uint64).reshape(-1, 2)
+            keep = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & (comp[a] != comp[b]).any(axis=1) & (~two[a] | (second[a] != second[b]))
+            a, b = a[keep], b[keep]
+            coarse = coarse_table(table["coarse"].to_pylist())
+            open_ = np.zeros(len(a), bool)
+            for k in range(0, len(a), 16384):
+                x, y = a[k : k + 16384], b[k : k + 16384]
+                most = np.minimum(coarse[x], coarse[y]).sum(axis=1, dtype=np.int64)
+                open_[k : k + 16384] = (most >= least_overlap(n[x] + n[y], percent)) | (n[x] >= TOO_LARGE)
+            return a[open_], b[open_]
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None  # rows of the last key, which may go on in the next batch
+            for batch in chain(batches, [None]):
+                table = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+                if table is None or not table.num_rows:
+                    continue
+                table = table.combine_chunks()
+                key = np.stack([table[c].to_numpy() for c in ("token", "i", "j")], axis=1)
+                done = len(key) if batch is None else int(np.flatnonzero((key != key[-1]).any(axis=1)).max(initial=-1)) + 1
+                held = table.slice(done)
+                if done:
+                    whole = table.slice(0, done)
+                    a, b = pairs_of(whole, key[:done])
+                    if len(a):
+                        sid = whole["sid"].combine_chunks()
+                        x, y = sid.take(pa.array(a)), sid.take(pa.array(b))
+                        yield pa.RecordBatch.from_arrays([x, y], ["x", "y"])
+
+        found = dealt.mapInArrow(work, "x binary, y binary")
+        return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
     def links(self) -> DataFrame:
         """Links that connect all classes which any links connect."""
         lists = self.lists()
         stars = self.compare(lists.filter(F.col("sid") != F.col("hub")).select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct())
         labels = connected_components(stars.filter("link").select("a", "b"), self.scratch, "stars")
         labels = self.scratch.write(labels, "labels")
-        far = stars.groupBy(F.col("a").alias("hub"), F.col("b").alias("sid")).agg((1 - F.max("most")).alias("least"), F.max("link").alias("link"))
-        rows = lists.join(far, ["hub", "sid"], "left").join(labels.withColumnsRenamed({"node": "sid", "label": "comp"}), "sid", "left")
-        is_hub = F.col("sid") == F.col("hub")
-        rows = rows.select("token", "sid", "n", "hub", F.coalesce("comp", "sid").alias("comp"), F.when(is_hub, 0.0).otherwise(F.coalesce("least", F.lit(0.0))).alias("least"), F.when(is_hub, 0.0).when(F.col("link"), F.col("least")).otherwise(1.0).alias("most"))
+        rows = lists.drop("hub").join(labels.withColumnsRenamed({"node": "sid", "label": "comp"}), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
         rows = self.scratch.write(rows, "placed")
-        mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-        rows = self.scratch.write(rows.join(mixed, "token"), "mixed")
-        a, b = rows.alias("a"), rows.alias("b")
-        reach = 1 - self.percent / 100 + 1e-9
-
-        def kept_apart(x: str, y: str) -> Column:
-            return F.col(f"{x}.least") - F.col(f"{y}.most") > reach
-
-        allowed = (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid")) & (F.col("a.comp") != F.col("b.comp"))
-        allowed &= 100 * F.least("a.n", "b.n") >= self.percent * F.greatest("a.n", "b.n")
-        allowed &= ~((F.col("a.hub") == F.col("b.hub")) & (kept_apart("a", "b") | kept_apart("b", "a")))
-        crossed = self.compare(a.join(b, allowed).select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct())
+        crossed = self.compare(self.crossing(rows).distinct())
         return stars.filter("link").select("a", "b").unionByName(crossed.filter("link").select("a", "b"))
 
     def result(self) -> DataFrame:
