@@ -83,10 +83,10 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, probe_share: float = 0.65, sample: int = 20_000, block: int = 16, epsilon: float = 2.1, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, probe_share: float = 0.8, sample: int = 20_000, block: int = 16, epsilon: float = 2.5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest other rows of each query by cosine: query_id, rank, vec_id, score.
 
-    ``lists`` is the square root of the number of distinct vectors unless given, ``probe_share`` the share of lists
+    ``lists`` is a third of the square root of the number of distinct vectors unless given, ``probe_share`` the share of lists
     that a query probes (always enough to hold k + 1 ids), ``sample`` the bound of vectors that the index is fitted
     on. Vectors that are null, zero, or hold null or non-finite components take no part, nor do those without an id
     or of another size than the most frequent one. Repeated rows count once. Fewer than k others give them all; no
@@ -106,7 +106,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     n = classes.count()
     picked = classes.filter((F.shiftrightunsigned(F.xxhash64("c"), 11) / float(1 << 53)) < min(1.0, sample / n)).select("v").toArrow()["v"]
     points = np.array(picked.combine_chunks().flatten()).reshape(len(picked), -1) if len(picked) else np.array(classes.select("v").first()["v"])[None]
-    lists = max(1, min(lists or round(n**0.5), len(points)))
+    lists = max(1, min(lists or round(n**0.5 / 3), len(points)))
     shared = spark.sparkContext.broadcast(fit_index(points, lists))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
