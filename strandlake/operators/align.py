@@ -1,9 +1,9 @@
 """Local alignment with affine gaps, in Arrow batches.
 
 Rows of the score matrix are vectors over the reference. A gap of k bases costs ``gap_open + (k - 1) * gap_extend``.
-The whole matrix of directions is kept for one block of query rows at a time: with ``one_pass`` the block is the
-query, otherwise about the square root of its length, and each block is computed again from the scores saved at its
-top while the path is traced back, so memory grows with the reference only.
+With ``one_pass`` the directions of all cells are kept in a single pass, which is faster. Otherwise they are kept for a
+block of rows at a time, about the square root of the query's length, and each block is computed again from the
+scores saved at its top while the path is traced back, so memory stays small for long genomes.
 
 Ties: the first best cell in row-major order; a match before an insertion before a deletion.
 """
@@ -82,7 +82,8 @@ def align(query: str, reference: str, p: Penalties, one_pass: bool = True) -> Al
     block = n if one_pass else max(1, math.isqrt(n))
     saved = [(np.zeros(m, np.int32), np.full(m, _FAR, np.int32))]
     best, at = 0, (0, 0)
-    for i, (h, e) in enumerate(_rows(q, profile, p, *saved[0], None)):
+    trace, first = (np.zeros((n, m), np.uint8), 0) if one_pass else (np.empty((0, m), np.uint8), -1)
+    for i, (h, e) in enumerate(_rows(q, profile, p, *saved[0], trace if one_pass else None)):
         top = int(h.max())
         if top > best:
             best, at = top, (i, int(h.argmax()))
@@ -92,7 +93,6 @@ def align(query: str, reference: str, p: Penalties, one_pass: bool = True) -> Al
         return None
     i, j = at
     ops: list[str] = []
-    trace, first = np.empty((0, m), np.uint8), -1
     state = "M"
     while True:
         if i < 0 or j < 0:
