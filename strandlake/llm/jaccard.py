@@ -8,8 +8,8 @@ bound on the overlap leave is expanded to the members, whose whole sets are comp
 A list may hold a large share of all groups, so its pairs are never made as they stand:
 
 * equal sets are one class from the start;
-* each list first compares its members with one hub for each class of size, which takes as many pairs as the list
-  has members; the links found make components;
+* each list first compares its members with two hubs for each class of size, which takes at most twice as many pairs
+  as the list has members; the links found make components;
 * then, within a list, members of different components only are compared by counts of their tokens in ranges of the
   hash space, which bound the overlap; only the few pairs that the bound leaves are made. Long lists are cut into
   blocks, and each pair of blocks is a task's share.
@@ -204,17 +204,18 @@ class Join:
         self.classes = self.scratch.write(some.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "classes")
         self.made = 0
 
-    def lists(self) -> DataFrame:
-        """(token, sid, n, hub): the lists expanded to the members of their groups. A group of several classes is a
-        list of its own. The hub is the smallest member of its class of size."""
+    def lists(self) -> tuple[DataFrame, DataFrame]:
+        """(token, sid, n): the lists expanded to the members of their groups; a group of several classes is a list of
+        its own. And (sid, hub): two hubs for each member of each list. The hubs are the members of a class of size with the least and the greatest
+        name; names are hashes, so lists that share members mostly share hubs."""
         members = self.classes.select("gid", "sid", "n")
         met = shared_lists(self.signed).join(members, "gid").select("token", "sid", "n")
         several = members.groupBy("gid").count().filter(F.col("count") > 1).select("gid")
         own = members.join(several, "gid").select(F.col("gid").alias("token"), "sid", "n")
         band = F.floor(F.log(F.col("n")) / float(np.log(100 / self.percent)))
         every = self.scratch.write(met.unionByName(own).withColumn("band", band), "lists")
-        hubs = every.groupBy("token", "band").agg(F.min(F.struct("n", "sid")).alias("h")).select("token", "band", F.col("h.sid").alias("hub"))
-        return self.scratch.write(every.join(hubs, ["token", "band"]).drop("band"), "hubbed")
+        hubs = every.groupBy("token", "band").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+        return every, every.join(hubs, ["token", "band"]).select("sid", F.explode(F.array("lo", "hi")).alias("hub"))
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """(a, b, most, link): for distinct pairs of classes the similarity or, where that is too low to link, a
@@ -325,11 +326,11 @@ class Join:
 
     def links(self) -> DataFrame:
         """Links that connect all classes which any links connect."""
-        lists = self.lists()
-        stars = self.compare(lists.filter(F.col("sid") != F.col("hub")).select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct())
+        lists, hubs = self.lists()
+        stars = self.compare(hubs.filter(F.col("sid") != F.col("hub")).select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct())
         labels = connected_components(stars.filter("link").select("a", "b"), self.scratch, "stars")
         labels = self.scratch.write(labels, "labels")
-        rows = lists.drop("hub").join(labels.withColumnsRenamed({"node": "sid", "label": "comp"}), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+        rows = lists.drop("band").join(labels.withColumnsRenamed({"node": "sid", "label": "comp"}), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
         rows = self.scratch.write(rows, "placed")
         crossed = self.compare(self.crossing(rows).distinct())
         return stars.filter("link").select("a", "b").unionByName(crossed.filter("link").select("a", "b"))
