@@ -8,8 +8,9 @@ p-values; a token that isn't rejected looks random.
 Short tokens of ordinary text are often not rejected either. So the threshold depends on the length: the corpus's
 own long words, which are letters only, say how often ordinary tokens of at most that length pass a threshold, and
 the lowest threshold is taken at which the passes expected from ordinary tokens are at most ``false_share`` of all
-(how many tokens are ordinary is estimated from those far below any threshold).
-Everything happens within the row; only a histogram of fixed size is aggregated.
+(how many tokens are ordinary is estimated from those far below any threshold). Each distinct token counts once,
+so copies of a document or a line common to a source don't move the thresholds.
+Scans happen within the row; for the thresholds, hashes of the distinct long tokens are shuffled.
 """
 
 from __future__ import annotations
@@ -149,7 +150,10 @@ def thresholds(docs: DataFrame, false_share: float = 0.05, text_col: str = "text
     spans = F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), x.alias("x")))
     tested = docs.select(F.explode(battery(spans)).alias("c"))
     step = sum(((F.col("c.p") < x).cast("int") for x in LADDER), F.lit(0))
-    counts = tested.groupBy(length_class(F.col("c.n")).alias("length"), is_word(F.col("c.x")).alias("word"), step.alias("step")).count().collect()
+    by = {"length": length_class(F.col("c.n")), "word": is_word(F.col("c.x")), "step": step}
+    # by hash, so rows of fixed size are shuffled; the others depend on the token only
+    distinct = tested.select(F.xxhash64("c.x").alias("h"), *[v.alias(k) for k, v in by.items()]).distinct()
+    counts = distinct.groupBy(*by).count().collect()
     out = []
     for length in range(len(LENGTHS)):
         words = [sum(r["count"] for r in counts if r["word"] and r["length"] <= length and r["step"] <= s) for s in range(len(LADDER) + 1)]

@@ -58,6 +58,19 @@ def test_base_spans_and_random_tokens(spark):
     assert not any(re.fullmatch("[a-z]+", x) for x in found)
 
 
+def test_copies_of_a_token_do_not_move_thresholds(spark):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = corpus() + [(2000 + i, "key " + random_token(rng, letters, 28)) for i in range(30)]
+
+    def limits(common, share):
+        return thresholds(spark.createDataFrame([(d, f"{t or ''} {common}" if i % share == 0 else t) for i, (d, t) in enumerate(rows)], "doc_id long, text string"))
+
+    for common in ("all-rights-reserved-worldwide", "terms-and-conditions", "thingheatreationonce"):
+        assert limits(common, 3) == limits(common, len(rows)), common
+    assert limits("all-rights-reserved-worldwide", 3)[2] in LADDER
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "a é password=abcdefabcdefabcdef b AKIAABCDEFGHIJKLMN", 5), (2, None, 5), (3, "clean", 5)], "doc_id long, text string, n_chars int")
     got = {r.doc_id: r.text for r in redact(df, [2.0] * 5).collect()}
