@@ -1,14 +1,16 @@
 """Secret scans in DataFrame functions only: fixed patterns, and a battery of randomness tests.
 
-The battery looks at long tokens. Each gets the smallest encoding that fits it (hex, base32, letters and digits,
-base64). Three tests then ask whether its characters look like uniform draws from that alphabet: chi-squared of the
+The battery looks at long tokens. Each gets the smallest encoding that fits it (letters, hex, base32, letters and
+digits, base64); digits alone are of the kind hex whatever they look like. Three tests then ask whether its characters look like uniform draws from that alphabet: chi-squared of the
 counts, runs above and below the middle of the alphabet, and serial correlation. Fisher's method joins their
 p-values; a token that isn't rejected looks random.
 
 Short tokens of ordinary text are often not rejected either. So the threshold depends on the length: the corpus's
 own long words, which are letters only, say how often ordinary tokens of at most that length pass a threshold, and
 the lowest threshold is taken at which the passes expected from ordinary tokens are at most ``false_share`` of all
-(how many tokens are ordinary is estimated from those far below any threshold). Each distinct token counts once,
+(how many tokens are ordinary is estimated from those far below any threshold). Tokens of letters only, which may be
+words or secrets, have thresholds of their own, for which shorter words (from ``LEAST_WORD`` letters), which pass
+oftener than longer ones, stand for ordinary ones. Each distinct token counts once,
 so copies of a document or a line common to a source don't move the thresholds.
 Scans happen within the row; for the thresholds, hashes of the distinct long tokens are shuffled.
 """
@@ -31,6 +33,7 @@ TOKEN = "[A-Za-z0-9+/_-]{16,}"
 #: Steps of the threshold, and the shortest length of each length class.
 LADDER = (0.5, 0.3, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002, 0.001)
 LENGTHS = (16, 20, 24, 32, 48)
+LEAST_WORD = 12
 DIGITS, SMALL, LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SPAN = "array<struct<s:int,e:int,x:string>>"
@@ -145,28 +148,30 @@ def length_class(n: Column) -> Column:
 
 
 def thresholds(docs: DataFrame, false_share: float = 0.05, text_col: str = "text") -> list[float]:
-    """The threshold of each length class; 2 where none is low enough."""
-    found = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN), 0)
+    """The threshold of each length class, then those of tokens of letters only; 2 where none is low enough."""
+    found = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN.replace("16", str(LEAST_WORD))), 0)
+    found = F.filter(F.array_distinct(found), lambda x: (F.length(x) >= LENGTHS[0]) | is_word(x))
     spans = F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), x.alias("x")))
     tested = docs.select(F.explode(battery(spans)).alias("c"))
     step = sum(((F.col("c.p") < x).cast("int") for x in LADDER), F.lit(0))
-    by = {"length": length_class(F.col("c.n")), "word": is_word(F.col("c.x")), "step": step}
+    by = {"length": F.when(F.col("c.n") < LENGTHS[0], -1).otherwise(length_class(F.col("c.n"))), "word": is_word(F.col("c.x")), "step": step}
     # by hash, so rows of fixed size are shuffled; the others depend on the token only
     distinct = tested.select(F.xxhash64("c.x").alias("h"), *[v.alias(k) for k, v in by.items()]).distinct()
     counts = distinct.groupBy(*by).count().collect()
-    out = []
-    for length in range(len(LENGTHS)):
-        words = [sum(r["count"] for r in counts if r["word"] and r["length"] <= length and r["step"] <= s) for s in range(len(LADDER) + 1)]
-        others = [sum(r["count"] for r in counts if not r["word"] and r["length"] == length and r["step"] <= s) for s in range(len(LADDER) + 1)]
+
+    def passing(word: bool, least: int, most: int) -> list[int]:
+        """How many are at most at each step; the last are all."""
+        return [sum(r["count"] for r in counts if r["word"] == word and least <= r["length"] <= most and r["step"] <= k) for k in range(len(LADDER) + 1)]
+
+    def chosen(words: list[int], others: list[int], least: int) -> float:
         # Storey's estimate of how many are ordinary: random tokens are seldom below the last step, words often
-        rejected = (1 + words[-1] - words[-2]) / (1 + words[-1])
-        ordinary = min(others[-1], (1 + others[-1] - others[-2]) / rejected)
-        chosen = 2.0
-        for s, x in enumerate(LADDER):
-            if others[s] and (1 + words[s]) / (1 + words[-1]) * ordinary <= false_share * others[s]:
-                chosen = x
-        out.append(chosen)
-    return out
+        rejected = (least + words[-1] - words[-2]) / (1 + words[-1])
+        ordinary = min(others[-1], (1 + others[-1] - others[-2]) / rejected) if rejected else others[-1]
+        low = [x for k, x in enumerate(LADDER) if others[k] and (1 + words[k]) / (1 + words[-1]) * ordinary <= false_share * others[k]]
+        return min(low, default=2.0)
+
+    classes = range(len(LENGTHS))
+    return [chosen(passing(True, 0, k), passing(False, k, k), 1) for k in classes] + [chosen(passing(True, -1, k - 1), passing(True, k, k), 0) for k in classes]
 
 
 def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> DataFrame:
@@ -177,10 +182,17 @@ def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> DataFr
     body = F.col("__text")
     value = F.regexp_extract_all(body, F.lit(ASSIGN), 2)
     assigned = F.when(F.size("__a") > 0, F.filter(F.zip_with(located(body, F.col("__a"), ASSIGN), value, lambda c, v: F.struct(c["s"].alias("s"), c["e"].alias("e"), v.alias("x"))), lambda c: F.length(c["x"]) >= LEAST_ASSIGNED)).otherwise(none())
-    odd = F.exists("__t", lambda x: ~is_word(x) & ~x.rlike("^[0-9]+$"))
-    tokens = F.when(odd, F.filter(located(body, F.col("__t"), TOKEN), lambda c: ~is_word(c["x"]) & ~c["x"].rlike("^[0-9]+$"))).otherwise(none())
+    limits = [*limits, *[2.0] * (2 * len(LENGTHS) - len(limits))]
     limit = F.array(*[F.lit(float(x)) for x in limits])
-    random = F.filter(battery(tokens), lambda c: c["p"] >= F.element_at(limit, length_class(c["n"]) + 1))
+
+    def bound(x: Column) -> Column:
+        return F.element_at(limit, length_class(F.length(x)) + F.when(is_word(x), 1 + len(LENGTHS)).otherwise(1))
+
+    def tested(x: Column) -> Column:
+        return (bound(x) <= 1) & ~x.rlike("^[0-9]+$")
+
+    tokens = F.when(F.exists("__t", tested), F.filter(located(body, F.col("__t"), TOKEN), lambda c: tested(c["x"]))).otherwise(none())
+    random = F.filter(battery(tokens), lambda c: c["p"] >= bound(c["x"]))
 
     def named(spans: Column, o: int) -> Column:
         return F.transform(spans, lambda c: F.struct(c["s"].alias("s"), F.lit(o).alias("o"), F.lit(KINDS[o]).alias("kind"), c["e"].alias("e")))

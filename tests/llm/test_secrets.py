@@ -71,6 +71,26 @@ def test_copies_of_a_token_do_not_move_thresholds(spark):
     assert limits("all-rights-reserved-worldwide", 3)[2] in LADDER
 
 
+def test_secrets_of_letters_only(spark):
+    rng = random.Random(8)
+    words = ["the", "thing", "ention", "ation", "er", "and", "heat", "once", "in", "reation"]
+    planted = [random_token(rng, letters, 40) for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60)]
+    plain = [(i, " ".join("".join(rng.choice(words) for _ in range(rng.choice([1, 2, 3, 4, 5, 6]))) for _ in range(60)), None) for i in range(300)]
+    rows = plain + [(1000 + i, f"{plain[i][1]} {x} end", x) for i, x in enumerate(planted)] + [(2000, "pin 8401735529160476 end", None)]
+
+    def found(rows):
+        df = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+        text = {d: t for d, t, _ in rows}
+        got = [(r.doc_id, *x.split(":")) for r in find_secrets(df).collect() for x in r.spans.split(",") if x]
+        return [(kind, text[d][int(s) : int(e)]) for d, kind, s, e in got]
+
+    got = [x for kind, x in found(rows) if kind == "random"]
+    assert len(set(got) & set(planted)) >= 0.6 * len(planted)
+    assert len(set(got) - set(planted)) <= 0.1 * len(got)
+    # digits alone are of a base kind; without secrets no word is one
+    assert ("hex", "8401735529160476") in found(rows[-1:]) and found(plain) == []
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "a é password=abcdefabcdefabcdef b AKIAABCDEFGHIJKLMN", 5), (2, None, 5), (3, "clean", 5)], "doc_id long, text string, n_chars int")
     got = {r.doc_id: r.text for r in redact(df, [2.0] * 5).collect()}
