@@ -1,10 +1,14 @@
 """Improbable-feature digests of texts, in chained Bloom filters.
 
 A feature is a window of 64 bytes. Its rank is how rare the entropy of its bytes is among all windows of the
-corpus; long runs of few bytes are left out. In each stretch of 64 consecutive windows the rarest one
-(leftmost on ties) gains a point; windows with enough points are selected. Their hashes go into Bloom filters of 256
-bytes, a new one after every 160 features. Two digests are compared filter by filter: the bits they share, less
-those shared by chance, over the most they could share.
+corpus; long runs of few bytes are left out. In each stretch of 64 consecutive windows, shorter at the ends of a
+text, the rarest one (leftmost on ties) gains a point; windows with enough points are selected. Their hashes go into
+Bloom filters of 256 bytes, a new one after every 160 features; a last filter less than half full is merged into the
+one before. Two digests are compared filter by filter: the bits they share, less those the best of the other's
+filters shares by chance, over the most they could share. A filter too sparse to tell the two apart shares nothing.
+
+Half of a text under 512 bytes keeps few such windows, so these texts also have filters of all their windows of 8
+bytes (zeros stand before the text, so the first ones are its beginnings), by which two of them are compared.
 """
 
 from __future__ import annotations
@@ -25,11 +29,14 @@ from strandlake.llm.textbytes import chunks, mix64, powers, utf8
 WINDOW, POINTS = 64, 16
 CLASSES = 1024
 FILTER_BYTES, FILTER_FEATURES, HASHES = 256, 160, 5
+#: Texts of fewer bytes are compared by small windows; a comparison needs room of so many standard deviations.
+SHORT, SMALL_WINDOW, ROOM = 512, 8, 4
 
 _C_LOG_C = np.zeros(WINDOW + 2, np.int32)
 _C_LOG_C[1:] = np.round(1024 * np.arange(1, WINDOW + 2) * np.log2(np.arange(1, WINDOW + 2))).astype(np.int32)
 _TOP = int(_C_LOG_C[WINDOW])
 _HASH = powers(np.uint64(0x9E3779B97F4A7C15), WINDOW)
+_SMALL_HASH = powers(np.uint64(0xD6E8FEB86659FD93), SMALL_WINDOW)
 
 
 def entropy_classes(raw: np.ndarray) -> np.ndarray:
@@ -94,12 +101,13 @@ def selected(raw: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     valid = in_one_text(n, at, WINDOW)
     worst = np.int64(1 << 20)
     least = np.where(valid, ranks[classes], worst) << np.int64(32) | np.arange(n, dtype=np.int64)
+    # WINDOW - 1 invalid windows part two texts, and here the ends, so no stretch has valid ones of two texts
+    least = np.pad(least, WINDOW - 1, constant_values=worst << np.int64(32))
     width = 1
     while width < WINDOW:
-        least = np.minimum(least[:-width], least[width:]) if len(least) > width else least[:0]
+        least = np.minimum(least[:-width], least[width:])
         width *= 2
-    stretch = in_one_text(len(least), at, 2 * WINDOW - 1) if len(least) else np.empty(0, bool)
-    points = np.bincount(least[stretch] & np.int64(0xFFFFFFFF), minlength=n)[:n]
+    points = np.bincount(least[least < worst << np.int64(32)] & np.int64(0xFFFFFFFF), minlength=n)[:n]
     chosen = points >= POINTS
     chosen &= valid & (ranks[classes] < CLASSES)
     return np.flatnonzero(chosen)
@@ -112,16 +120,27 @@ def window_hashes(raw: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-class Digest:
-    """Filters of one text, packed bits, and the number of set bits of each."""
+def small_window_hashes(text: np.ndarray) -> np.ndarray:
+    padded = np.concatenate((np.zeros(SMALL_WINDOW - 1, np.uint64), text.astype(np.uint64) + np.uint64(1)))
+    out = np.zeros(len(text), np.uint64)
+    for k in range(SMALL_WINDOW):
+        out += padded[k : k + len(text)] * _SMALL_HASH[k]
+    return mix64(out)
+
+
+class Filters:
+    """Chained filters, packed bits, and the number of set bits of each."""
 
     __slots__ = ("bits", "ones", "features")
 
     def __init__(self, hashes: np.ndarray):
         self.features = len(hashes)
         made = []
-        for lo in range(0, len(hashes), FILTER_FEATURES):
-            part = hashes[lo : lo + FILTER_FEATURES]
+        starts = list(range(0, len(hashes), FILTER_FEATURES))
+        if len(starts) > 1 and len(hashes) - starts[-1] < FILTER_FEATURES // 2:
+            starts.pop()
+        for lo, hi in zip(starts, [*starts[1:], len(hashes)], strict=False):
+            part = hashes[lo:hi]
             flags = np.zeros(FILTER_BYTES * 8, np.uint8)
             for k in range(HASHES):
                 flags[((part >> np.uint64(11 * k)) & np.uint64(2047)).astype(np.int64)] = 1
@@ -130,22 +149,42 @@ class Digest:
         self.ones = np.bitwise_count(self.bits).sum(1).astype(float)
 
     def text(self) -> str:
-        return f"{self.features}:{base64.b64encode(self.bits.tobytes()).decode()}" if self.features else ""
+        return f"{self.features}:{base64.b64encode(self.bits.tobytes()).decode()}"
 
-    def likeness(self, other: Digest) -> float:
+    def likeness(self, other: Filters) -> float:
         if not self.features or not other.features:
             return float(self.features == other.features)
         a, b = (self, other) if len(self.ones) <= len(other.ones) else (other, self)
         size = FILTER_BYTES * 8
+        best = math.sqrt(2 * math.log(len(b.ones)))  # standard deviations that the best of so many is above the mean
         total = 0.0
         for bits, ones in zip(a.bits, a.ones, strict=True):
             shared = np.bitwise_count(bits & b.bits).sum(1)
             most = np.minimum(ones, b.ones)
-            chance = ones * b.ones / size
-            total += float(np.clip((shared - chance) / np.maximum(most - chance, 1e-9), 0, 1).max())
+            spread = np.sqrt(ones * b.ones / size * (1 - b.ones / size) * (1 - ones / size))
+            chance = ones * b.ones / size + best * spread
+            room = most - chance
+            total += float(np.where(room >= ROOM * spread, np.clip((shared - chance) / np.maximum(room, 1e-9), 0, 1), 0).max())
         return total / len(a.ones)
 
 
+class Digest:
+    """Filters of one text; ``small`` are those of a short one."""
+
+    __slots__ = ("large", "small")
+
+    def __init__(self, large: np.ndarray, small: np.ndarray | None):
+        self.large, self.small = Filters(large), None if small is None else Filters(small)
+
+    def text(self) -> str:
+        return ";".join(f.text() for f in (self.large, self.small) if f is not None) if self.large.features or (self.small and self.small.features) else ""
+
+    def likeness(self, other: Digest) -> float:
+        if self.small is not None and other.small is not None:
+            return self.small.likeness(other.small)
+        return self.large.likeness(other.large)
+
+
 def digests(texts: list[str], ranks: np.ndarray) -> list[Digest]:
     raw, offsets = utf8(pa.array(texts, pa.large_string()))
     out: list[Digest] = []
@@ -154,12 +193,14 @@ def digests(texts: list[str], ranks: np.ndarray) -> list[Digest]:
         hashes = window_hashes(part, places)
         cut = np.searchsorted(places, at)
         for lo, hi, a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if hi > lo or b == a:
-                out.append(Digest(hashes[lo:hi]))
+            if b - a < SHORT:
+                out.append(Digest(hashes[lo:hi], small_window_hashes(part[a:b])))
+            elif hi > lo:
+                out.append(Digest(hashes[lo:hi], None))
             else:
                 whole = part[a:b].astype(np.uint64) + np.uint64(1)
                 with np.errstate(over="ignore"):
-                    out.append(Digest(mix64(np.array([np.sum(whole * powers(np.uint64(0xC2B2AE3D27D4EB4F), b - a))], np.uint64))))
+                    out.append(Digest(mix64(np.array([np.sum(whole * powers(np.uint64(0xC2B2AE3D27D4EB4F), b - a))], np.uint64)), None))
     return out
 
 

@@ -38,6 +38,30 @@ def test_digest_depends_on_the_text_only():
     assert a.likeness(a) == 1 and 0.25 < a.likeness(half) < 0.9 and a.likeness(b) < 0.2
 
 
+def test_short_texts():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    sizes = [20, 40, 63, 64, 90, 127, 141, 142, 200, 300, 511, 512, 600]
+    short = [prose(120)[:n] for n in sizes for _ in range(6)]
+    long = [prose(n) for n in (1000, 5000, 12000)]
+    ranks = fp.ranks_of(fp.histogram(pa.array(short + long)))
+    # a text's features don't depend on the texts beside it
+    made = fp.digests(short + long, ranks)
+    assert [d.text() for d in made] == [fp.digests([t], ranks)[0].text() for t in short + long]
+    near = fp.digests([fp.edited(t, prose(120)) for t in short], ranks)
+    for k, n in enumerate(sizes):
+        six = slice(6 * k, 6 * k + 6)
+        assert all(d.likeness(d) == 1 for d in made[six])
+        assert 0.2 < np.mean([d.likeness(e) for d, e in zip(made[six], near[six], strict=True)]) < 0.75, n
+        assert np.mean([a.likeness(b) for a in made[six] for b in made[:78] if a is not b]) < 0.1, n
+        against = [d.likeness(x) for d in made[six] for x in made[78:]]
+        assert np.mean(against) < 0.1 and max(against) < 0.35, n
+    # the last, partly filled filter isn't like everything
+    cut = fp.digests([long[1][: 3000 + 100 * k] for k in range(20)], ranks)
+    assert max(d.likeness(made[-1]) for d in cut) < 0.2
+
+
 def test_next_document_and_edits(spark):
     all_texts = texts(3, 80)
     ids = random.Random(5).sample(range(10**6), 80)
