@@ -1,13 +1,14 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of the terms around them.
 
-The patterns find the protected entities. From the whole corpus, the co-occurrence of entities and the terms near
-them estimates how much a term reveals: PMI(term, entity) over the entity's information content, which is 1 where
+The patterns find the protected entities. From the whole corpus, the co-occurrence of entities and terms in
+documents estimates how much a term reveals: PMI(term, entity) over the entity's information content, which is 1 where
 the term occurs with the entity only. Terms above a threshold are generalised, above a higher one removed, wherever
-they occur. A term must be seen with the entity in ``support`` different contexts, so copies of one passage, which
-share their context, aren't evidence.
+they occur. Terms are runs of letters and digits of two characters at least outside entities. A term must be seen
+with the entity in documents of ``support`` different contexts (what stands around the entity there), so copies of
+one passage, which share their context, aren't evidence.
 
-Counting goes in two passes: the neighbourhoods of entities give the candidate terms, then only those are counted in
-all documents. What is broadcast are bitmaps of fixed size; joins then decide exactly.
+Counting goes in three passes: entities and their contexts; all terms of the documents of entities that have enough
+contexts, which give the candidate terms; then only those are counted in all documents. What is broadcast are bitmaps of fixed size; joins then decide exactly.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 BITS = 24
 _GAP = np.ones(256, bool)
-_GAP[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
-SHORTEST = 4
+_GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+SHORTEST = 2
 
 
 def luhn(digits: str) -> bool:
@@ -75,10 +76,12 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def terms(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, end, hash) of the terms of some texts, in bytes: runs of letters, A-Z lower-cased."""
+    """(text, start, end, hash) of the terms of some texts, in bytes: runs of letters and digits,
+    A-Z lower-cased."""
     starts, ends, many = word_spans(raw, at, _GAP)
     row = np.repeat(np.arange(len(at) - 1), many)
-    long = ends - starts >= SHORTEST
+    count = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+    long = count[ends] - count[starts] >= SHORTEST
     starts, ends, row = starts[long], ends[long], row[long]
     return row, starts - at[row], ends - at[row], span_hashes(lower_ascii(raw), starts, ends)
 
@@ -93,9 +96,11 @@ def entity_name(kind: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def neighbourhoods(docs: DataFrame, reach: int) -> DataFrame:
-    """(entity, term, context, docs): terms up to ``reach`` terms away from an entity, with a hash of the terms
-    around it. The term 0 stands for the entity itself."""
+def entity_terms(docs: DataFrame, reach: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(entity, term, context, docs): all terms of the documents of wanted entities. The context is a hash of the
+    terms up to ``reach`` away from each place of the entity in the document. Without ``wanted``, all entities and
+    the term 0 only."""
+    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -103,23 +108,32 @@ def neighbourhoods(docs: DataFrame, reach: int) -> DataFrame:
             texts = batch.column(0).to_pylist()
             raw, offsets = utf8(batch.column(0))
             for i, text in enumerate(texts):
-                spans = base_spans(text or "")
-                if not spans:
+                spans = [(s, e, entity_name(kind, value)) for s, kind, e, value in base_spans(text or "")]
+                some = {name for *_, name in spans}
+                if shared is not None and some:
+                    every = np.array(sorted(some), np.int64)
+                    some = set(every[hits(shared.value, every.view(np.uint64))].tolist())
+                if not some:
                     continue
                 own = raw[offsets[i] : offsets[i + 1]]
                 _, lo, hi, names = terms(own, np.array([0, len(own)]))
                 lo, hi = in_code_points(own, lo), in_code_points(own, hi)
-                mine = set()
-                for s, kind, e, value in spans:
-                    a, b = int(np.searchsorted(hi, s, "right")), int(np.searchsorted(lo, e))
-                    near = np.concatenate((names[max(a - reach, 0) : a], names[b : b + reach]))
-                    context = int(mix64(np.array([np.bitwise_xor.reduce(mix64(near)) if len(near) else 0], np.uint64)).view(np.int64)[0])
-                    name = entity_name(kind, value)
-                    mine.add((name, 0, 0))
-                    mine.update((name, t, context) for t in near.view(np.int64).tolist())
-                seen.update(mine)
-            if len(seen) > 200_000:
-                yield rows(seen)
+                free = np.ones(len(names), bool)
+                for s, e, _ in spans:
+                    free[np.searchsorted(hi, s, "right") : np.searchsorted(lo, e)] = False
+                lo, hi, names = lo[free], hi[free], names[free]
+                contexts: dict[int, set[int]] = {}
+                for s, e, name in spans:
+                    if name in some:
+                        a, b = int(np.searchsorted(hi, s, "right")), int(np.searchsorted(lo, e))
+                        near = np.concatenate((names[max(a - reach, 0) : a], names[b : b + reach]))
+                        contexts.setdefault(name, set()).add(int(np.bitwise_xor.reduce(mix64(near))) if len(near) else 0)
+                present = [0] if shared is None else np.unique(names).view(np.int64).tolist()
+                for name, around in contexts.items():
+                    context = int(mix64(np.array([np.bitwise_xor.reduce(mix64(np.array(sorted(around), np.uint64)))], np.uint64)).view(np.int64)[0])
+                    seen.update((name, t, context) for t in present)
+                    if len(seen) > 200_000:
+                        yield rows(seen)
         if seen:
             yield rows(seen)
 
@@ -150,28 +164,44 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(term, docs): in how many documents each wanted term is."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
+    def merged(met: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        name, at = np.unique(np.concatenate([k for k, _ in met]), return_inverse=True)
+        return name, np.bincount(at, np.concatenate([n for _, n in met]), len(name)).astype(np.int64)
+
+    def rows(name: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n)], ["term", "docs"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: list[tuple[np.ndarray, np.ndarray]] = []  # of the whole task
         for batch in batches:
             raw, offsets = utf8(batch.column(0))
-            met = []
             for i, j in chunks(offsets):
                 row, _, _, names = terms(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 hit = hits(shared.value, names)
                 row, names = row[hit], names[hit]
                 _, first = np.unique(mix64(names + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
-                met.append(names[first])
-            name, n = np.unique(np.concatenate(met) if met else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "docs"])
+                met.append(np.unique(names[first], return_counts=True))
+            if sum(len(k) for k, _ in met) > 1_000_000:
+                met = [merged(met)]
+                if len(met[0][0]) > 500_000:
+                    yield rows(*met.pop())
+        if met:
+            yield rows(*merged(met))
 
     return docs.select("text").mapInArrow(work, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
 def disclosing_terms(docs: DataFrame, scratch: Scratch, reach: int = 8, support: int = 3, generalise: float = 0.9, remove: float = 0.97) -> DataFrame:
     """(term, gone): terms whose disclosure reaches ``generalise``; gone where it reaches ``remove``."""
-    near = scratch.write(neighbourhoods(docs, reach), "near").groupBy("entity", "term", "context").agg(F.sum("docs").alias("docs"))
-    pairs = scratch.write(near.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("docs")), "pairs")
-    candidates = pairs.filter((F.col("term") != 0) & (F.col("contexts") >= support))
-    entities = pairs.filter(F.col("term") == 0).select("entity", F.col("docs").alias("entity_docs"))
+    def pairs(found: DataFrame, name: str) -> DataFrame:
+        """Of each entity and term, the documents that have both, where these have enough contexts."""
+        each = found.groupBy("entity", "term", "context").agg(F.sum("docs").alias("docs"))
+        both = each.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("docs"))
+        return scratch.write(both.filter(F.col("contexts") >= support), name)
+
+    # no term can have more contexts than its entity
+    entities = pairs(entity_terms(docs, reach), "entities").select("entity", F.col("docs").alias("entity_docs"))
+    candidates = pairs(entity_terms(docs, reach, bitmap(entities, "entity")), "pairs")
     counted = scratch.write(term_counts(docs, bitmap(candidates, "term")), "counted")
     total = float(max(docs.count(), 1))
     both = candidates.join(entities, "entity").join(counted.withColumnRenamed("docs", "term_docs"), "term")

@@ -51,3 +51,20 @@ def test_disclosing_terms(spark):
     assert clean[2] == text_of[2] and clean[900] == ""
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_spans(empty).count() == 0
+
+
+def test_terms_far_off_short_or_with_digits(spark):
+    rng = random.Random(3)
+    words = ["alpha", "bravo", "carol", "delta", "echoe", "foxtr", "golfs", "hotel", "india", "julie", "kilos", "limas"]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, prose(60)) for i in range(400)]
+    for i in range(12):  # heading and code are far off, the name is near in half of them only
+        name = ("Bo " + prose(30) if i % 2 else prose(30) + " Bo") + " "
+        rows.append((1000 + i, f"Quillon {prose(30)} {name}me@host.example.com {prose(30)} E4711x {prose(10)}"))
+    # one document that names its entity often is no evidence
+    rows.append((2000, " ".join(f"{prose(20)} you@host.example.com" for _ in range(6)) + " singular"))
+    text_of = dict(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = pii.digest(pii.find_spans(df)).collect()
+    terms = {text_of[r.doc_id][int(x.split(":")[1]) : int(x.split(":")[2])].lower() for r in got if r.spans for x in r.spans.split(",") if x.startswith("term")}
+    assert terms == {"quillon", "bo", "e4711x"}
