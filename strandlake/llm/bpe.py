@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import prepare
+from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.tokens import ChunkEncoder
 
 #: Fixed value: the pre-tokenizer's pattern of byte-level vocabularies.
@@ -142,7 +142,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, encoder = loaded(tokenizer_path)
-        for batch in batches:
+        for batch in sliced(batches):
             coded = encoder.encode(batch.column(1).to_pylist())
             back = [hashlib.sha256(model.decode(np.frombuffer(c, "<u4")).encode()).hexdigest() for c in coded]
             columns = [batch.column(0), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array(coded if keep_ids else [None] * len(coded), pa.binary()), pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string()), pa.array(back, pa.string())]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import prepare
+from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.textbytes import chunks, mix64, powers, utf8
 
 WINDOW, POINTS = 64, 16
@@ -209,7 +209,7 @@ def corpus_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             total += histogram(batch.column(0))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["class", "n"])
@@ -269,7 +269,7 @@ def fingerprint_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the row before, which waits for its next
         closed = -1  # the range whose guest was met
-        for batch in batches:
+        for batch in sliced(batches):
             to, guest, doc_id, texts = (batch.column(n).to_pylist() for n in ("to", "guest", "doc_id", "text"))
             known = digests(texts, ranks.value)
             pairs = []

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import prepare
+from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.textbytes import chunks, utf8
 
 #: Families of the languages met most; a language that isn't here is a family of its own.
@@ -71,7 +71,7 @@ def margins(column: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.nda
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) to (lang, feature numbers, shares): sparse training rows."""
-    for batch in batches:
+    for batch in sliced(batches):
         raw, offsets = lowered(batch.column(1))
         keys, values = [], []
         for i in range(len(offsets) - 1):
@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = spark.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             named, score = shared.value.predict(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(named, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
@@ -205,7 +205,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             named, score = shared.value.predict(batch.column(text_col))
             yield batch.filter(pa.array([x != UNDETERMINED and s > least for x, s in zip(named, score, strict=True)], pa.bool_()))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import Scratch, prepare
+from strandlake.llm.runtime import Scratch, prepare, sliced
 
 GROUP = 4096
 
@@ -93,7 +93,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     rows give none. Equal scores are ordered by id.
     """
     spark = vectors.sparkSession
-    prepare(spark, 2000)
+    prepare(spark)
     scratch = Scratch(spark, "neighbours")
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("q")).filter(F.col("id").isNotNull() & valid(F.col("v")))
     sizes = sorted(((r["count"], r["n"]) for r in v.groupBy(F.size("v").alias("n")).count().collect()), reverse=True)
@@ -110,7 +110,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     shared = spark.sparkContext.broadcast(fit_index(points, lists))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             x = unit(np.array(batch.column("v").flatten()).reshape(len(batch), -1))
             own = np.argmax(x @ shared.value.centroids.T, axis=1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], ["c", "v", "ids", "list"])
@@ -123,7 +123,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     probes = max(1, round(lists * probe_share))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             x = unit(np.array(batch.column("v").flatten()).reshape(len(batch), -1))
             order = np.argsort(-(x @ shared.value.centroids.T), axis=1, kind="stable")
             enough = np.argmax(np.cumsum(held[order], axis=1) >= min(k + 1, held.sum()), axis=1) + 1

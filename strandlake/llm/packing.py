@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.bpe import PATTERN, byte_letters
-from strandlake.llm.runtime import prepare
+from strandlake.llm.runtime import prepare, sliced
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, bucket int"
 
@@ -84,7 +84,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(tokenizer_path)
         end = np.uint32(end_id).tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 ids += end

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import Scratch, prepare
+from strandlake.llm.runtime import Scratch, prepare, sliced
 from strandlake.llm.textbytes import chunks, lower_ascii, mix64, span_hashes, utf8, word_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -104,7 +104,7 @@ def entity_terms(docs: DataFrame, reach: int, wanted: np.ndarray | None = None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(0).to_pylist()
             raw, offsets = utf8(batch.column(0))
             for i, text in enumerate(texts):
@@ -173,7 +173,7 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: list[tuple[np.ndarray, np.ndarray]] = []  # of the whole task
-        for batch in batches:
+        for batch in sliced(batches):
             raw, offsets = utf8(batch.column(0))
             for i, j in chunks(offsets):
                 row, _, _, names = terms(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
@@ -226,7 +226,7 @@ def find_spans(docs: DataFrame, keep_text: bool = False, id_col: str = "doc_id",
     span, hit = "array<struct<s:int,o:int,e:int>>", "array<struct<s:int,e:int,term:long>>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             raw, offsets = utf8(batch.column(1))
             spans = [base_spans(t or "") for t in texts]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.langid import remainder
-from strandlake.llm.runtime import prepare
+from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.textbytes import chunks, lower_ascii, span_hashes, utf8, word_spans
 
 BUCKETS, FACTORS = 1 << 15, 8
@@ -133,7 +133,7 @@ def _lengths(column: pa.Array) -> np.ndarray:
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, text, n_chars) to sparse training rows."""
-    for batch in batches:
+    for batch in sliced(batches):
         out = []
         for i, j, row, bucket, value, stats in features(batch.column(1), _lengths(batch.column(2))):
             cut = np.searchsorted(row, np.arange(j - i + 1))
@@ -174,7 +174,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             s = shared.value.score(batch.column(2), _lengths(batch.column(3)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 

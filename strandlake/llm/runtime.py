@@ -1,4 +1,4 @@
-"""What the operators need from a session: the shared folder, batch sizes and shipped code."""
+"""What the operators need from a session: the shared folder, batches of bounded size and shipped code."""
 
 from __future__ import annotations
 
@@ -6,28 +6,40 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()  # applications that have the package's files
+_made: dict[str, list[str]] = {}  # folders of the tables of each application
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (tests on one machine), a new temporary folder."""
+    """spark.checkpoint.dir of the session. Where it is unset and all runs on one machine (tests), a new temporary
+    folder; on a cluster that is an error, as executors would write to disks of their own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strandlake-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        _made.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         writer = df.write.mode("overwrite")
@@ -36,15 +48,25 @@ class Scratch:
 
     def drop(self, name: str = "") -> None:
         """Delete a table that no later step reads (or all of them)."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.root}/{name}" if name else self.root)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that operators of this session wrote to the shared folder. Results read them, so call it
+    when they have been written or collected."""
+    for folder in _made.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, folder)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Spark bounds the bytes of a batch; this bounds its rows, so what is made of them stays small, too."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
-def prepare(spark: SparkSession, batch_rows: int = 1000) -> None:
-    """Small Arrow batches bound the memory of a Python task; the package goes to the executors where their
-    PYTHONPATH lacks it."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+def prepare(spark: SparkSession) -> None:
+    """The package goes to the executors where their PYTHONPATH lacks it."""
     home = str(PACKAGE.parent)
     application = spark.sparkContext.applicationId
     if home in os.environ.get("PYTHONPATH", "").split(":") or application in _shipped:

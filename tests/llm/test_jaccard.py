@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from strandlake.llm.jaccard import join, keep_first, overlap_bound, counts_of, prefix_length
+from strandlake.llm.jaccard import coarse_counts, coarse_table, join, keep_first, prefix_length, star_cover
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -53,14 +53,31 @@ def corpus(seed):
     return rows + [(1, None), (2, ""), (3, " \t\n"), (4, "Éa éa"), (5, "éa éa"), (6, "one"), (7, "ONE")]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed):
-    rows = corpus(seed)
+def crowded(seed):
+    """Near copies of one text, many more than fit a block, most of them below the threshold; groups of several sets."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(70)]
+    rows = []
+    for k in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(70)] = f"x{rng.randrange(10_000)}"
+        rows.append((k, " ".join(copy)))
+    common = [f"c{i}" for i in range(400)]
+    for k in range(100, 140):
+        rows.append((k, " ".join(common[rng.randrange(40) :][:200] + base[:6])))
+    return rows + [(1007, "b1 b2 b3 b4 b5 b6"), (1008, None)]
+
+
+OPEN = {"block": 8, "pairs_each": 0}
+
+
+@pytest.mark.parametrize("make, seed, options", [(corpus, 1, {}), (crowded, 1, {"least": 2, **OPEN}), (crowded, 2, {"least": 1 << 40, "most_bits": 1 << 6, **OPEN})])
+def test_against_brute_force(spark, make, seed, options):
+    rows = make(seed)
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, n int, sid string").repartition(5)
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in join(df, frequent_share=0.02).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in join(df, **options).collect())
     assert got == brute(rows)
-    kept = {r.doc_id for r in keep_first(df).collect()}
-    assert kept == {c for *_, c in got}
 
 
 def test_repeated_rows_missing_ids_and_empty_tables(spark):
@@ -70,10 +87,43 @@ def test_repeated_rows_missing_ids_and_empty_tables(spark):
     assert join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, near, other = "a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o q", "r s t u v w"
+    rows = [(5, a, 1), (5, a, 2), (None, near, 3), (None, a, 4), (7, other, 5), (5, other, 6), (9, None, 7), (9, None, 8), (8, " ", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, own_id int")
+    got = keep_first(df)
+    assert got.columns == df.columns
+    found = sorted((r.doc_id, r.text or "") for r in got.collect())
+    assert found == [(5, a), (5, other), (8, " "), (9, ""), (9, "")]
+    assert keep_first(df.filter("false")).count() == 0
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400_000)]
+    near = list(words)
+    near[1000:1200] = ["changed"] * 200
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, "short one")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in join(df).collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_bounds():
     rng = np.random.default_rng(3)
-    for n, m in ((5, 7), (100, 90), (5000, 6000)):
-        pool = rng.integers(0, 1 << 63, 8000, dtype=np.uint64)
+    for n, m in ((5, 7), (100, 90), (5000, 6000), (30_000, 20_000), (90_000, 100_000)):
+        pool = rng.integers(0, 1 << 63, 150_000, dtype=np.uint64) << np.uint64(1)
         a, b = np.unique(pool[:n]), np.unique(pool[n // 2 : n // 2 + m])
-        assert overlap_bound(counts_of(a), counts_of(b)) >= len(np.intersect1d(a, b))
+        counts = coarse_table([coarse_counts(a), coarse_counts(b), None])
+        assert counts[0].sum() == len(a)
+        assert np.minimum(counts[0], counts[1]).sum() >= len(np.intersect1d(a, b))
+        assert (counts[2] == 65535).all()
     assert [prefix_length(n, 80) for n in (1, 4, 5, 10, 11)] == [1, 1, 2, 3, 3]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_star_cover(seed):
+    rng = np.random.default_rng(seed)
+    a, b = np.triu_indices(30, 1)
+    some = rng.random(len(a)) < 0.1
+    a, b = a[some], b[some]
+    taken = star_cover(a, b, 30)
+    assert taken.sum() <= 30 and set(np.concatenate((a[taken], b[taken]))) == set(np.concatenate((a, b)))
