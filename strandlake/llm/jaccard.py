@@ -7,7 +7,8 @@ the same prefix and size are one group, and a group stands once in the list of e
 Group pairs are filtered within the lists, before any member is looked at:
 
 * by size, and by the positions of the shared token, after which only so many others can be shared;
-* a pair whose groups share one of the three list tokens before this one is left to that token's list;
+* a list that has the same groups as the one before it is left out, and a pair whose groups share one of the three
+  list tokens before this one is left to that token's list;
 * by counts of the tokens in ranges of the hash space, which bound the overlap (groups of one set each);
 * groups that earlier links already connect are passed over.
 
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm.components import connected_components
 from strandlake.llm.runtime import Scratch, prepare, sliced
-from strandlake.llm.textbytes import shingle_sets, utf8
+from strandlake.llm.textbytes import mix64, shingle_sets, utf8
 
 LAST_ID = (1 << 63) - 1
 _BLOCK = 1 << 21
@@ -184,35 +185,44 @@ def signatures(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], percent: i
     return docs.mapInArrow(work, "doc_id long, h1 long, h2 long, sid binary, n int, gid binary, coarse binary, rare int, prefix array<long>")
 
 
-def shared_rows(signed: DataFrame) -> DataFrame:
-    """(token, gid, pos) of the prefix tokens that two groups or more have. Tokens of the order's table are in several
+def shared_rows(signed: DataFrame, most_held: int = 1 << 20) -> DataFrame:
+    """(token, g, pos, same) of the prefix tokens that two groups or more have, g being a hash of the group's name and
+    ``same`` one of all groups of the token, 0 where it isn't known. Tokens of the order's table are in several
     documents anyway and only lose their repeats; the others are shuffled by token."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, told = None, False  # the row held over from the batch before, and whether it was given out
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
-            if not table.num_rows:
+        empty = np.empty(0, np.int64)
+        token, g, pos = empty, empty, empty.astype(np.int32)
+        loose = None  # a token with very many groups, whose rows are given out as they come
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                token, g, pos = (np.concatenate((x, batch.column(k).to_numpy())) for k, x in enumerate((token, g, pos)))
+            if not len(token):
                 continue
-            token, gid = table["token"].to_numpy(), names_of(table["gid"])
-            fresh = np.ones(len(token), bool)
-            fresh[1:] = (token[1:] != token[:-1]) | (gid[1:] != gid[:-1]).any(axis=1)
-            table, token = table.filter(pa.array(fresh)), token[fresh]
-            same = token[1:] == token[:-1]
-            many = np.append(same, False) | np.insert(same, 0, False)
-            emit = many.copy()
-            emit[0] &= not told
-            if emit.any():
-                yield from table.filter(pa.array(emit)).to_batches()
-            told = bool(many[-1]) or (told and len(token) == 1)
-            held = table.slice(len(token) - 1)
-
-    head = signed.select(F.posexplode(F.slice("prefix", F.lit(1), F.col("rare"))).alias("pos", "token"), "gid")
-    tail = signed.select(F.posexplode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("pos", "token"), "gid", "rare")
-    head = head.select("token", "gid", "pos").repartition("token").sortWithinPartitions("token", "gid")
-    known = tail.select("token", "gid", (F.col("pos") + F.col("rare")).alias("pos")).distinct()
-    return head.mapInArrow(work, "token long, gid binary, pos int").unionByName(known)
+            fresh = np.append(True, (token[1:] != token[:-1]) | (g[1:] != g[:-1]))
+            token, g, pos = token[fresh], g[fresh], pos[fresh]
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            size = np.diff(np.append(first, len(token)))
+            end = len(token) if batch is None or size[-1] > most_held else int(first[-1])
+            same = np.add.reduceat(mix64(g.view(np.uint64)), first).view(np.int64)
+            given = (size > 1) | (token[first] == loose if loose is not None else False)
+            if loose is not None:
+                same[token[first] == loose] = 0
+            loose = None if end < len(token) or batch is None else int(token[-1])
+            if loose is not None:
+                same[-1], given[-1] = 0, True
+            some = np.repeat(given, size)
+            some[end:] = False
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array(token[some]), pa.array(g[some]), pa.array(pos[some]), pa.array(np.repeat(same, size)[some])], ["token", "g", "pos", "same"])
+            token, g, pos = token[end:], g[end:], pos[end:]
+
+    g = F.xxhash64("gid").alias("g")
+    head = signed.select(F.posexplode(F.slice("prefix", F.lit(1), F.col("rare"))).alias("pos", "token"), g)
+    tail = signed.select(F.posexplode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("pos", "token"), g, "rare")
+    head = head.select("token", "g", "pos").repartition("token").sortWithinPartitions("token", "g")
+    known = tail.select("token", "g", (F.col("pos") + F.col("rare")).alias("pos"), F.lit(0).cast("long").alias("same")).distinct()
+    return head.mapInArrow(work, "token long, g long, pos int, same long").unionByName(known)
 
 
 def bitmap_of(ids: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -259,7 +269,7 @@ def crossing(rows: DataFrame, blocks: DataFrame, percent: int, most_each: int |
     cut = rows.join(blocks, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), *ROWS[1:], "comp")
-    dealt = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
 
     def pairs_of(table: pa.Table, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Rows of the pairs left of each run of equal keys, and whether more were; some pairs at a time."""
@@ -349,9 +359,11 @@ class Join:
         self.several = groups.filter(several).select("gid")
         self.any_several = not self.several.isEmpty()
         shared = self.scratch.write(shared_rows(signed.filter(F.size("prefix") > 0)), "shared")
-        along = Window.partitionBy("gid").orderBy("pos")
+        along = Window.partitionBy("g").orderBy("pos")
         earlier = [F.coalesce(F.lag("key", k).over(along), F.lit(0)).alias(f"p{k}") for k in (1, 2, 3)]
-        met = shared.withColumnRenamed("token", "key").select("key", "gid", "pos", *earlier).join(groups, "gid")
+        met = shared.withColumnRenamed("token", "key").select("key", "g", "pos", "same", F.lag("same").over(along).alias("last"), *earlier)
+        # a list with the same groups as the one before it of a member has no pair that the other hasn't
+        met = met.filter((F.col("same") == 0) | F.col("last").isNull() | (F.col("same") != F.col("last"))).join(groups.withColumn("g", F.xxhash64("gid")), "g")
         met = met.select("key", F.when(several, F.col("gid")).otherwise(F.col("sid")).alias("node"), several.alias("several"), "n", "pos", "p1", "p2", "p3", F.lit(-1).alias("side"), F.when(~several, F.col("coarse")).alias("coarse"))
         if self.any_several:
             met = met.unionByName(self.members(self.several.select(F.xxhash64("gid").alias("key"), F.col("gid").alias("node"), F.lit(-1).alias("side"))))
@@ -406,7 +418,7 @@ class Join:
             return pairs
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(self.classes.select("sid", "rep"), "sid")
         wanted = self.scratch.write(wanted, f"{name}_wanted")
-        sets = self.scratch.write(self.whole_sets(wanted), f"{name}_sets")
+        sets = self.whole_sets(wanted)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in sliced(batches):
@@ -420,7 +432,7 @@ class Join:
         one = pairs.join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
         both = one.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").select("a", "b", "x", "y")
         out = self.scratch.write(both.mapInArrow(work, "a binary, b binary"), name)
-        for made in ("pairs", "wanted", "sets"):
+        for made in ("pairs", "wanted"):
             self.scratch.drop(f"{name}_{made}")
         return out
 
@@ -447,7 +459,7 @@ class Join:
                 placed = rows.join(comp.withColumnsRenamed({"sid": "node", "label": "comp"}), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             each = F.ceil(F.count("*") / self.block).cast("int")
             blocks = self.scratch.write(rows.groupBy("key").agg(each.alias("blocks")).filter("blocks > 1"), f"blocks{k}")
-            found = crossing(placed, blocks, self.percent, None if all_left else self.pairs_each * (8 if k else 1))
+            found = crossing(placed, blocks, self.percent, None if all_left else self.pairs_each * (16 if k else 1))
             found = self.scratch.write(found, f"found{k}")
             ends = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
             new = self.verified(found.filter(~F.col("several")).select(*ends).distinct(), f"links{k}")
@@ -455,7 +467,7 @@ class Join:
             if linked or comp is None:
                 comp = self.merged(comp, new, k)
             again = rows.join(found.filter("open").select("key").distinct(), "key", "left_semi")
-            if self.any_several:
+            if self.any_several and not found.filter("several").isEmpty():
                 groups = found.filter("several").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
                 again = again.unionByName(self.expanded(groups))
             following = self.scratch.write(again, f"rows{k + 1}")
@@ -493,7 +505,7 @@ def join(
     least: int = 8,
     most_ordered: int = 1 << 18,
     block: int = 512,
-    pairs_each: int = 2,
+    pairs_each: int = 1,
     most_bits: int = 1 << 27,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -506,7 +518,7 @@ def join(
 
     ``least`` and ``most_ordered`` bound the table of frequent tokens, ``block`` the rows of a list that one task
     compares with as many others, ``pairs_each`` the pairs that a list gives for each row before stars are taken
-    (eight times as many when it is read again), ``most_bits`` the bitmap that tells the documents to be verified.
+    (sixteen times as many when it is read again), ``most_bits`` the bitmap that tells the documents to be verified.
     """
     found = joined(docs, percent, words, least, most_ordered, block, most_bits, pairs_each, id_col, text_col)
     shown = [F.when(F.col(c) != LAST_ID, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
@@ -529,7 +541,7 @@ def keep_first(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_
     with two texts may lose one and keep the other; of repeated rows one stays. Rows without doc_id come after all
     others of their component. No rows give none.
     """
-    found = joined(docs, percent, 5, 8, 1 << 18, 512, 1 << 27, 2, id_col, text_col)
+    found = joined(docs, percent, 5, 8, 1 << 18, 512, 1 << 27, 1, id_col, text_col)
     scratch = Scratch(docs.sparkSession, "keep_first")
     each = found.filter(F.col("n") > 0).groupBy("component", "doc_id", "h1", "h2").agg(F.count("*").alias("times"))
     each = scratch.write(each, "rows")

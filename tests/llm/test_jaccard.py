@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from strandlake.llm.jaccard import coarse_counts, coarse_table, join, keep_first, prefix_length, star_cover
+from strandlake.llm.jaccard import coarse_counts, coarse_table, join, keep_first, prefix_length, shared_rows, star_cover
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -119,6 +119,24 @@ def test_bounds():
     assert [prefix_length(n, 80) for n in (1, 4, 5, 10, 11)] == [1, 1, 2, 3, 3]
 
 
+@pytest.mark.parametrize("most_held", [1 << 20, 3])
+def test_shared_tokens(spark, most_held):
+    rng = random.Random(1)
+    rows = [(bytes([g]) * 16, 3, sorted(rng.sample(range(40), 5))) for g in range(30)] + [(bytes([99]) * 16, 3, [1000, 1001, 1002, 5, 6])] * 3
+    signed = spark.createDataFrame(rows, "gid binary, rare int, prefix array<long>")
+    groups = {}
+    for g, rare, prefix in rows:
+        for t in prefix[:rare]:
+            groups.setdefault(t, set()).add(g)
+    got = shared_rows(signed, most_held).filter("pos < 3").collect()
+    assert {r.token for r in got} >= {t for t, g in groups.items() if len(g) > 1}
+    if most_held > 3:
+        assert sorted((r.token, r.same) for r in got) == sorted((t, s) for t, s in {(r.token, r.same) for r in got} for _ in groups[t]) and all(len(groups[r.token]) > 1 for r in got)
+    for t, g in groups.items():
+        if len(g) > 1:
+            assert len({r.g for r in got if r.token == t}) == len(g)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_star_cover(seed):
     rng = np.random.default_rng(seed)
