@@ -1,9 +1,17 @@
 """Local alignment with affine gaps, in Arrow batches.
 
-Rows of the score matrix are vectors over the reference. A gap of k bases costs ``gap_open + (k - 1) * gap_extend``.
-With ``one_pass`` the directions of all cells are kept in a single pass, which is faster. Otherwise they are kept for a
-block of rows at a time, about the square root of the query's length, and each block is computed again from the
-scores saved at its top while the path is traced back, so memory stays small for long genomes.
+A gap of k bases costs ``gap_open + (k - 1) * gap_extend``. The references of a group have one length, so their rows of
+the score matrix are computed together, a vector operation over all of them at a time, and only the best one is
+traced back.
+
+Few cells matter when query and reference are alike: a path through diagonal d has at most min(n, m - d) matches (or
+min(n + d, m) below the main one), so once some alignment has score L, no path that is as good leaves the diagonals
+where that many matches reach L. A first sweep over a narrow band gives L; where the band that L allows is wider, wider
+ones are swept, too. So the result is that of the whole matrix.
+
+The directions of the band's cells are kept whole if they are few enough (always with ``one_pass``). Otherwise they are
+kept for a block of rows at a time, and each block is computed again from the scores saved at its top while the path is
+traced back, so memory stays small for long genomes that differ much.
 
 Ties: the first best cell in row-major order; a match before an insertion before a deletion.
 """
@@ -14,6 +22,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -40,69 +49,110 @@ class Alignment:
     cigar: str
 
 
-def _profile(reference: str, p: Penalties) -> np.ndarray:
-    codes = _CODE[np.frombuffer(reference.encode(), np.uint8)]
+#: Cells whose directions are kept at once.
+MOST_CELLS = 1 << 26
+
+
+def _profiles(references: list[str], p: Penalties) -> np.ndarray:
+    """The score of each code against each base of each reference."""
+    codes = np.stack([_CODE[np.frombuffer(r.encode(), np.uint8)] for r in references])
     table = np.full((5, 5), -p.mismatch, np.int32)
     np.fill_diagonal(table, p.match)
     table[4, :] = table[:, 4] = 0
     return table[:, codes]
 
 
-def _rows(query: np.ndarray, profile: np.ndarray, p: Penalties, h: np.ndarray, e: np.ndarray, trace: np.ndarray | None):
-    """Score rows for some query bases; h and e are those of the row above. Yields h, e after each row."""
-    m = profile.shape[1]
+@dataclass
+class _Rows:
+    """The row of the matrix above the next one, for all references: scores, and scores that end in an insertion."""
+
+    h: np.ndarray
+    e: np.ndarray
+
+    @classmethod
+    def top(cls, count: int, m: int) -> _Rows:
+        return cls(np.zeros((count, m), np.int32), np.full((count, m), _FAR, np.int32))
+
+    def copy(self) -> _Rows:
+        return _Rows(self.h.copy(), self.e.copy())
+
+
+def _sweep(query: np.ndarray, profile: np.ndarray, p: Penalties, rows: _Rows, band: tuple[int, int], first: int = 0, trace: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Computes the rows of some query bases, the first of which has number ``first``, within diagonals ``band`` (both
+    included). Yields each row's number, first column and scores; ``rows`` then hold it. Cells outside count as
+    empty alignments. ``trace`` gets directions, its column 0 being that of the lowest diagonal."""
+    m = profile.shape[2]
+    h, e = rows.h, rows.e
     ramp = np.arange(m, dtype=np.int32) * np.int32(p.gap_extend)
-    for i, c in enumerate(query):
-        opened, longer = h - p.gap_open, e - p.gap_extend
-        e = np.maximum(opened, longer)
-        diagonal = np.empty(m, np.int32)
-        diagonal[0], diagonal[1:] = 0, h[:-1]
-        diagonal += profile[c]
-        best = np.maximum(np.maximum(diagonal, e), 0)
-        reach = np.maximum.accumulate(best + ramp)
-        f = np.full(m, _FAR, np.int32)
-        f[1:] = reach[:-1] - ramp[:-1] - p.gap_open
-        new = np.maximum(best, f)
+    opening = ramp + np.int32(p.gap_open)
+    for i, c in enumerate(query.tolist(), first):
+        lo, hi = max(0, i + band[0]), min(m, i + band[1] + 1)
+        if lo >= hi:
+            continue
+        opened, longer = h[:, lo:hi] - np.int32(p.gap_open), e[:, lo:hi] - np.int32(p.gap_extend)
+        inserted = np.maximum(opened, longer)
+        diagonal = profile[c, :, lo:hi].copy()
+        if lo:
+            diagonal += h[:, lo - 1 : hi - 1]
+        else:
+            diagonal[:, 1:] += h[:, : hi - 1]
+        best = np.maximum(diagonal, inserted)
+        np.maximum(best, 0, out=best)
+        reach = best + ramp[: hi - lo]
+        np.maximum.accumulate(reach, axis=1, out=reach)
+        deleted = reach[:, :-1] - opening[: hi - lo - 1]
+        new = best.copy()
+        np.maximum(best[:, 1:], deleted, out=new[:, 1:])
         if trace is not None:
-            source = np.where(new == diagonal, 1, np.where(new == e, 2, 3))
+            source = np.where(new == diagonal, 1, np.where(new == inserted, 2, 3)).astype(np.uint8)
             source[new <= 0] = 0
-            trace[i] = source | (longer >= opened) << 2
-            trace[i, 1:] |= (f[:-1] - p.gap_extend >= best[:-1] - p.gap_open).astype(np.uint8) << 3
-        h = new
-        yield h, e
-
-
-def align(query: str, reference: str, p: Penalties, one_pass: bool = True) -> Alignment | None:
-    """The best local alignment; None without a positive score."""
-    q = _CODE[np.frombuffer(query.encode(), np.uint8)]
-    n, m = len(q), len(reference)
-    if not n or not m:
-        return None
-    profile = _profile(reference, p)
-    block = n if one_pass else max(1, math.isqrt(n))
-    saved = [(np.zeros(m, np.int32), np.full(m, _FAR, np.int32))]
-    best, at = 0, (0, 0)
-    trace, first = (np.zeros((n, m), np.uint8), 0) if one_pass else (np.empty((0, m), np.uint8), -1)
-    for i, (h, e) in enumerate(_rows(q, profile, p, *saved[0], trace if one_pass else None)):
-        top = int(h.max())
-        if top > best:
-            best, at = top, (i, int(h.argmax()))
-        if (i + 1) % block == 0:
-            saved.append((h, e))
-    if not best:
-        return None
+            source |= (longer >= opened).astype(np.uint8) << 2
+            source[:, 2:] |= (deleted[:, :-1] - np.int32(p.gap_extend) >= best[:, 1:-1] - np.int32(p.gap_open)).astype(np.uint8) << 3
+            at = lo - i - band[0]
+            trace[i - first, at : at + hi - lo] = source[0]
+        h[:, lo:hi], e[:, lo:hi] = new, inserted
+        yield i, lo, new
+
+
+def _best(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The best score of each reference within the band, and its first cell in row-major order."""
+    count, m = profile.shape[1:]
+    best, at = np.zeros(count, np.int32), [(-1, -1)] * count
+    for i, lo, new in _sweep(query, profile, p, _Rows.top(count, m), band):
+        top = new.max(axis=1)
+        if (top > best).any():
+            for r in np.flatnonzero(top > best).tolist():
+                best[r], at[r] = top[r], (i, lo + int(new[r].argmax()))
+    return best, at
+
+
+def _allowed(score: int, n: int, m: int, p: Penalties) -> tuple[int, int]:
+    """The diagonals that a path of at least this score can touch."""
+    matches = -(-score // p.match) if p.match > 0 else 0
+    return max(matches - n, 1 - n), min(m - matches, m - 1)
+
+
+def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], at: tuple[int, int], whole: bool, most_cells: int) -> tuple[int, int, str]:
+    """Start of the alignment that ends in a cell of one reference, and its operations in reverse."""
     i, j = at
+    m, width = profile.shape[2], band[1] - band[0] + 1
+    block = i + 1 if whole or (i + 1) * width <= most_cells else max(1, min(math.isqrt(i + 1), most_cells // width))
+    saved: list[_Rows] = [_Rows.top(1, m)]
+    if block <= i:
+        rows = saved[0].copy()
+        for k, _, _ in _sweep(query[: i + 1], profile, p, rows, band):
+            if (k + 1) % block == 0:
+                saved.append(rows.copy())
+    first, trace = -1, np.empty((0, 0), np.uint8)
     ops: list[str] = []
     state = "M"
-    while True:
-        if i < 0 or j < 0:
-            break
+    while i >= 0 and j >= 0:
         if first != i // block * block:
             first = i // block * block
-            trace = np.zeros((min(block, n - first), m), np.uint8)
-            for _ in _rows(q[first : first + block], profile, p, *saved[i // block], trace):
+            trace = np.zeros((min(block, at[0] + 1 - first), width), np.uint8)
+            for _ in _sweep(query[first : first + len(trace)], profile, p, saved[i // block], band, first, trace):
                 pass
-        cell = trace[i - first, j]
+        cell = trace[i - first, j - i - band[0]] if band[0] <= j - i <= band[1] else 0
         if state == "M":
             source = cell & 3
             if not source:
@@ -122,20 +172,42 @@ def align(query: str, reference: str, p: Penalties, one_pass: bool = True) -> Al
             if not cell & 8:
                 state = "M"
             j -= 1
-    ops.reverse()
-    runs: list[str] = []
-    start = 0
-    for k in range(1, len(ops) + 1):
-        if k == len(ops) or ops[k] != ops[start]:
-            runs.append(f"{k - start}{ops[start]}")
-            start = k
-    return Alignment(best, i + 1, at[0] + 1, j + 1, at[1] + 1, "".join(runs))
-
-
-def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bool) -> tuple[int, Alignment] | None:
-    """The best of a group of references; the first wins ties."""
-    found = [(k, a) for k, r in enumerate(references) if (a := align(query, r, p, one_pass)) is not None]
-    return max(found, key=lambda x: (x[1].score, -x[0]), default=None)
+    return i + 1, j + 1, "".join(ops)
+
+
+def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bool, most_cells: int = MOST_CELLS) -> tuple[int, Alignment] | None:
+    """The best local alignment with a group of references of one length; the first wins ties. None without a positive
+    score."""
+    q = _CODE[np.frombuffer(query.encode(), np.uint8)]
+    n, m = len(q), len(references[0]) if references else 0
+    if not n or not m:
+        return None
+    profile = _profiles(references, p)
+    near, band = max(32, n // 400), (0, -1)
+    wanted = every = (1 - n, m - 1)
+    while wanted[0] < band[0] or wanted[1] > band[1]:
+        swept = band[1] - band[0] + 1
+        band = max(every[0], min(0, m - n) - near), min(every[1], max(0, m - n) + near)
+        if swept and wanted[1] - wanted[0] < 8 * swept:
+            band = wanted
+        elif 2 * (band[1] - band[0]) > n + m:
+            band = every
+        best, at = _best(q, profile, p, band)
+        wanted = _allowed(int(best.max()), n, m, p)
+        near *= 8
+    which = int(best.argmax())
+    score = int(best[which])
+    if not score:
+        return None
+    i, j, ops = _path(q, profile[:, which : which + 1], p, _allowed(score, n, m, p), at[which], one_pass, most_cells)
+    cigar = "".join(f"{len(list(run))}{op}" for op, run in groupby(reversed(ops)))
+    return which, Alignment(score, i, at[which][0] + 1, j, at[which][1] + 1, cigar)
+
+
+def align(query: str, reference: str, p: Penalties, one_pass: bool = True, most_cells: int = MOST_CELLS) -> Alignment | None:
+    """The best local alignment; None without a positive score."""
+    found = best_alignment(query, [reference], p, one_pass, most_cells)
+    return found and found[1]
 
 
 ALIGNED = "ref_index int, score int, q_start int, q_end int, r_start int, r_end int, cigar string"

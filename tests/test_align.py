@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -49,9 +50,40 @@ def test_score_and_path(seed):
             assert a is None
         else:
             assert a.score == best == score(a, q, r, p)
-    assert align(q, r, p, True) == align(q, r, p, False)
+    assert align(q, r, p, True) == align(q, r, p, False) == align(q, r, p, False, most_cells=64)
 
 
 def test_first_reference_wins_ties():
     assert best_alignment("ACGT", ["ACGT", "ACGT"], Penalties(5, 4, 10, 1), True)[0] == 0
     assert best_alignment("NNN", ["ACGT"], Penalties(5, 4, 10, 1), True) is None
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_several_references_and_the_band(seed):
+    """Long enough that a band is swept; U counts as T and other codes score 0."""
+    rng = random.Random(seed)
+    p = rng.choice([Penalties(5, 4, 10, 1), Penalties(14, 1, 40, 1), Penalties(1, 1, 2, 1)])
+    base = [rng.choice("ACGT") for _ in range(420)]
+    refs = ["".join(rng.choice("ACGT") if rng.random() < 0.05 else c for c in base) for _ in range(4)]
+    share = rng.choice([0.01, 0.1, 0.6])
+    q = [rng.choice(["", "N", "ACG", "T"]) if rng.random() < share else c for c in refs[seed % 4]]
+    cut = rng.choice([0, 0, 150])
+    q = q[cut : len(q) - cut // 2]
+    if seed % 3 == 0:
+        q = q[: len(q) // 2] + q[len(q) // 2 + 90 :]  # beyond the first band
+    q = "".join(q).replace("T", "U") if seed % 2 else "".join(q)
+    plain = q.replace("U", "T")
+    scores = [naive(plain, r, p) for r in refs]
+    for one_pass, most_cells in ((True, 1 << 26), (False, 1 << 26), (False, 3000)):
+        which, a = best_alignment(q, refs, p, one_pass, most_cells)
+        assert (which, a.score) == (scores.index(max(scores)), max(scores)) and a.score == score(a, plain, refs[which], p)
+
+
+def test_long_genomes_are_quick():
+    rng = random.Random(9)
+    ref = "".join(rng.choice("ACGT") for _ in range(29_903))
+    q = "".join(rng.choice("ACGT") if rng.random() < 0.003 else c for c in ref[:21_000] + ref[21_009:])
+    start = time.perf_counter()
+    a = align(q, ref, Penalties(5, 4, 10, 1), False)
+    assert a.score == score(a, q, ref, Penalties(5, 4, 10, 1)) and "9D" in a.cigar
+    assert time.perf_counter() - start < 60
