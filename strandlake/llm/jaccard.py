@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.components import connected_components
-from strandlake.llm.runtime import Scratch, prepare, sliced
+from strandlake.llm.runtime import Scratch, fresh, prepare, sliced
 from strandlake.llm.textbytes import mix64, shingle_sets, utf8
 
 LAST_ID = (1 << 63) - 1
@@ -525,14 +525,6 @@ def join(
     return found.select(shown[0], F.col("n").cast("long").alias("n_shingles"), shown[1])
 
 
-def fresh(name: str, taken: list[str]) -> str:
-    """A column name that isn't taken."""
-    lower = {c.lower() for c in taken}
-    while name in lower:
-        name += "_"
-    return name
-
-
 def keep_first(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, with all columns of ``docs``: the one with the smallest doc_id, of several with that
     id the one whose text has the least hash.

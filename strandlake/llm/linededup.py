@@ -2,19 +2,23 @@
 
 Documents come in batches of ascending doc_id. A run is a table of line keys with the document that owns each,
 sorted by key. A new batch is merge-anti-joined with the runs; the keys that no run holds become a run of level 0.
-When a level has ``fanout`` runs they are merged into one of the next level. In the end the runs hold each key
-once, with the smallest doc_id that has it, and a line goes if its key's owner is another document.
+When a level has ``fanout`` runs they are merged into one of the next level. Runs are bucketed by the key, so a
+merge-anti-join moves only the batch. In the end one run holds each key once, with the smallest doc_id that has it, and
+a line goes if its key's owner is another document.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import Scratch
+from strandlake.llm.runtime import Scratch, bound, fresh
 
+#: Rows of a batch.
+BATCH_ROWS = 1 << 24
 #: The bytes that are white space here, and A-Z with their small letters.
 SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,7 +41,7 @@ class LineRuns:
     def _write(self, df: DataFrame) -> tuple[str, DataFrame]:
         self.made += 1
         name = f"run{self.made}"
-        return name, self.scratch.write(df.repartition("h1", "h2").sortWithinPartitions("h1", "h2"), name)
+        return name, self.scratch.write_sorted(df, name, ("h1", "h2"))
 
     def runs(self) -> list[DataFrame]:
         return [df for level in self.levels for _, df in level]
@@ -48,6 +52,16 @@ class LineRuns:
             keys = keys.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         self._put(0, keys)
 
+    def merged(self) -> DataFrame:
+        """All runs as one, read without its buckets, so Spark may split a line that very many documents have."""
+        if len(self.runs()) > 1:
+            last = self._write(reduce(DataFrame.unionByName, self.runs()))
+            for level in self.levels:
+                for name, _ in level:
+                    self.scratch.drop(name)
+            self.levels = [[last]]
+        return self.scratch.plain(*next(run for level in self.levels for run in level))
+
     def _put(self, level: int, df: DataFrame) -> None:
         if len(self.levels) <= level:
             self.levels.append([])
@@ -59,13 +73,16 @@ class LineRuns:
                 self.scratch.drop(name)
 
 
-def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, batches: int | None = None, fanout: int = 2, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: all its columns (the text with the dropped lines gone), n_lines and n_dropped,
     which replace columns of these names.
 
     Keys of at least ``min_chars`` code points found in two documents or more stay only in the smallest doc_id.
     A null or empty text is one empty line and stays empty. Rows that share a doc_id are one document, in which
-    repeated lines stay. Rows without doc_id are one document that comes after all others. No rows give none.
+    repeated lines stay. Rows without doc_id are one document that comes after all others. No rows give none. The cost
+    of a text is linear in its length and lines.
+
+    Batches are four, or one for ``BATCH_ROWS`` rows if that is more, unless given.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "linededup")
@@ -73,6 +90,8 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, min_chars: i
     own = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     print_of = F.xxhash64(text)
     base = docs.select(own.alias("d"), print_of.alias("t"), text.alias("x"))
+    if batches is None:
+        batches = max(4, math.ceil(docs.count() / BATCH_ROWS))
     cuts = [c for c in docs.select(own.alias("d")).approxQuantile("d", [k / batches for k in range(1, batches)], 0.01)] if batches > 1 else []
     batch = reduce(lambda a, c: a + (F.col("d") > c).cast("int"), cuts, F.lit(0))
     lines = base.select("d", "t", F.posexplode(F.split("x", "\n")).alias("pos", "line")).filter(F.octet_length("line") >= min_chars)
@@ -82,14 +101,19 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, min_chars: i
     runs = LineRuns(scratch, fanout)
     for k in range(len(cuts) + 1):
         runs.add(lines.filter(F.col("batch") == k).groupBy("h1", "h2").agg(F.min("d").alias("owner")))
-    owners = reduce(DataFrame.unionByName, runs.runs())
-    gone = lines.drop("batch").join(owners.hint("merge"), ["h1", "h2"]).filter(F.col("owner") < F.col("d"))
-    gone = gone.groupBy("d", "t").agg(F.collect_set("pos").alias("gone"))
-    left = docs.withColumns({"__d": own, "__t": print_of})
-    joined = left.join(gone.withColumnsRenamed({"d": "__d", "t": "__t", "gone": "__gone"}), ["__d", "__t"], "left")
-    parts = F.split(text, "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    return joined.withColumns({"n_lines": F.size(parts).cast("long"), "n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), text_col: F.when(F.col("__gone").isNull(), text).otherwise(kept)}).drop("__d", "__t", "__gone")
+    gone = lines.drop("batch").join(runs.merged().hint("merge"), ["h1", "h2"]).filter(F.col("owner") < F.col("d"))
+    gone = scratch.write(gone.groupBy("d", "t").agg(F.collect_set("pos").alias("gone")), "gone")
+    for made in ("lines", *(name for level in runs.levels for name, _ in level)):
+        scratch.drop(made)
+    mine = {c: fresh(c, docs.columns) for c in ("d", "t", "gone")}
+    left = docs.withColumns({mine["d"]: own, mine["t"]: print_of})
+    joined = left.join(gone.withColumnsRenamed(mine), [mine["d"], mine["t"]], "left")
+    dropped, parts = F.col(mine["gone"]), F.split(text, "\n")
+    # kept positions by a hash set, then the lines there: linear, however many lines go
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), dropped)
+    kept = bound(parts, lambda lines: F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    made = {"n_lines": F.size(parts).cast("long"), "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long"), text_col: F.when(dropped.isNull(), text).otherwise(kept)}
+    return joined.withColumns(made).drop(*mine.values())
 
 
 def digest(deduped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

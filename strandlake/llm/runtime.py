@@ -6,11 +6,12 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()  # applications that have the package's files
@@ -46,6 +47,19 @@ class Scratch:
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def write_sorted(self, df: DataFrame, name: str, keys: tuple[str, ...]) -> DataFrame:
+        """A table bucketed and sorted by the keys, in as many buckets as a shuffle has partitions, so that a join on
+        the keys moves only its other side."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{name}_{uuid.uuid4().hex}"
+        ready = df.repartition(buckets, *keys)
+        ready.write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", f"{self.root}/{name}").saveAsTable(table)
+        return self.spark.table(table)
+
+    def plain(self, name: str, table: DataFrame) -> DataFrame:
+        """The files of a table that was written sorted, without its buckets."""
+        return self.spark.read.schema(table.schema).parquet(f"{self.root}/{name}")
+
     def drop(self, name: str = "") -> None:
         """Delete a table that no later step reads (or all of them)."""
         _delete(self.spark, f"{self.root}/{name}" if name else self.root)
@@ -58,6 +72,19 @@ def clean(spark: SparkSession) -> None:
         _delete(spark, folder)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that isn't taken."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands in there, in lambda functions, too."""
+    return F.transform(F.array(value), use)[0]
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Spark bounds the bytes of a batch; this bounds its rows, so what is made of them stays small, too."""
     for batch in batches:
