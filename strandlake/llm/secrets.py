@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.llm.runtime import bound, fresh
+
 #: The base kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,23 +39,48 @@ LEAST_WORD = 12
 DIGITS, SMALL, LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SPAN = "array<struct<s:int,e:int,x:string>>"
+PIECE = 256
 
 
 def none() -> Column:
     return F.array().cast(SPAN)
 
 
+def folded(rows: Column, kind: str, add: Callable[[Column, Column], tuple[Column, Column]], at: Column | None = None) -> Column:
+    """struct<at, out>: ``add`` gives, from the position so far and a row, the next position and what is appended to
+    ``out``, an array of the type ``kind``. Arrays grow in pieces of PIECE rows, so the cost is near to linear."""
+    one = f"struct<at:int,out:{kind}>"
+    several = f"struct<at:int,out:array<{kind}>>"
+
+    def step(acc: Column, row: Column) -> Column:
+        def taken(made: Column) -> Column:
+            return F.struct(made["at"].alias("at"), F.concat(acc["out"], made["more"]).alias("out")).cast(one)
+
+        following, more = add(acc["at"], row)
+        return bound(F.struct(following.alias("at"), more.cast(kind).alias("more")), taken)
+
+    def piece(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), F.array().cast(kind).alias("out")).cast(one)
+        return bound(F.aggregate(part, start, step), lambda made: F.struct(made["at"].alias("at"), F.concat(acc["out"], F.array(made["out"])).alias("out")).cast(several))
+
+    def whole(every: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(PIECE)), lambda k: F.slice(every, k, F.lit(PIECE)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out")).cast(several)
+        return F.aggregate(parts, start, piece, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
+
+    return bound(rows, whole)
+
+
 def located(text: Column, found: Column, pattern: str) -> Column:
     """Code point spans of the matches: between them stand the parts that a split at the pattern gives."""
     parts = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda g, x: F.struct(F.length(g).alias("g"), x.alias("x")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")).cast(f"struct<at:int,out:{SPAN}>")
 
-    def add(acc: Column, y: Column) -> Column:
-        s = acc["at"] + y["g"]
+    def add(at: Column, y: Column) -> tuple[Column, Column]:
+        s = at + y["g"]
         e = s + F.length(y["x"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), y["x"].alias("x")))).alias("out")).cast(f"struct<at:int,out:{SPAN}>")
+        return e, F.array(F.struct(s.alias("s"), e.alias("e"), y["x"].alias("x")))
 
-    return F.when(F.size(found) > 0, F.aggregate(parts, start, add, lambda acc: acc["out"])).otherwise(none())
+    return F.when(F.size(found) > 0, folded(parts, SPAN, add)["out"]).otherwise(none())
 
 
 def upper_tail(z: Column) -> Column:
@@ -174,31 +201,34 @@ def thresholds(docs: DataFrame, false_share: float = 0.05, text_col: str = "text
     return [chosen(passing(True, 0, k), passing(False, k, k), 1) for k in classes] + [chosen(passing(True, -1, k - 1), passing(True, k, k), 0) for k in classes]
 
 
-def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and __spans, array<struct<s, o, kind, e>> in order: spans of all kinds in code points,
-    end exclusive, o being the number of the kind. A null text has none."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    with_found = docs.withColumns({"__text": text, "__a": F.regexp_extract_all(text, F.lit(ASSIGN), 0), "__k": F.when(F.contains(text, F.lit("AKIA")), F.regexp_extract_all(text, F.lit(ACCESS), 0)).otherwise(F.array().cast("array<string>")), "__h": F.regexp_extract_all(text, F.lit(HEX), 0), "__t": F.regexp_extract_all(text, F.lit(TOKEN), 0)})
-    body = F.col("__text")
+def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and one of a name that they don't have, which is given, too: array<struct<s, o, kind, e>>
+    in order, spans of all kinds in code points, end exclusive, o being the number of the kind. A null text has none."""
+    mine = {c: fresh(c, docs.columns) for c in ("body", "assigned", "keys", "digits", "tokens", "spans")}
+    text, empty = F.coalesce(F.col(text_col), F.lit("")), F.array().cast("array<string>")
+    access = F.when(F.contains(text, F.lit("AKIA")), F.regexp_extract_all(text, F.lit(ACCESS), 0)).otherwise(empty)
+    found = {"body": text, "assigned": F.regexp_extract_all(text, F.lit(ASSIGN), 0), "keys": access, "digits": F.regexp_extract_all(text, F.lit(HEX), 0), "tokens": F.regexp_extract_all(text, F.lit(TOKEN), 0)}
+    with_found = docs.withColumns({mine[k]: v for k, v in found.items()})
+    body, ofs, keys, digits, words = (F.col(mine[k]) for k in found)
     value = F.regexp_extract_all(body, F.lit(ASSIGN), 2)
-    assigned = F.when(F.size("__a") > 0, F.filter(F.zip_with(located(body, F.col("__a"), ASSIGN), value, lambda c, v: F.struct(c["s"].alias("s"), c["e"].alias("e"), v.alias("x"))), lambda c: F.length(c["x"]) >= LEAST_ASSIGNED)).otherwise(none())
+    assigned = F.when(F.size(ofs) > 0, F.filter(F.zip_with(located(body, ofs, ASSIGN), value, lambda c, v: F.struct(c["s"].alias("s"), c["e"].alias("e"), v.alias("x"))), lambda c: F.length(c["x"]) >= LEAST_ASSIGNED)).otherwise(none())
     limits = [*limits, *[2.0] * (2 * len(LENGTHS) - len(limits))]
     limit = F.array(*[F.lit(float(x)) for x in limits])
 
-    def bound(x: Column) -> Column:
+    def allowed(x: Column) -> Column:
         return F.element_at(limit, length_class(F.length(x)) + F.when(is_word(x), 1 + len(LENGTHS)).otherwise(1))
 
     def tested(x: Column) -> Column:
-        return (bound(x) <= 1) & ~x.rlike("^[0-9]+$")
+        return (allowed(x) <= 1) & ~x.rlike("^[0-9]+$")
 
-    tokens = F.when(F.exists("__t", tested), F.filter(located(body, F.col("__t"), TOKEN), lambda c: tested(c["x"]))).otherwise(none())
-    random = F.filter(battery(tokens), lambda c: c["p"] >= bound(c["x"]))
+    tokens = F.when(F.exists(words, tested), F.filter(located(body, words, TOKEN), lambda c: tested(c["x"]))).otherwise(none())
+    random = F.filter(battery(tokens), lambda c: c["p"] >= allowed(c["x"]))
 
     def named(spans: Column, o: int) -> Column:
         return F.transform(spans, lambda c: F.struct(c["s"].alias("s"), F.lit(o).alias("o"), F.lit(KINDS[o]).alias("kind"), c["e"].alias("e")))
 
-    every = [named(x, o) for o, x in enumerate((assigned, located(body, F.col("__k"), ACCESS), located(body, F.col("__h"), HEX), random))]
-    return with_found.withColumn("__spans", F.array_sort(F.concat(*every))).drop("__text", "__a", "__k", "__h", "__t")
+    every = [named(x, o) for o, x in enumerate((assigned, located(body, keys, ACCESS), located(body, digits, HEX), random))]
+    return with_found.withColumn(mine["spans"], F.array_sort(F.concat(*every))).drop(*(mine[k] for k in found)), mine["spans"]
 
 
 def written(spans: Column) -> Column:
@@ -209,8 +239,8 @@ def find_secrets(docs: DataFrame, limits: list[float] | None = None, id_col: str
     """One row per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans. A null text counts as empty, and then
     the strings of spans are empty. Repeated rows give repeated rows, no rows none."""
     limits = thresholds(docs, text_col=text_col) if limits is None else limits
-    found = scan(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), limits).select("doc_id", "__spans")
-    spans = F.col("__spans")
+    found, name = scan(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), limits)
+    found, spans = found.select("doc_id", name), F.col(name)
 
     def count(kind: str) -> Column:
         return F.size(F.filter(spans, lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -220,15 +250,15 @@ def find_secrets(docs: DataFrame, limits: list[float] | None = None, id_col: str
 
 
 def redact(docs: DataFrame, limits: list[float] | None = None, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span, overlapping ones joined, replaced by the mark; other rows and columns as they were."""
+    """``docs`` with every span, overlapping ones joined, replaced by the mark; other rows and columns as they were,
+    null texts and repeated rows, too. No rows give none."""
     limits = thresholds(docs, text_col=text_col) if limits is None else limits
-    text, state = F.col(text_col), "struct<at:int,out:string>"
+    text = F.col(text_col)
 
-    def add(acc: Column, c: Column) -> Column:
-        fresh = c["s"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], F.substr(text, acc["at"] + 1, c["s"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], c["e"]).alias("at"), out.alias("out")).cast(state)
+    def add(at: Column, c: Column) -> tuple[Column, Column]:
+        pieces = F.when(c["s"] >= at, F.array(F.substr(text, at + 1, c["s"] - at), F.lit(mark))).otherwise(F.array().cast("array<string>"))
+        return F.greatest(at, c["e"]), pieces
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state)
-    clean = F.aggregate("__spans", start, add, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return scan(docs, limits, text_col).withColumn(text_col, F.when(F.size("__spans") > 0, clean).otherwise(text)).drop("__spans")
+    found, name = scan(docs, limits, text_col)
+    clean = bound(folded(F.col(name), "array<string>", add), lambda made: F.concat(F.array_join(made["out"], ""), F.substr(text, made["at"] + 1)))
+    return found.withColumn(text_col, F.when(F.size(name) > 0, clean).otherwise(text)).drop(name)

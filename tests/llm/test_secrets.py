@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from strandlake.llm.secrets import LADDER, find_secrets, redact, thresholds
 
@@ -97,3 +98,19 @@ def test_redact(spark):
     assert got == {1: "a é [SECRET] b [SECRET]", 2: None, 3: "clean"}
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert find_secrets(empty).count() == 0 and redact(empty).count() == 0
+
+
+def test_columns_of_the_user_stay(spark):
+    df = spark.createDataFrame([(1, "password=abcdefabcdefabcdef", 1, 2, 3, 4)], "doc_id long, text string, __a int, spans int, body int, tokens int")
+    got = redact(df, [2.0] * 5)
+    assert got.columns == df.columns and got.first() == (1, "[SECRET]", 1, 2, 3, 4)
+
+
+def test_very_many_secrets_in_one_text(spark):
+    text = " é ".join(f"token={'a1' * 8}{i:06d}" for i in range(5_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    row = find_secrets(df, [2.0] * 5).first()
+    assert row.n_assign == 5_000 and row.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base(text)).encode()).hexdigest()
+    assert redact(df, [2.0] * 5).first().text == " é ".join(["[SECRET]"] * 5_000)
+    assert time.perf_counter() - start < 120
