@@ -12,7 +12,9 @@ from strandlake.operators import states as st
 from strandlake.operators.frames import USUAL_CODONS
 from strandlake.operators.materialize import genome_rows, materialize_products, product_rows, spliced
 from strandlake.plans.annotate import unimplemented_by_module as by_module
-from strandlake.schema import CDS_STATES, EXON
+from strandlake.plans.module import check_exons, exon_coords
+from strandlake.schema import CDS_STATES, EXON, AnnotationError
+from strandlake.sources.config import ModuleConfig, Penalties
 
 SQL: dict[str, str] = {}
 
@@ -187,6 +189,50 @@ SELECT l_orderkey, l_linenumber, CAST(sum(n) OVER w - n AS BIGINT) AS cds_start,
        row_number() OVER w = 1 OR row_number() OVER w = count(*) OVER (PARTITION BY l_orderkey) AS edge FROM r WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)"""
 
 
+def _exon_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranges of an order's lines, in order, as exons of a product."""
+    rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("int").alias("n"))
+    s = (F.col("l_linenumber") * 20).cast("int")
+    ranges = F.array_sort(F.collect_list(F.struct(s.alias("s"), (s + F.greatest(F.lit(1), F.col("n") % 24)).alias("e"))))
+    return rows.groupBy("l_orderkey").agg(ranges.alias("ranges"))
+
+
+_EXONS_SQL = """
+WITH r AS (SELECT l_orderkey, l_linenumber * 20 AS s, l_linenumber * 20 + greatest(1, CAST(min(l_quantity) AS INT) % 24) AS e FROM lineitem GROUP BY l_orderkey, l_linenumber),
+b AS (SELECT *, lag(s) OVER w AS ps, lag(e, 1) OVER w AS p, lag(e, 2) OVER w AS pp, e - s AS n, sum(e - s) OVER (PARTITION BY l_orderkey ORDER BY s) AS c FROM r WINDOW w AS (PARTITION BY l_orderkey ORDER BY s)) """
+
+
+def exon_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Running coding offsets of each exon, as a module computes them."""
+
+    @F.udf(returnType="array<struct<ref_start:long,ref_end:long,cds_start:long,cds_end:long>>")
+    def offsets(ranges: list) -> list:
+        return exon_coords(tuple((r["s"], r["e"]) for r in ranges))
+
+    return _exon_ranges(spark, sf).select("l_orderkey", F.inline(offsets("ranges")))
+
+
+SQL["exon_offsets"] = _EXONS_SQL + "SELECT l_orderkey, CAST(s AS BIGINT) AS ref_start, CAST(e AS BIGINT) AS ref_end, CAST(c - n AS BIGINT) AS cds_start, CAST(c AS BIGINT) AS cds_end FROM b"
+
+
+def exon_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a module takes a product's exons."""
+
+    @F.udf(returnType="boolean")
+    def taken(ranges: list) -> bool:
+        try:
+            check_exons("P", exon_coords(tuple((r["s"], r["e"]) for r in ranges)), 150)
+        except AnnotationError:
+            return False
+        return True
+
+    return _exon_ranges(spark, sf).select("l_orderkey", taken("ranges").alias("taken"))
+
+
+SQL["exon_check"] = _EXONS_SQL + """
+SELECT l_orderkey, CAST(sum(n) AS BIGINT) % 3 = 0 AND max(e) <= 150 AND bool_and(p IS NULL OR (s > ps AND e > p AND p <> s AND p - s <= 2)) AND bool_and(pp IS NULL OR pp <= s) AS taken FROM b GROUP BY 1"""
+
+
 def exon_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbours and next neighbours of exons: order, adjacency, shared bases, gaps."""
     rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("int").alias("n"))
@@ -289,9 +335,14 @@ SQL["leftover_spec_antijoin"] = "SELECT n_nationkey, n_name FROM nation WHERE n_
 
 def params_with_default(spark: SparkSession, sf: str) -> DataFrame:
     """Penalties of a ctype, else the default's."""
-    own = spark.createDataFrame([("1-URGENT", 10, 50)], "o_orderpriority string, match long, gap_open long")
-    rows = table(spark, sf, "orders").join(own, "o_orderpriority", "left")
-    return rows.select("o_orderkey", F.coalesce("match", F.lit(14).cast("long")).alias("match"), F.coalesce("gap_open", F.lit(40).cast("long")).alias("gap_open"))
+    module = ModuleConfig("m", None, "-", "-", {"default": Penalties(14, 1, 40, 1), "1-URGENT": Penalties(10, 1, 50, 1)})
+
+    @F.udf(returnType="struct<match:long,gap_open:long>")
+    def penalties(ctype: str) -> tuple[int, int]:
+        p = module.penalties(ctype)
+        return p.match, p.gap_open
+
+    return table(spark, sf, "orders").select("o_orderkey", penalties("o_orderpriority").alias("p")).select("o_orderkey", "p.match", "p.gap_open")
 
 
 SQL["params_with_default"] = "SELECT o_orderkey, CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 10 ELSE 14 END AS BIGINT) AS \"match\", CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 50 ELSE 40 END AS BIGINT) AS gap_open FROM orders"

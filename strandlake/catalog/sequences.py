@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandlake.catalog.base import IUPAC16, long, nt_of, sql_amino, sql_aminos, sql_nt, table
 from strandlake.functions import coords, iupac
 from strandlake.operators import ends
+from strandlake.schema import AnnotationError
 from strandlake.sources import config, queries as readers
 from strandlake.sources.tables import formatted, kind_of
 
@@ -277,20 +278,27 @@ SELECT l_orderkey, l_linenumber, last_value(CASE WHEN l_partkey % 3 = 0 THEN '#'
 
 
 def module_name_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Names that match ignoring case."""
-    return table(spark, sf, "nation").filter(F.lower("n_name").isin("france", "germany", "china")).select("n_nationkey", "n_name")
+    """The module that a name or alternative name stands for, ignoring case; null without one."""
+    made = [config.ModuleConfig(name, None, "-", "-", {}, alternative_names=others) for name, others in (("First", ("nation_0", "NATION_4")), ("Nation_7", ()), ("last", ("Nation_21",)))]
 
+    @F.udf(returnType="string")
+    def found(name: str) -> str | None:
+        try:
+            return config.find_module(made, name).name
+        except AnnotationError:
+            return None
 
-SQL["module_name_match"] = "SELECT n_nationkey, n_name FROM nation WHERE lower(n_name) IN ('france', 'germany', 'china')"
+    return table(spark, sf, "nation").select("n_nationkey", found("n_name").alias("module"))
+
+
+SQL["module_name_match"] = """
+SELECT n_nationkey, CASE WHEN lower(n_name) IN ('first', 'nation_0', 'nation_4') THEN 'First' WHEN lower(n_name) = 'nation_7' THEN 'Nation_7' WHEN lower(n_name) IN ('last', 'nation_21') THEN 'last' END AS module FROM nation"""
 
 
 def modulo_partition(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows dealt to ten tasks by index, counted and put together again."""
-    parts = [table(spark, sf, "orders").filter(F.pmod("o_orderkey", F.lit(10)) == k).groupBy().agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total")).select(F.lit(k).cast("long").alias("task"), "n", "total") for k in range(10)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows by the remainder of their index, counted."""
+    task = long(F.pmod("o_orderkey", F.lit(10))).alias("task")
+    return table(spark, sf, "orders").groupBy(task).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total"))
 
 
 SQL["modulo_partition"] = """
@@ -298,8 +306,20 @@ SELECT t.task, count(o_orderkey) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total
 
 
 def config_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """Coding regions and rules of the synthetic module as the readers parse them."""
-    return spark.createDataFrame([(text, *map(int, config.parse_range(text))) for text in ("1..18", "535..543", "7..7")], "text string, start long, end long")
+    """A range for each line, as the readers parse its text; null where it isn't one."""
+
+    @F.udf(returnType="struct<start:long,end:long>")
+    def parsed(text: str) -> tuple[int, int] | None:
+        try:
+            return config.parse_range(text)
+        except AnnotationError:
+            return None
+
+    text = F.concat_ws("..", F.col("l_linenumber") - 1, F.col("l_partkey") % 9).alias("text")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text)
+    return rows.withColumn("r", parsed("text")).select("l_orderkey", "l_linenumber", "l_partkey", "text", "r.start", "r.end")
 
 
-SQL["config_ranges"] = """SELECT * FROM (VALUES ('1..18', CAST(0 AS BIGINT), CAST(18 AS BIGINT)), ('535..543', 534, 543), ('7..7', 6, 7)) t(text, start, "end")"""
+SQL["config_ranges"] = """
+WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber - 1 AS a, l_partkey % 9 AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, a || '..' || b AS text, CASE WHEN 1 <= a AND a <= b THEN CAST(a - 1 AS BIGINT) END AS start, CASE WHEN 1 <= a AND a <= b THEN CAST(b AS BIGINT) END AS "end" FROM r"""

@@ -14,7 +14,7 @@ from strandlake.sources.config import ModuleConfig, Penalties, Reference, Rule,
 
 SQL: dict[str, str] = {}
 
-#: A reference made up for these queries: 120 bases with a coding region, and an alternate with three changes.
+#: A reference made up for these queries: 121 bases with a coding region, and an alternate with three changes.
 REFERENCE = "CCTTATGGCAAGTCACGATCTGAACGTCCATTGGAGCTACCGTAAACCTGTGACTTCGGCATACAGGTTCAACGGATCCTGACATGCGAAGTCTCTTGGACCATTAGCAGTTGAACCTGTA"
 ALTERNATE = REFERENCE[:40] + "T" + REFERENCE[41:70] + "A" + REFERENCE[71:90] + "C" + REFERENCE[91:]
 
@@ -70,6 +70,35 @@ def align_best(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("query_id", long("ref_index").alias("ref_index"), long("score").alias("score"), "cigar", long("q_start").alias("q_start"), long("q_end").alias("q_end"), long("r_start").alias("r_start"), long("r_end").alias("r_end"))
 
 
+def align_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Every copy aligns end to end with the first reference; the score where the change is known to be
+    the best alignment: one base changed, and bases only left out or only put in."""
+    k = F.col("query_id").cast("int")
+    one_kind = (k % 5 == 0) | (k % 3 == 0)
+    shown = align_best(spark, sf).withColumn("score", F.when(one_kind, F.col("score")))
+    return shown.select("query_id", "ref_index", "score", "q_start", "q_end", "r_start", "r_end")
+
+
+SQL["align_known"] = _MUTATED + f""", t AS (SELECT *, CAST(query_id AS BIGINT) % 5 AS i, CAST(query_id AS BIGINT) % 3 * 3 AS g FROM s)
+SELECT query_id, CAST(0 AS BIGINT) AS ref_index, CASE WHEN i = 0 OR g = 0 THEN CAST(14 * ({len(REFERENCE) - 1} - g) - 1 - CASE WHEN i + g > 0 THEN 40 + i + g - 1 ELSE 0 END AS BIGINT) END AS score,
+       CAST(0 AS BIGINT) AS q_start, length(nt) AS q_end, CAST(0 AS BIGINT) AS r_start, CAST({len(REFERENCE)} AS BIGINT) AS r_end FROM t"""
+
+
+def annotate_indels(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole plan: bases put in less those left out, from the rows of genomes; each by itself where only one is."""
+    done = annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False)
+    k = F.col("query_id").cast("int")
+    out = F.length("genome_aln") - F.length(F.replace("genome_aln", F.lit("-"), F.lit("")))
+    put = F.col("genome_length") - (F.length("genome_aln") - out)
+    one_kind = (k % 5 == 0) | (k % 3 == 0)
+    rows = done.tables()["gen_seq"]
+    return rows.select("query_id", long(put - out).alias("net"), long(F.when(one_kind, put)).alias("put_in"), long(F.when(one_kind, out)).alias("left_out"))
+
+
+SQL["annotate_indels"] = _MUTATED + """, t AS (SELECT query_id, CAST(query_id AS BIGINT) % 5 AS i, CAST(query_id AS BIGINT) % 3 * 3 AS g FROM s)
+SELECT query_id, i - g AS net, CASE WHEN i = 0 OR g = 0 THEN i END AS put_in, CASE WHEN i = 0 OR g = 0 THEN g END AS left_out FROM t"""
+
+
 def fix_frames(spark: SparkSession, sf: str) -> DataFrame:
     """Deletions of a codon that begin within one move to a border of it. Without weights one of shift 1 goes left
     by one and one of shift 2 right by one."""

@@ -65,30 +65,32 @@ def resolved_by_letter() -> dict[str, str]:
 def amino(codon: Column, strict: bool = False) -> Column:
     """The letter of a codon of an aligned sequence: - for three gaps, . for padding (or padding and gaps), ~ for a
     partial codon, X where ambiguous (``strict``: wherever a base is)."""
-    c = plain(codon)
-    place = [F.instr(F.lit(BASES), F.substring(c, k, 1)) for k in (1, 2, 3)]
-    sure = F.substr(F.lit(AMINO), 16 * (place[0] - 1) + 4 * (place[1] - 1) + place[2], F.lit(1))
+    return amino_of_plain(plain(codon), strict)
+
+
+def amino_of_plain(c: Column, strict: bool = False) -> Column:
+    """The same without U. Codons of bases are looked up once; only others are looked at more closely."""
+    table = F.create_map(*[F.lit(x) for triple in product(BASES, repeat=3) for x in ("".join(triple), amino_of("".join(triple)))])
     unsure = F.lit("X")
     if not strict:
         for letter, texts in resolved_by_letter().items():
             unsure = F.when(F.instr(F.lit(texts), c) > 0, F.lit(letter)).otherwise(unsure)
-    return (
-        F.when(c.rlike("^[TCAG]{3}$"), sure)
-        .when(c == "---", F.lit("-"))
+    other = (
+        F.when(c == "---", F.lit("-"))
         .when(c.rlike("^[-.]{3}$"), F.lit("."))
         .when((F.length(c) < 3) | c.rlike("[-.]"), F.lit("~"))
         .otherwise(unsure)
     )
+    return F.coalesce(F.try_element_at(table, c), other)
 
 
 def codons(seq: Column) -> Column:
     """Whole codons, as an array."""
-    whole = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(whole > 0, F.transform(F.sequence(F.lit(0), whole - 1), lambda i: F.substr(seq, 3 * i + 1, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.regexp_extract_all(seq, F.lit("(?s).{3}"), F.lit(0)), F.array().cast("array<string>"))
 
 
 def amino_list(seq: Column) -> Column:
-    return F.transform(codons(seq), lambda c: amino(c))
+    return F.transform(codons(plain(seq)), lambda c: amino_of_plain(c))
 
 
 def translate_exact(seq: Column) -> Column:

@@ -63,7 +63,8 @@ def aligned_states(queries: DataFrame, module: Module) -> DataFrame:
     the end of a stop extension. Groups that don't align have a null score."""
     spark, c = queries.sparkSession, module.config
     rows = queries.join(module.group_table(spark), "ctype")
-    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4)
+    least = spark.sparkContext.defaultParallelism * 4
+    rows = rows.repartition(max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = rows.withColumn("chewed", chew_offset(F.col("nt"), F.col("ref_len"), F.lit(c.chew_to_start)))
     groups = {k: (seqs, c.penalties(k[1]), c.one_pass) for k, seqs in module.groups().items()}
     rows = align_rows(rows, groups)

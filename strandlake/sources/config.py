@@ -121,6 +121,13 @@ class Rule:
     to_end: int
 
 
+def _needed(table: dict, name: str, what: str):
+    """A field that must be there."""
+    if name not in table:
+        raise AnnotationError(f"{what}: no {name}")
+    return table[name]
+
+
 def _only(table: dict, known: set[str], what: str) -> dict:
     if set(table) - known:
         raise AnnotationError(f"unknown fields of {what}: {sorted(set(table) - known)}")
@@ -132,11 +139,11 @@ def load_rules(path: str | Path) -> dict[tuple[str, str], list[Rule]]:
     out: dict[tuple[str, str], list[Rule]] = {}
     found = _only(tomllib.loads(Path(path).read_text()), {"genome"}, "rewrite rules").get("genome", {})
     for entry in _only(found, {"deletions"}, "genome").get("deletions", []):
-        rule = _only(_only(entry, {"rule"}, "deletions")["rule"], {"ctype", "reference_id", "from", "to"}, "rule")
-        a, b = parse_range(rule["from"]), parse_range(rule["to"])
+        rule = _only(_needed(_only(entry, {"rule"}, "deletions"), "rule", "deletions"), {"ctype", "reference_id", "from", "to"}, "rule")
+        a, b = (parse_range(_needed(rule, x, "rule")) for x in ("from", "to"))
         if a[1] - a[0] != b[1] - b[0] or a == b:
             raise AnnotationError(f"ranges must differ and be of one length: {rule}")
-        out.setdefault((rule["reference_id"], rule["ctype"]), []).append(Rule(*a, *b))
+        out.setdefault((_needed(rule, "reference_id", "rule"), _needed(rule, "ctype", "rule")), []).append(Rule(*a, *b))
     return {k: sorted(v) for k, v in out.items()}
 
 
@@ -151,9 +158,10 @@ class Penalties:
     def of(cls, table: dict) -> Penalties:
         """Penalties may be given with either sign and are kept as costs."""
         _only(table, {"match", "mismatch", "gap_open", "gap_extend"}, "alignment")
-        if any(not -128 < v < 128 for v in table.values()):
+        if any(not isinstance(v, int) or not -128 < v < 128 for v in table.values()):
             raise AnnotationError(f"alignment parameters must be between -127 and 127: {table}")
-        out = cls(table["match"], abs(table["mismatch"]), abs(table["gap_open"]), abs(table["gap_extend"]))
+        match, *costs = (_needed(table, x, "alignment") for x in ("match", "mismatch", "gap_open", "gap_extend"))
+        out = cls(match, *map(abs, costs))
         if out.gap_open == 0 and out.gap_extend == 0:
             raise AnnotationError("gap_open and gap_extend can't both be 0")
         return out
@@ -162,7 +170,7 @@ class Penalties:
 @dataclass(frozen=True)
 class ModuleConfig:
     name: str
-    version: str
+    version: str | None
     references: str
     cds_spec: str
     alignment: dict[str, Penalties]
@@ -197,15 +205,16 @@ def load_modules(path: str | Path) -> list[ModuleConfig]:
         method = m.get("alignment_method", "three-pass")
         if method not in ("one-pass", "three-pass"):
             raise AnnotationError(f"unknown alignment method: {method}")
-        if "default" not in m["alignment"]:
-            raise AnnotationError(f"{m['name']}: no default alignment")
-        for name in (m["name"], *m.get("alternative_names", ())):
+        own = _needed(m, "name", "module")
+        if "default" not in _needed(m, "alignment", own):
+            raise AnnotationError(f"{own}: no default alignment")
+        for name in (own, *m.get("alternative_names", ())):
             if name.lower() in names:
                 raise AnnotationError(f"repeated module name: {name}")
             names.add(name.lower())
         out.append(
             ModuleConfig(
-                m["name"], m["version"], m["references"], m["cds_spec"], {k: Penalties.of(v) for k, v in m["alignment"].items()}, m.get("weights"),
+                own, m.get("version"), _needed(m, "references", own), _needed(m, "cds_spec", own), {k: Penalties.of(v) for k, v in m["alignment"].items()}, m.get("weights"),
                 _only(m.get("experimental", {}), {"rewrite_rules"}, "experimental").get("rewrite_rules"), tuple(m.get("alternative_names", ())), method == "one-pass", **rules, **shown, folder=Path(path).parent,
             )
         )

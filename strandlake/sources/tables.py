@@ -33,9 +33,9 @@ def write_table(df: DataFrame, table: str, path: str, fmt: str = "tsv", mode: st
         df.select(*names(table)).write.mode(mode).format(fmt).save(path)
 
 
-def write_tables(tables: dict[str, DataFrame], prefix: str, fmt: str = "tsv", mode: str = "error") -> dict[str, str]:
-    """Each table into a folder ``{prefix}{table}``."""
-    paths = {t: f"{prefix}{t}" for t in tables}
+def write_tables(tables: dict[str, DataFrame], prefix: str, fmt: str = "tsv", mode: str = "error", part: str = "") -> dict[str, str]:
+    """Each table into a folder ``{prefix}{table}{part}``."""
+    paths = {t: f"{prefix}{t}{part}" for t in tables}
     for t, df in tables.items():
         write_table(df, t, paths[t], fmt, mode)
     return paths
@@ -48,6 +48,7 @@ def read_table(spark: SparkSession, table: str, path: str, fmt: str = "tsv") ->
         df = spark.read.csv(path, schema=schema, sep="\t", nullValue=NULL, quote="", mode="FAILFAST")
     else:
         df = spark.read.format(fmt).schema(schema).load(path)
+    df = df.select(*names(table))  # without the numbers of a stream's batches
     return with_kind(df) if table == "seq" else checked_deletions(df) if table == "del" else df
 
 

@@ -17,11 +17,14 @@ def read_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def annotate_stream(raw: DataFrame, module: Module, prefix: str, checkpoint: str, default_ctype: str | None = None, fmt: str = "parquet") -> StreamingQuery:
-    """Appends the six tables of each micro-batch to folders below ``prefix``."""
+    """The six tables of each micro-batch go to ``{prefix}{table}/batch_id={number}``. A batch that is tried again
+    writes over what it left, so no row comes twice."""
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         done = annotate(prepare(batch, default_ctype), module)
-        write_tables(done.tables(), prefix, fmt, "append")
-        done.kept.unpersist()
+        try:
+            write_tables(done.tables(), prefix, fmt, "overwrite", f"/batch_id={number}")
+        finally:
+            done.kept.unpersist()
 
     return raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
