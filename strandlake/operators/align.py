@@ -49,8 +49,8 @@ class Alignment:
     cigar: str
 
 
-#: Cells whose directions are kept at once.
-MOST_CELLS = 1 << 26
+#: Cells whose directions are kept at once, and up to which all are computed in one sweep.
+MOST_CELLS, FEW_CELLS = 1 << 26, 1 << 20
 
 
 def _profiles(references: list[str], p: Penalties) -> np.ndarray:
@@ -109,16 +109,16 @@ def _sweep(query: np.ndarray, profile: np.ndarray, p: Penalties, rows: _Rows, ba
             source |= (longer >= opened).astype(np.uint8) << 2
             source[:, 2:] |= (deleted[:, :-1] - np.int32(p.gap_extend) >= best[:, 1:-1] - np.int32(p.gap_open)).astype(np.uint8) << 3
             at = lo - i - band[0]
-            trace[i - first, at : at + hi - lo] = source[0]
+            trace[i - first, :, at : at + hi - lo] = source
         h[:, lo:hi], e[:, lo:hi] = new, inserted
         yield i, lo, new
 
 
-def _best(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def _best(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], trace: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """The best score of each reference within the band, and its first cell in row-major order."""
     count, m = profile.shape[1:]
     best, at = np.zeros(count, np.int32), [(-1, -1)] * count
-    for i, lo, new in _sweep(query, profile, p, _Rows.top(count, m), band):
+    for i, lo, new in _sweep(query, profile, p, _Rows.top(count, m), band, 0, trace):
         top = new.max(axis=1)
         if (top > best).any():
             for r in np.flatnonzero(top > best).tolist():
@@ -132,26 +132,28 @@ def _allowed(score: int, n: int, m: int, p: Penalties) -> tuple[int, int]:
     return max(matches - n, 1 - n), min(m - matches, m - 1)
 
 
-def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], at: tuple[int, int], whole: bool, most_cells: int) -> tuple[int, int, str]:
-    """Start of the alignment that ends in a cell of one reference, and its operations in reverse."""
+def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], at: tuple[int, int], whole: bool, most_cells: int, known: np.ndarray | None = None) -> tuple[int, int, str]:
+    """Start of the alignment that ends in a cell of one reference, and its operations in reverse. ``known`` has the
+    directions of all rows, if they are known."""
     i, j = at
     m, width = profile.shape[2], band[1] - band[0] + 1
-    block = i + 1 if whole or (i + 1) * width <= most_cells else max(1, min(math.isqrt(i + 1), most_cells // width))
+    block = i + 1 if known is not None or whole or (i + 1) * width <= most_cells else max(1, min(math.isqrt(i + 1), most_cells // width))
     saved: list[_Rows] = [_Rows.top(1, m)]
     if block <= i:
         rows = saved[0].copy()
         for k, _, _ in _sweep(query[: i + 1], profile, p, rows, band):
             if (k + 1) % block == 0:
                 saved.append(rows.copy())
-    first, trace = -1, np.empty((0, 0), np.uint8)
+    first, trace = (-1, np.empty((0, 0), np.uint8)) if known is None else (0, known)
     ops: list[str] = []
     state = "M"
     while i >= 0 and j >= 0:
         if first != i // block * block:
             first = i // block * block
-            trace = np.zeros((min(block, at[0] + 1 - first), width), np.uint8)
-            for _ in _sweep(query[first : first + len(trace)], profile, p, saved[i // block], band, first, trace):
+            made = np.zeros((min(block, at[0] + 1 - first), 1, width), np.uint8)
+            for _ in _sweep(query[first : first + len(made)], profile, p, saved[i // block], band, first, made):
                 pass
+            trace = made[:, 0]
         cell = trace[i - first, j - i - band[0]] if band[0] <= j - i <= band[1] else 0
         if state == "M":
             source = cell & 3
@@ -175,7 +177,7 @@ def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int,
     return i + 1, j + 1, "".join(ops)
 
 
-def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bool, most_cells: int = MOST_CELLS) -> tuple[int, Alignment] | None:
+def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bool, most_cells: int = MOST_CELLS, few_cells: int = FEW_CELLS) -> tuple[int, Alignment] | None:
     """The best local alignment with a group of references of one length; the first wins ties. None without a positive
     score."""
     q = _CODE[np.frombuffer(query.encode(), np.uint8)]
@@ -185,6 +187,10 @@ def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bo
     profile = _profiles(references, p)
     near, band = max(32, n // 400), (0, -1)
     wanted = every = (1 - n, m - 1)
+    trace = None
+    if len(references) * n * (n + m) <= few_cells:  # vectors are short, so rows cost more than cells
+        band, trace = every, np.zeros((n, len(references), n + m - 1), np.uint8)
+        best, at = _best(q, profile, p, band, trace)
     while wanted[0] < band[0] or wanted[1] > band[1]:
         swept = band[1] - band[0] + 1
         band = max(every[0], min(0, m - n) - near), min(every[1], max(0, m - n) + near)
@@ -199,14 +205,15 @@ def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bo
     score = int(best[which])
     if not score:
         return None
-    i, j, ops = _path(q, profile[:, which : which + 1], p, _allowed(score, n, m, p), at[which], one_pass, most_cells)
+    kept = (every, trace[:, which]) if trace is not None else (_allowed(score, n, m, p), None)
+    i, j, ops = _path(q, profile[:, which : which + 1], p, kept[0], at[which], one_pass, most_cells, kept[1])
     cigar = "".join(f"{len(list(run))}{op}" for op, run in groupby(reversed(ops)))
     return which, Alignment(score, i, at[which][0] + 1, j, at[which][1] + 1, cigar)
 
 
-def align(query: str, reference: str, p: Penalties, one_pass: bool = True, most_cells: int = MOST_CELLS) -> Alignment | None:
+def align(query: str, reference: str, p: Penalties, one_pass: bool = True, most_cells: int = MOST_CELLS, few_cells: int = FEW_CELLS) -> Alignment | None:
     """The best local alignment; None without a positive score."""
-    found = best_alignment(query, [reference], p, one_pass, most_cells)
+    found = best_alignment(query, [reference], p, one_pass, most_cells, few_cells)
     return found and found[1]
 
 

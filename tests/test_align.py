@@ -50,7 +50,7 @@ def test_score_and_path(seed):
             assert a is None
         else:
             assert a.score == best == score(a, q, r, p)
-    assert align(q, r, p, True) == align(q, r, p, False) == align(q, r, p, False, most_cells=64)
+    assert align(q, r, p, True) == align(q, r, p, False) == align(q, r, p, False, most_cells=64, few_cells=0) == align(q, r, p, few_cells=0)
 
 
 def test_first_reference_wins_ties():
