@@ -40,6 +40,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.tables: dict[str, str] = {}  # names in the session's catalog
         _made.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -54,6 +55,7 @@ class Scratch:
         table = f"{name}_{uuid.uuid4().hex}"
         ready = df.repartition(buckets, *keys)
         ready.write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", f"{self.root}/{name}").saveAsTable(table)
+        self.tables[name] = table
         return self.spark.table(table)
 
     def plain(self, name: str, table: DataFrame) -> DataFrame:
@@ -62,6 +64,9 @@ class Scratch:
 
     def drop(self, name: str = "") -> None:
         """Delete a table that no later step reads (or all of them)."""
+        for made in [name] if name else list(self.tables):
+            if made in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(made)}")
         _delete(self.spark, f"{self.root}/{name}" if name else self.root)
 
 
