@@ -50,15 +50,33 @@ def fit_index(sample: np.ndarray, lists: int, rounds: int = 8) -> Index:
     return Index(centroids, rotation)
 
 
-def scan(rotated: np.ndarray, query: np.ndarray, k: int, block: int, epsilon: float, first: int = 128) -> np.ndarray:
+def probes_for(queries: np.ndarray, points: np.ndarray, index: Index, k: int, recall: float) -> int:
+    """How many lists, nearest first, hold the share ``recall`` of the queries' k nearest points by brute force. A
+    point equal to the query doesn't count."""
+    points, lists = unit(points), len(index.centroids)
+    if not len(queries) or len(points) <= k:
+        return lists
+    own = np.argmax(points @ index.centroids.T, axis=1)
+    places = []
+    for at in range(0, len(queries), 64):
+        q = unit(queries[at : at + 64])
+        score = q @ points.T
+        score[score > 1 - 1e-12] = -np.inf
+        near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        place = np.argsort(np.argsort(-(q @ index.centroids.T), axis=1, kind="stable"), axis=1)
+        places.append(np.take_along_axis(place, own[near], axis=1).ravel())
+    return int(np.quantile(np.concatenate(places), recall, method="higher")) + 1
+
+
+def scan(rotated: np.ndarray, query: np.ndarray, k: int, block: int, epsilon: float, first: int = 128, rows_at_once: int = 1024) -> np.ndarray:
     """Rows that may be among the k nearest of a query; both rotated and of unit length."""
     dims = rotated.shape[1]
     if len(rotated) <= k:
         return np.arange(len(rotated))
     kept_rows: list[np.ndarray] = []
     best = np.empty(0)
-    for at in range(0, len(rotated), 1024) if len(rotated) > first else [0]:
-        part = rotated[at : at + 1024]
+    for at in range(0, len(rotated), rows_at_once):
+        part = rotated[at : at + rows_at_once]
         rows = np.arange(len(part))
         partial = np.zeros(len(part))
         bound = best[k - 1] if len(best) >= k else np.inf
@@ -83,12 +101,14 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, probe_share: float = 0.8, sample: int = 20_000, block: int = 16, epsilon: float = 2.5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, probe_share: float | None = None, recall: float = 0.97, sample: int = 20_000, held: int = 512, block: int = 16, epsilon: float = 2.5, group: int = GROUP, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest other rows of each query by cosine: query_id, rank, vec_id, score.
 
-    ``lists`` is a third of the square root of the number of distinct vectors unless given, ``probe_share`` the share of lists
-    that a query probes (always enough to hold k + 1 ids), ``sample`` the bound of vectors that the index is fitted
-    on. Vectors that are null, zero, or hold null or non-finite components take no part, nor do those without an id
+    ``lists`` is a third of the square root of the number of distinct vectors unless given, ``sample`` the bound of
+    vectors that the index is fitted on, ``group`` how many rows and how many queries of a list meet in one task's
+    group. A query probes as many lists as held the share ``recall`` of the nearest among the sample for up to
+    ``held`` vectors of it (at most a quarter) that the lists weren't fitted on, or the share ``probe_share`` of the
+    lists if given (1.0 leaves no list out), and always enough to hold k + 1 ids. Vectors that are null, zero, or hold null or non-finite components take no part, nor do those without an id
     or of another size than the most frequent one. Repeated rows count once. Fewer than k others give them all; no
     rows give none. Equal scores are ordered by id.
     """
@@ -107,7 +127,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     picked = classes.filter((F.shiftrightunsigned(F.xxhash64("c"), 11) / float(1 << 53)) < min(1.0, sample / n)).select("v").toArrow()["v"]
     points = np.array(picked.combine_chunks().flatten()).reshape(len(picked), -1) if len(picked) else np.array(classes.select("v").first()["v"])[None]
     lists = max(1, min(lists or round(n**0.5 / 3), len(points)))
-    shared = spark.sparkContext.broadcast(fit_index(points, lists))
+    held = min(held, len(points) // 4)
+    lists = min(lists, len(points) - held)
+    index = fit_index(points[held:], lists)
+    probes = probes_for(points[:held], points, index, k, recall) if probe_share is None else max(1, round(lists * probe_share))
+    shared = spark.sparkContext.broadcast(index)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2000):
@@ -116,21 +140,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], ["c", "v", "ids", "list"])
 
     placed = scratch.write(classes.select("c", "v", "ids").mapInArrow(assign, "c string, v array<double>, ids array<long>, list int"), "placed")
-    held = np.zeros(lists, int)
+    ids_in = np.zeros(lists, int)
     parts = np.ones(lists, int)
     for r in placed.groupBy("list").agg(F.sum(F.size("ids")).alias("ids"), F.count("*").alias("n")).collect():
-        held[r["list"]], parts[r["list"]] = r["ids"], -(-r["n"] // GROUP)
-    probes = max(1, round(lists * probe_share))
+        ids_in[r["list"]], parts[r["list"]] = r["ids"], -(-r["n"] // group)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2000):
             x = unit(np.array(batch.column("v").flatten()).reshape(len(batch), -1))
             order = np.argsort(-(x @ shared.value.centroids.T), axis=1, kind="stable")
-            enough = np.argmax(np.cumsum(held[order], axis=1) >= min(k + 1, held.sum()), axis=1) + 1
+            enough = np.argmax(np.cumsum(ids_in[order], axis=1) >= min(k + 1, ids_in.sum()), axis=1) + 1
             many = np.maximum(probes, enough)
             rows = np.repeat(np.arange(len(x)), many)
             found = np.concatenate([o[:m] for o, m in zip(order, many, strict=True)]).astype(np.int32) if len(x) else np.empty(0, np.int32)
-            full = held[found] > 0
+            full = ids_in[found] > 0
             yield pa.RecordBatch.from_arrays([batch.column("c").take(pa.array(rows[full])), pa.array(found[full])], ["c", "list"])
 
     asked = v.filter("q").select("id", "c").distinct()
@@ -138,7 +161,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     wanted = scratch.write(queries.mapInArrow(probe, "c string, list int"), "wanted")
     blocks = np.ones(lists, int)
     for r in wanted.groupBy("list").count().collect():
-        blocks[r["list"]] = -(-r["count"] // GROUP)
+        blocks[r["list"]] = -(-r["count"] // group)
     splits = spark.createDataFrame([(i, int(p), int(b)) for i, (p, b) in enumerate(zip(parts, blocks, strict=True))], "list int, parts int, blocks int")
     splits = F.broadcast(splits)  # one row per list; their number is bounded by the sample
     rows_of = placed.join(splits, "list").select("list", F.pmod(F.xxhash64("c"), "parts").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "c", "v", "ids")
@@ -166,7 +189,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None
     found = rows_of.unionByName(asks_of).groupBy("list", "part", "block").applyInArrow(search, "c string, score double, ids array<long>")
     each = found.select("c", "score", F.explode("ids").alias("vec_id"))
     by_score = Window.partitionBy("c").orderBy(F.desc("score"), "vec_id")
-    top = each.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= k + 1).drop("n")
-    mine = asked.withColumnRenamed("id", "query_id").join(top, "c").filter(F.col("vec_id") != F.col("query_id"))
-    by_query = Window.partitionBy("query_id", "c").orderBy(F.desc("score"), "vec_id")
-    return mine.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    top = each.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= k + 1)
+    # at most k + 1 rows of a vector; written, so Spark may split a vector that very many queries share
+    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
+    top = scratch.write(top.groupBy("c").agg(best.alias("best")), "best")
+    others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
+    mine = asked.withColumnRenamed("id", "query_id").join(top, "c").select("query_id", F.posexplode(others).alias("at", "b"))
+    return mine.select("query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from strandlake.llm.neighbours import nearest
+from strandlake.llm.neighbours import fit_index, nearest, probes_for, scan
 
 SCHEMA = "vec_id long, embedding array<float>, score string"
 
@@ -57,3 +57,38 @@ def test_few_and_none(spark):
     assert run(spark, [(0, None)]) == {}
     assert nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 10 == 0).count() == 0
     assert [r.vec_id for r in run(spark, [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (5, [1.0, 0.1])])[0]] == [5]
+
+
+def test_many_groups_equal_one(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(400)]
+    want = brute(rows, 5, lambda i: i % 10 == 0)
+    got = run(spark, rows, probe_share=1.0, epsilon=50.0, lists=3, group=8)
+    assert {q: [r.vec_id for r in found] for q, found in got.items()} == want
+
+
+def test_one_vector_in_a_third_of_all_rows(spark):
+    rng = np.random.default_rng(10)
+    same = [float(x) for x in rng.normal(size=8)]
+    rows = [(i, same if i % 3 == 0 else [float(x) for x in rng.normal(size=8)]) for i in range(600)]
+    got = run(spark, rows, probe_share=1.0, epsilon=50.0)
+    for q in range(0, 600, 30):
+        assert [r.vec_id for r in got[q]] == [i for i in range(0, 21, 3) if i != q][:5]
+
+
+def test_scan_over_several_parts():
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(500, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = set(np.argsort(-(x @ x[7]), kind="stable")[:6])
+    assert want <= set(scan(x, x[7], 6, 8, 50.0, rows_at_once=64))
+
+
+def test_fewer_lists_are_probed_where_vectors_lie_in_clusters():
+    rng = np.random.default_rng(12)
+    spread = rng.normal(size=(1000, 32))
+    dense = np.repeat(rng.normal(size=(20, 32)), 50, axis=0) + rng.normal(size=(1000, 32)) * 0.05
+    rng.shuffle(dense)
+    few, many = (probes_for(x[:200], x, fit_index(x[200:], 20), 5, 0.97) for x in (dense, spread))
+    assert few <= 3 and many >= 12
+    assert probes_for(spread[:0], spread, fit_index(spread, 4), 5, 0.97) == 4
