@@ -2,8 +2,9 @@
 
 Both levels use one-versus-one linear support vector machines over hashed byte pairs and triples of the lower-cased
 text, as shares of its length, so a score is a mean of weights and a text of any length is read once and whole.
-The machines are fitted on a bounded sample of labelled rows (``sample_per_lang``) by dual coordinate descent; only
-the weights, of fixed size for each pair of classes, are broadcast.
+The machines are fitted on a bounded sample of labelled rows (``sample_per_lang``) by dual coordinate descent. Only the
+weights are broadcast, at most MOST_BYTES: the more machines there are, the fewer hashes each has. The machines of a
+family read only the texts of that family.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.textbytes import chunks, utf8
 
-#: Families of the languages met most; a language that isn't here is a family of its own.
+#: Families of the languages met most; the others are put into families by likeness.
 FAMILIES = {
     "germanic": ("de", "nl", "en", "af", "sv", "da", "no", "is"),
     "romance": ("fr", "es", "pt", "it", "ro", "ca", "gl"),
@@ -28,6 +29,9 @@ FAMILIES = {
 }
 HALF = 1 << 16
 UNDETERMINED = "und"
+#: Families, and languages of a family made by likeness; bytes of all weights.
+MOST_CLASSES = 16
+MOST_BYTES = 1 << 27
 
 
 def grams(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,15 +58,22 @@ def lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return utf8(pc.utf8_lower(column.cast(pa.large_string())))
 
 
+def folded(keys: np.ndarray, half: int) -> np.ndarray:
+    """Feature numbers where pairs and triples have ``half`` numbers each, a power of two up to HALF."""
+    return (keys & (half - 1)) + np.where(keys >= HALF, half, 0).astype(keys.dtype)
+
+
 def margins(column: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
     """One row per text, one column per machine."""
     raw, offsets = lowered(column)
+    half = weights.shape[1] // 2
     out = np.zeros((len(column), len(weights)))
     for i, j in chunks(offsets):
         at = offsets[i : j + 1] - offsets[i]
         if not at[-1]:
             continue
         pair, triple, in_pair, in_triple = grams(raw[offsets[i] : offsets[j]], at)
+        pair, triple = folded(pair, half), folded(triple, half)
         size = np.maximum(np.diff(at), 1)
         for m, w in enumerate(weights):
             out[i:j, m] = sums(w[pair] * in_pair + w[triple] * in_triple, at) / size
@@ -83,10 +94,10 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(values, pa.binary())], ["lang", "keys", "shares"])
 
 
-def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, c: float = 10.0, rounds: int = 20) -> tuple[np.ndarray, float]:
+def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, half: int = HALF, c: float = 10.0, rounds: int = 20) -> tuple[np.ndarray, float]:
     """A linear support vector machine with squared hinge loss, by dual coordinate descent. The last weight is the bias."""
     scale = 1.0 / np.sqrt(np.mean([float(v @ v) for _, v in rows]) or 1.0)
-    w = np.zeros(2 * HALF + 1)
+    w = np.zeros(2 * half + 1)
     alpha = np.zeros(len(rows))
     norms = np.array([scale * scale * float(v @ v) + 1.0 for _, v in rows])
     order, rng = np.arange(len(rows)), np.random.Generator(np.random.PCG64(7))
@@ -104,40 +115,78 @@ def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, c:
     return (w[:-1] * scale).astype(np.float32), float(w[-1])
 
 
+def families(rows: list[tuple[str, np.ndarray, np.ndarray]], most: int = MOST_CLASSES) -> dict[str, str]:
+    """The family of each language of the rows: one of FAMILIES or, for the other languages, one of its own. While there
+    are more than ``most``, the two most alike of those made here are joined, to at most ``most`` languages; a joined
+    family has the name of its first language."""
+    langs = sorted({lang for lang, *_ in rows})
+    found = {lang: next((f for f, members in FAMILIES.items() if lang in members), lang) for lang in langs}
+    made = [lang for lang in langs if found[lang] == lang]
+    groups = [[lang] for lang in made]
+    if len(set(found.values())) <= most:
+        return found
+    mean = np.zeros((len(made), 2 * HALF), np.float32)
+    for lang, k, v in rows:
+        if found[lang] == lang:
+            mean[made.index(lang), k] += v
+    mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-12)
+    alike, at = mean @ mean.T, {lang: i for i, lang in enumerate(made)}
+
+    def likeness(pair: tuple[list[str], list[str]]) -> float:
+        return float(np.mean(alike[np.ix_([at[x] for x in pair[0]], [at[x] for x in pair[1]])]))
+
+    while len(groups) + len(set(found.values()) & set(FAMILIES)) > most:
+        pairs = [(a, b) for a, b in combinations(groups, 2) if len(a) + len(b) <= most]
+        if not pairs:
+            break
+        a, b = max(pairs, key=likeness)
+        groups = [g for g in groups if g is not a and g is not b] + [sorted(a + b)]
+    return found | {lang: group[0] for group in groups for lang in group}
+
+
 class Model:
     """Machines for pairs of families and for pairs of languages of one family."""
 
-    def __init__(self, langs: list[str]):
-        found = {lang: next((f for f, members in FAMILIES.items() if lang in members), lang) for lang in langs}
-        self.groups = {f: sorted(x for x in langs if found[x] == f) for f in sorted(set(found.values()))}
+    def __init__(self, family: dict[str, str], most_bytes: int = MOST_BYTES):
+        self.family = family
+        self.groups = {f: sorted(x for x in family if family[x] == f) for f in sorted(set(family.values()))}
         self.pairs: list[tuple[str, str, str]] = [("", a, b) for a, b in combinations(self.groups, 2)]
         self.pairs += [(f, a, b) for f, members in self.groups.items() for a, b in combinations(members, 2)]
-        self.weights, self.biases = np.zeros((0, 2 * HALF), np.float32), np.zeros(0)
-        self.family = found
+        self.half = HALF
+        while self.half > 1 << 8 and len(self.pairs) * 2 * self.half * 4 > most_bytes:
+            self.half //= 2
+        self.weights, self.biases = np.zeros((0, 2 * self.half), np.float32), np.zeros(0)
 
     def fit(self, rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
+        def merged(keys: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            key, place = np.unique(folded(keys, self.half), return_inverse=True)
+            return key, np.bincount(place, weights=shares, minlength=len(key))
+
+        small = [(lang, *merged(k, v)) for lang, k, v in rows]
         made = []
         for level, a, b in self.pairs:
-            name = (lambda x: self.family[x]) if not level else (lambda x: x)
-            own = [(k, v, 1.0 if name(lang) == a else -1.0) for lang, k, v in rows if name(lang) in (a, b)]
-            made.append(fit_machine([(k, v) for k, v, _ in own], np.array([s for *_, s in own])))
+            named = {lang: lang if level else self.family[lang] for lang in self.family}
+            own = [(k, v, 1.0 if named[lang] == a else -1.0) for lang, k, v in small if named[lang] in (a, b)]
+            made.append(fit_machine([(k, v) for k, v, _ in own], np.array([x for *_, x in own]), self.half))
         if made:
             self.weights, self.biases = np.stack([w for w, _ in made]), np.array([b for _, b in made])
         return self
 
-    def _vote(self, level: str, classes: list[str], margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _vote(self, level: str, classes: list[str], column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of the class with most wins (ties: the larger sum of margins), and its mean likelihood."""
-        n = len(margin)
+        n = len(column)
         if len(classes) == 1:
             return np.zeros(n, int), np.ones(n)
+        own = [m for m, (of, _, _) in enumerate(self.pairs) if of == level]
+        margin = margins(column, self.weights[own], self.biases[own])
         wins, total, likely = (np.zeros((n, len(classes))) for _ in range(3))
-        for m, (own, a, b) in enumerate(self.pairs):
-            if own == level and a in classes and b in classes:
-                p = 1 / (1 + np.exp(-4 * np.clip(margin[:, m], -9, 9)))
-                for x, sign, q in ((classes.index(a), 1, p), (classes.index(b), -1, 1 - p)):
-                    wins[:, x] += sign * margin[:, m] > 0
-                    total[:, x] += sign * margin[:, m]
-                    likely[:, x] += q / (len(classes) - 1)
+        for at, m in enumerate(own):
+            p = 1 / (1 + np.exp(-4 * np.clip(margin[:, at], -9, 9)))
+            for name, sign, q in ((self.pairs[m][1], 1, p), (self.pairs[m][2], -1, 1 - p)):
+                x = classes.index(name)
+                wins[:, x] += sign * margin[:, at] > 0
+                total[:, x] += sign * margin[:, at]
+                likely[:, x] += q / (len(classes) - 1)
         best = np.argmax(wins + 1e-3 * np.tanh(total), axis=1)
         return best, likely[np.arange(n), best]
 
@@ -145,14 +194,12 @@ class Model:
         n = len(column)
         named, score = np.full(n, UNDETERMINED, object), np.zeros(n)
         if self.groups:
-            margin = margins(column, self.weights, self.biases)
-            families = list(self.groups)
-            family, p = self._vote("", families, margin)
-            for f, name in enumerate(families):
+            family, p = self._vote("", list(self.groups), column)
+            for f, (name, langs) in enumerate(self.groups.items()):
                 rows = np.flatnonzero(family == f)
                 if len(rows):
-                    best, q = self._vote(name, self.groups[name], margin[rows])
-                    named[rows], score[rows] = np.array(self.groups[name], object)[best], p[rows] * q
+                    best, q = self._vote(name, langs, column.take(pa.array(rows)))
+                    named[rows], score[rows] = np.array(langs, object)[best], p[rows] * q
         lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         named[~lettered], score[~lettered] = UNDETERMINED, 0.0
         return named.tolist(), score
@@ -171,13 +218,13 @@ def fit(docs: DataFrame, sample_per_lang: int = 250, id_col: str = "doc_id", tex
     usable = usable.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("r") != 2))
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
-        return Model([])
+        return Model({})
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, sample_per_lang / n)))])
     picked = usable.filter((F.shiftrightunsigned("u", 11) / float(1 << 53)) < F.element_at(share, F.col("lang")))
     rows = picked.select("lang", "text").mapInArrow(counted, "lang string, keys binary, shares binary").collect()
     rows = sorted((r["lang"], bytes(r["keys"]), bytes(r["shares"])) for r in rows)
     parsed = [(lang, np.frombuffer(k, "<i4"), np.frombuffer(v, "<f4").astype(float)) for lang, k, v in rows if k]
-    return Model(sorted({lang for lang, *_ in parsed})).fit(parsed)
+    return Model(families(parsed)).fit(parsed)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,7 +1,11 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from strandlake.llm import langid, quality
 
@@ -50,6 +54,62 @@ def test_language_doesnt_depend_on_the_batch(spark):
     assert [x[:3] for x in one] == [x[:3] for x in many] and np.allclose([x[3] for x in one], [x[3] for x in many])
 
 
+def plain_margin(text, weights, bias):
+    """A machine's margin of one text, feature by feature."""
+    raw = text.lower().encode()
+    half, total = len(weights) // 2, 0.0
+    for i in range(len(raw) - 1):
+        total += float(weights[(raw[i] << 8 | raw[i + 1]) % half])
+    for i in range(len(raw) - 2):
+        triple = raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]
+        total += float(weights[half + ((triple * 2654435761 % (1 << 32)) >> 16) % half])
+    return total / max(len(raw), 1) + bias
+
+
+def plain_vote(model, level, classes, text):
+    if len(classes) == 1:
+        return classes[0], 1.0
+    wins, total, likely = Counter(), Counter(), Counter()
+    for (own, a, b), w, bias in zip(model.pairs, model.weights, model.biases, strict=True):
+        if own == level:
+            m = plain_margin(text, w, bias)
+            p = 1 / (1 + math.exp(-4 * max(-9, min(9, m))))
+            wins.update({a: int(m > 0), b: int(m < 0)})
+            total.update({a: m, b: -m})
+            likely.update({a: p, b: 1 - p})
+    best = max(classes, key=lambda x: (wins[x], total[x]))
+    return best, likely[best] / (len(classes) - 1)
+
+
+@pytest.mark.parametrize("most_bytes", [langid.MOST_BYTES, 1 << 16])
+def test_language_votes_against_brute_force(most_bytes):
+    rows = corpus()[:120]
+    counted = pa.RecordBatch.from_arrays([pa.array([lang for *_, lang in rows]), pa.array([t for _, t, _, _ in rows])], ["lang", "text"])
+    made = next(langid.counted(iter([counted]))).to_pylist()
+    parsed = [(r["lang"], np.frombuffer(r["keys"], "<i4"), np.frombuffer(r["shares"], "<f4").astype(float)) for r in made]
+    model = langid.Model(langid.families(parsed), most_bytes).fit(parsed)
+    assert model.weights.nbytes <= most_bytes
+    texts = [t for _, t, _, _ in rows[:20]] + ["a", "Ünïcode \U0001d518", "the und les", "x" * 5000]
+    named, score = model.predict(pa.array(texts))
+    for text, lang, p in zip(texts, named, score, strict=True):
+        family, q = plain_vote(model, "", list(model.groups), text)
+        best, r = plain_vote(model, family, model.groups[family], text)
+        assert lang == best and math.isclose(p, q * r, rel_tol=1e-5, abs_tol=1e-7)
+
+
+def test_many_languages_make_few_families(spark):
+    rng = random.Random(8)
+    stems = {f"x{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)] for k in range(30)}
+    rows = [(i, " ".join("".join(rng.choice(stems[lang]) for _ in range(2)) for _ in range(40)), lang) for i, lang in enumerate(sorted(stems) * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.groups) <= langid.MOST_CLASSES and max(map(len, model.groups.values())) <= langid.MOST_CLASSES
+    assert sorted(x for langs in model.groups.values() for x in langs) == sorted(stems)
+    got = {r.doc_id: r for r in langid.identify(df, model).collect()}
+    held = [(d, lang) for d, _, lang in rows if got[d].held_out]
+    assert np.mean([got[d].lang_pred == lang for d, lang in held]) > 0.95
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     model = langid.fit(df)
