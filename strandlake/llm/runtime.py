@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -77,6 +78,19 @@ def clean(spark: SparkSession) -> None:
         _delete(spark, folder)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that operators write inside, at its end; write the results that read them before that."""
+    made = _made.setdefault(spark.sparkContext.applicationId, [])
+    before = len(made)
+    try:
+        yield
+    finally:
+        for folder in made[before:]:
+            _delete(spark, folder)
+        del made[before:]
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """A column name that isn't taken."""
     lower = {c.lower() for c in taken}
