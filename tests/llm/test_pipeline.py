@@ -1,7 +1,10 @@
 import random
 
+from pathlib import Path
+
 import corpus_pipeline
 from strandlake.llm import queries
+from strandlake.llm.runtime import shared_folder
 
 
 def words(rng, n):
@@ -34,5 +37,41 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, seen["packing"].drop("sequence_id").collect()))
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_repeats_long_texts_and_further_columns(spark, tmp_path):
+    rng = random.Random(7)
+    long = words(rng, 60_000)
+    rows = [(1, long, "en"), (2, words(rng, 40), None), (2, words(rng, 40), None), (None, words(rng, 40), "en"), (None, None, None), (3, "one two", "de"), (3, "one two", "de"), (4, "\n" * 5000, "en"), (5, None, "en")]
+    docs = spark.createDataFrame([(d, t, lang, None, None, 7, "kept") for d, t, lang in rows], SCHEMA + ", gone int, d string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        assert now.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.gone, r.d) for r in now.collect()) == [(0, 7, "kept"), (1, 7, "kept"), (2, 7, "kept"), (2, 7, "kept"), (3, 7, "kept")]
+    assert next(r.text for r in now.collect() if r.doc_id == 1) == long
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert packed.groupBy("doc_id").count().count() == 4
+
+
+def test_a_run_leaves_only_what_its_result_reads(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(k, words(rng, 30), "en", "s", 1) for k in range(20)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    home = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(home.iterdir())
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    made = [x.name for folder in set(home.iterdir()) - before if folder.name.startswith("pipeline-") for x in folder.iterdir() if not x.name.startswith(".")]
+    assert made == ["secret_scan"]
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
