@@ -403,9 +403,18 @@ class Join:
                 if shared is not None:
                     at = np.mod(batch.column("doc_id").to_numpy(), bits)
                     text = text.filter(pa.array(((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool)))
-                if len(text):
-                    sets = list(shingle_sets(*utf8(text), words))
-                    yield pa.RecordBatch.from_arrays([pa.array([name_of(s.tobytes()) for s in sets], pa.binary()), column_of_sets(sets)], ["sid", "tokens"])
+                sets, size = [], 0  # given out in pieces, as a slice may hold many long texts
+                for tokens in shingle_sets(*utf8(text), words) if len(text) else ():
+                    sets.append(tokens)
+                    size += len(tokens)
+                    if size >= 1 << 19:
+                        yield named(sets)
+                        sets, size = [], 0
+                if sets:
+                    yield named(sets)
+
+        def named(sets: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([name_of(s.tobytes()) for s in sets], pa.binary()), column_of_sets(sets)], ["sid", "tokens"])
 
         made = docs.mapInArrow(work, "sid binary, tokens array<long>")
         return made.groupBy("sid").agg(F.first("tokens").alias("tokens"))
