@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, fingerprints, jaccard, langid, linededup, neighbours, packing, pii, quality, secrets
+from strandlake.llm import bpe, fingerprints, jaccard, langid, linededup, manifest, mtree, neighbours, packing, pii, quality, secrets, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,9 +64,24 @@ def op10_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+def op12_merkle_preimage_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document of seven or so claims one character more than it has."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    return manifest.verify(table(spark, sf_dir, "documents"), tampered, more, ["doc_id", "source", "lang", "n_chars", "text"], "lang")
+
+
+def op13_mtree_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup_runs": linededup.ORACLE}
+    return {"op8_line_dedup_runs": linededup.ORACLE, "op11_conversation_prefix_trie": trie.ORACLE, "op12_merkle_preimage_paths": manifest.ORACLE, "op13_mtree_inner_products": mtree.ORACLE}
