@@ -6,8 +6,9 @@ traced back.
 
 Few cells matter when query and reference are alike: a path through diagonal d has at most min(n, m - d) matches (or
 min(n + d, m) below the main one), so once some alignment has score L, no path that is as good leaves the diagonals
-where that many matches reach L. A first sweep over a narrow band gives L; where the band that L allows is wider, wider
-ones are swept, too. So the result is that of the whole matrix.
+where that many matches reach L. Exact matches of 16 bases bound that further (``_Seeds``), so that long runs of N and
+large indels don't open the band. A first sweep around the diagonals of those matches gives L; where the band that L
+allows is wider, wider ones are swept, too. So the result is that of the whole matrix.
 
 The directions of the band's cells are kept whole if they are few enough (always with ``one_pass``). Otherwise they are
 kept for a block of rows at a time, and each block is computed again from the scores saved at its top while the path is
@@ -77,6 +78,20 @@ class _Rows:
         return _Rows(self.h.copy(), self.e.copy())
 
 
+@dataclass
+class _Kept:
+    """The rows above each block of query bases within a band."""
+
+    block: int
+    band: tuple[int, int]
+    rows: list[_Rows]
+
+    @classmethod
+    def of(cls, n: int, band: tuple[int, int], most_cells: int) -> _Kept:
+        width = band[1] - band[0] + 1
+        return cls(n if n * width <= most_cells else max(1, min(math.isqrt(n), most_cells // width)), band, [])
+
+
 def _sweep(query: np.ndarray, profile: np.ndarray, p: Penalties, rows: _Rows, band: tuple[int, int], first: int = 0, trace: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
     """Computes the rows of some query bases, the first of which has number ``first``, within diagonals ``band`` (both
     included). Yields each row's number, first column and scores; ``rows`` then hold it. Cells outside count as
@@ -114,15 +129,20 @@ def _sweep(query: np.ndarray, profile: np.ndarray, p: Penalties, rows: _Rows, ba
         yield i, lo, new
 
 
-def _best(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], trace: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """The best score of each reference within the band, and its first cell in row-major order."""
+def _best(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], trace: np.ndarray | None = None, kept: _Kept | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The best score of each reference within the band, and its first cell in row-major order. The rows above each
+    block are kept, if there are any."""
     count, m = profile.shape[1:]
     best, at = np.zeros(count, np.int32), [(-1, -1)] * count
-    for i, lo, new in _sweep(query, profile, p, _Rows.top(count, m), band, 0, trace):
-        top = new.max(axis=1)
-        if (top > best).any():
-            for r in np.flatnonzero(top > best).tolist():
-                best[r], at[r] = top[r], (i, lo + int(new[r].argmax()))
+    rows, block = _Rows.top(count, m), kept.block if kept else max(1, len(query))
+    for first in range(0, len(query), block):
+        if kept:
+            kept.rows.append(rows.copy())
+        for i, lo, new in _sweep(query[first : first + block], profile, p, rows, band, first, trace):
+            top = new.max(axis=1)
+            if (top > best).any():
+                for r in np.flatnonzero(top > best).tolist():
+                    best[r], at[r] = top[r], (i, lo + int(new[r].argmax()))
     return best, at
 
 
@@ -132,18 +152,108 @@ def _allowed(score: int, n: int, m: int, p: Penalties) -> tuple[int, int]:
     return max(matches - n, 1 - n), min(m - matches, m - 1)
 
 
-def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], at: tuple[int, int], whole: bool, most_cells: int, known: np.ndarray | None = None) -> tuple[int, int, str]:
+#: Bases of an exact match, the width of a bin of their diagonals, and the least share of all that a bin needs.
+SEED, BIN, LEAST_SHARE = 16, 64, 0.01
+
+
+def _stretches(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the stretches of SEED bases without N, and where they start."""
+    if len(codes) < SEED:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    numbers = np.zeros(len(codes) - SEED + 1, np.int64)
+    for k in range(SEED):
+        numbers = numbers * 4 + (codes[k : k + len(numbers)] & 3)
+    unsure = np.concatenate(([0], np.cumsum(codes > 3)))
+    at = np.flatnonzero(unsure[SEED:] == unsure[:-SEED])
+    return numbers[at], at
+
+
+def _runs(unsure: np.ndarray) -> int:
+    """Maximal runs of true values."""
+    return int(unsure[0]) + int((unsure[1:] & ~unsure[:-1]).sum())
+
+
+@dataclass
+class _Seeds:
+    """Exact matches of SEED bases between a query and references of one length.
+
+    ``core`` are the diagonals between those that many matches lie on; ``outside`` counts query positions with a match
+    elsewhere, ``runs`` the runs of N. From them follows how far from the core a path with some score can get:
+
+    * A path that keeps off the core has at most ``outside`` matches of SEED bases. Of M single matches in r runs at
+      least M - (SEED - 1) r are starts of such, and every break between two runs is a run of N, or costs a gap or a
+      mismatch (and the match that it isn't). The more breaks, the more it costs; the fewer, the fewer matches.
+    * A path that touches the core pays for the gaps between it and the diagonals that it reaches.
+    """
+
+    core: tuple[int, int]
+    outside: int
+    anywhere: int  # query positions with a match on any diagonal
+    runs: int
+    most: int  # single matches, at most
+
+    @classmethod
+    def of(cls, query: np.ndarray, references: np.ndarray) -> _Seeds:
+        n, m = len(query), references.shape[1]
+        asked, q_at = _stretches(query)
+        ends, single = [], []  # least and largest diagonal of each position that has a match
+        for reference in references:
+            numbers, at = _stretches(reference)
+            order = np.argsort(numbers, kind="stable")
+            numbers, at = numbers[order], at[order]
+            left, right = np.searchsorted(numbers, asked), np.searchsorted(numbers, asked, side="right")
+            hit = np.flatnonzero(right > left)
+            ends.append((hit, at[left[hit]] - q_at[hit], at[right[hit] - 1] - q_at[hit]))
+            single.append(ends[-1][1][ends[-1][1] == ends[-1][2]])
+        most = min(int((query < 4).sum()), int((references < 4).sum(axis=1).max()))
+        runs = _runs(query > 3) + max(_runs(r > 3) for r in references)
+        diagonals = np.concatenate(single)
+        core = (min(0, m - n), max(0, m - n))
+        if len(diagonals):
+            bins, counts = np.unique(diagonals // BIN, return_counts=True)
+            strong = bins[counts >= max(2, LEAST_SHARE * len(diagonals))]
+            if not len(strong) or 4 * (strong[-1] - strong[0]) * BIN > n + m:
+                strong = bins[counts.argmax()][None]
+            found = diagonals[(diagonals // BIN >= strong[0]) & (diagonals // BIN <= strong[-1])]
+            core = int(found.min()), int(found.max())
+        anywhere, elsewhere = np.zeros(len(asked), bool), np.zeros(len(asked), bool)
+        for hit, least, largest in ends:
+            anywhere[hit] = True
+            elsewhere[hit[(least < core[0]) | (largest > core[1])]] = True
+        return cls(core, int(elsewhere.sum()), int(anywhere.sum()), runs, most)
+
+    def _limit(self, starts: int, each: int, p: Penalties) -> float:
+        """No path with so many matches of SEED bases has a better score."""
+        unbroken = p.match * (starts + (SEED - 1) * (self.runs + 1))
+        breaks = max(0.0, (p.match * self.most - unbroken) / (each + p.match * (SEED - 1)))
+        return p.match * self.most - each * breaks
+
+    def narrowed(self, band: tuple[int, int], score: int, p: Penalties) -> tuple[int, int]:
+        """The diagonals of a band that a path of at least this score can touch."""
+        each, step = min(p.match + p.mismatch, p.gap_open), min(p.gap_open, p.gap_extend)
+        if p.match <= 0 or each <= 0 or step <= 0 or self._limit(self.outside, each, p) >= score:
+            return band
+        whole = math.floor(self._limit(self.anywhere, each, p))
+        far = max(0, (whole - score - max(0, p.gap_open - p.gap_extend)) // step)
+        return max(band[0], self.core[0] - far), min(band[1], self.core[1] + far)
+
+
+def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int, int], at: tuple[int, int], whole: bool, most_cells: int, known: np.ndarray | None = None, kept: _Kept | None = None) -> tuple[int, int, str]:
     """Start of the alignment that ends in a cell of one reference, and its operations in reverse. ``known`` has the
-    directions of all rows, if they are known."""
+    directions of all rows, ``kept`` the rows above blocks, if they are known."""
     i, j = at
-    m, width = profile.shape[2], band[1] - band[0] + 1
-    block = i + 1 if known is not None or whole or (i + 1) * width <= most_cells else max(1, min(math.isqrt(i + 1), most_cells // width))
-    saved: list[_Rows] = [_Rows.top(1, m)]
-    if block <= i:
-        rows = saved[0].copy()
-        for k, _, _ in _sweep(query[: i + 1], profile, p, rows, band):
-            if (k + 1) % block == 0:
-                saved.append(rows.copy())
+    m, n = profile.shape[2], at[0] + 1
+    if known is None and kept is None:
+        kept = _Kept(n, band, [_Rows.top(1, m)]) if whole else _Kept.of(n, band, most_cells)
+        rows = _Rows.top(1, m)
+        for first in range(0, n, kept.block):
+            if len(kept.rows) * kept.block <= first:
+                kept.rows.append(rows.copy())
+            if first + kept.block < n:
+                for _ in _sweep(query[first : first + kept.block], profile, p, rows, band, first):
+                    pass
+    block = kept.block if kept else n
+    width = band[1] - band[0] + 1
     first, trace = (-1, np.empty((0, 0), np.uint8)) if known is None else (0, known)
     ops: list[str] = []
     state = "M"
@@ -151,7 +261,7 @@ def _path(query: np.ndarray, profile: np.ndarray, p: Penalties, band: tuple[int,
         if first != i // block * block:
             first = i // block * block
             made = np.zeros((min(block, at[0] + 1 - first), 1, width), np.uint8)
-            for _ in _sweep(query[first : first + len(made)], profile, p, saved[i // block], band, first, made):
+            for _ in _sweep(query[first : first + len(made)], profile, p, kept.rows[i // block].copy(), band, first, made):
                 pass
             trace = made[:, 0]
         cell = trace[i - first, j - i - band[0]] if band[0] <= j - i <= band[1] else 0
@@ -187,26 +297,34 @@ def best_alignment(query: str, references: list[str], p: Penalties, one_pass: bo
     profile = _profiles(references, p)
     near, band = max(32, n // 400), (0, -1)
     wanted = every = (1 - n, m - 1)
-    trace = None
+    trace, seeds, kept = None, None, None
+
+    def allowed(score: int) -> tuple[int, int]:
+        found = _allowed(score, n, m, p)
+        return seeds.narrowed(found, score, p) if seeds is not None else found
+
     if len(references) * n * (n + m) <= few_cells:  # vectors are short, so rows cost more than cells
         band, trace = every, np.zeros((n, len(references), n + m - 1), np.uint8)
         best, at = _best(q, profile, p, band, trace)
+    else:
+        seeds = _Seeds.of(q, np.stack([_CODE[np.frombuffer(r.encode(), np.uint8)] for r in references]))
     while wanted[0] < band[0] or wanted[1] > band[1]:
         swept = band[1] - band[0] + 1
-        band = max(every[0], min(0, m - n) - near), min(every[1], max(0, m - n) + near)
+        band = max(every[0], seeds.core[0] - near), min(every[1], seeds.core[1] + near)
         if swept and wanted[1] - wanted[0] < 8 * swept:
             band = wanted
         elif 2 * (band[1] - band[0]) > n + m:
             band = every
-        best, at = _best(q, profile, p, band)
-        wanted = _allowed(int(best.max()), n, m, p)
+        kept = _Kept.of(n, band, most_cells) if len(references) == 1 and not one_pass else None
+        best, at = _best(q, profile, p, band, None, kept)
+        wanted = allowed(int(best.max()))
         near *= 8
     which = int(best.argmax())
     score = int(best[which])
     if not score:
         return None
-    kept = (every, trace[:, which]) if trace is not None else (_allowed(score, n, m, p), None)
-    i, j, ops = _path(q, profile[:, which : which + 1], p, kept[0], at[which], one_pass, most_cells, kept[1])
+    of_path = every if trace is not None else kept.band if kept else allowed(score)
+    i, j, ops = _path(q, profile[:, which : which + 1], p, of_path, at[which], one_pass, most_cells, None if trace is None else trace[:, which], kept)
     cigar = "".join(f"{len(list(run))}{op}" for op, run in groupby(reversed(ops)))
     return which, Alignment(score, i, at[which][0] + 1, j, at[which][1] + 1, cigar)
 

@@ -1,8 +1,10 @@
 import random
+import re
 import time
 
 import pytest
 
+from strandlake.operators import align as al
 from strandlake.operators.align import align, best_alignment
 from strandlake.sources.config import Penalties
 
@@ -22,8 +24,6 @@ def naive(q, r, p):
 
 
 def score(a, q, r, p):
-    import re
-
     i, j, total = a.q_start, a.r_start, 0
     for n, op in re.findall(r"(\d+)([MID])", a.cigar):
         n = int(n)
@@ -87,3 +87,35 @@ def test_long_genomes_are_quick():
     a = align(q, ref, Penalties(5, 4, 10, 1), False)
     assert a.score == score(a, q, ref, Penalties(5, 4, 10, 1)) and "9D" in a.cigar
     assert time.perf_counter() - start < 60
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_seeds_leave_nothing_out(seed, monkeypatch):
+    """Runs of N, large insertions and deletions and moved parts: as the whole matrix."""
+    monkeypatch.setattr(al, "SEED", 4)
+    monkeypatch.setattr(al, "BIN", 4)
+    rng = random.Random(seed)
+    p = rng.choice([Penalties(5, 4, 10, 1), Penalties(14, 1, 40, 1), Penalties(1, 1, 8, 1), Penalties(2, 3, 3, 3), Penalties(1, 1, 2, 4)])
+    some = lambda k: "".join(rng.choice("ACGT") for _ in range(k))
+    r = some(rng.randint(40, 220))
+    a, b = sorted(rng.sample(range(len(r)), 2))
+    q = ["N" * rng.randint(0, 60) + r[:a] + some(rng.randint(0, 40)) + r[b:], r[:a] + "N" * (b - a) + r[b:], r[a:] + r[:a], r[:a] + some(50) + r[a:]][seed % 4]
+    refs = [r, "".join(rng.choice("ACGTN") if rng.random() < 0.05 else c for c in r)][: 1 + seed % 3 // 2]
+    whole = best_alignment(q, refs, p, True)
+    for one_pass in (True, False):
+        assert best_alignment(q, refs, p, one_pass, few_cells=0) == whole
+    assert best_alignment(q, refs, p, False, most_cells=500, few_cells=0) == whole
+
+
+def test_runs_of_n_and_large_indels_are_quick():
+    rng = random.Random(10)
+    some = lambda k: "".join(rng.choice("ACGT") for _ in range(k))
+    ref, p = some(29_903), Penalties(1, 1, 8, 1)
+    q = "".join(rng.choice("ACGT") if rng.random() < 0.005 else c for c in ref)
+    plain = al.Alignment(*(getattr(align(q, ref, p, False), f) for f in ("score", "q_start", "q_end", "r_start", "r_end", "cigar")))
+    start = time.perf_counter()
+    front = align("N" * 8000 + q, ref, p, False)
+    assert (front.score, front.q_start, front.q_end, front.cigar) == (plain.score, 8000, 37_903, plain.cigar)
+    long = align(q[:9000] + some(900) + q[9000:20_000] + q[20_600:], ref, p, False)
+    assert sorted(int(n) for n in re.findall(r"(\d+)[ID]", long.cigar))[-2:] == [600, 900]
+    assert time.perf_counter() - start < 60
