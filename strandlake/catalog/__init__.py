@@ -6,10 +6,10 @@ from types import ModuleType
 
 from pyspark.sql import functions as F
 
-from strandlake.catalog import relations, sequences, sequential
+from strandlake.catalog import classification, relations, sequences, sequential
 from strandlake.catalog.base import Query
 
-FAMILIES: tuple[ModuleType, ...] = (sequences, relations, sequential)
+FAMILIES: tuple[ModuleType, ...] = (sequences, relations, sequential, classification)
 HELPERS = {"synthetic_module", "mutated"}
 
 #: Integer columns that may be null; the queries and their SQL give -1 there, so their type is integer in any client.

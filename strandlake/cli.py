@@ -10,7 +10,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from strandlake.plans.annotate import annotate, prepare, unimplemented_by_module
+from strandlake.operators.classify import KmerIndex, classifier
+from strandlake.plans.annotate import annotate, prepare, unclassified, unimplemented_by_module
 from strandlake.plans.module import ctypes_elsewhere, load
 from strandlake.sources.queries import read_queries
 from strandlake.sources.tables import GENOME_TABLES, PRODUCT_TABLES, check_paths, write_table
@@ -26,7 +27,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--modules-dir", default=os.environ.get("STRANDLAKE_MODULES", "."))
     p.add_argument("--module", default="flu")
     p.add_argument("--threads", type=int, help="cores of a local session")
-    p.add_argument("--assume-default-ctype")
+    p.add_argument("--assume-default-ctype", help="the type of sequences without one; else the module's references tell it")
+    p.add_argument("--no-classifier", action="store_true", help="a sequence without a type is an error")
     p.add_argument("--format", default="tsv")
     p.add_argument("--verbose", action="store_true")
     return p
@@ -56,12 +58,17 @@ def main(argv: list[str] | None = None) -> int:
     module = load(args.modules_dir, args.module)
     if not module.have_weights:
         log.warning("module %s has no codon weights", module.config.name)
-    done = annotate(prepare(read_queries(spark, args.data_file), args.assume_default_ctype), module)
+    raw = read_queries(spark, args.data_file)
+    tell = None if args.no_classifier or args.assume_default_ctype else classifier(KmerIndex.of(module.references))
+    done = annotate(prepare(raw, args.assume_default_ctype, tell), module)
     tables = done.tables()
     for t, path in paths.items():
         write_table(tables[t], t, path, args.format)
     for r in unimplemented_by_module(done.unimplemented, ctypes_elsewhere(spark, args.modules_dir, module.config.name)).toLocalIterator():
         log.warning("not implemented here%s: %s", f", but in module {r['module']}" if r["module"] else "", ", ".join(r["ctypes"]))
+    if args.verbose and tell is not None:
+        for r in unclassified(raw, tell).toLocalIterator():
+            log.info("%s: %s%s", r["status"], r["id"], f", possible types: {', '.join(r['taxa'])}" if r["taxa"] else "")
     if args.verbose:
         for r in done.unaligned.toLocalIterator():
             log.info("no alignment: %s to %s", r["query_id"], r["reference_id"])

@@ -24,9 +24,16 @@ from strandlake.operators.states import condensed, extended, has_required_start,
 from strandlake.plans.module import Module
 
 #: A classifier adds ``classified`` (a ctype), ``strand`` (+ or -) and ``status`` ("classified" or a reason) to rows.
+#: ``operators.classify.classifier`` makes one from references.
 Classifier = Callable[[DataFrame], DataFrame]
 
 
+def unclassified(raw: DataFrame, classifier: Classifier) -> DataFrame:
+    """id, status and what else the classifier says of rows without a ctype that it can't tell."""
+    told = classifier(raw.select("id", "ctype", "seq").filter(F.col("ctype").isNull()))
+    return told.filter(F.col("status") != "classified").drop("ctype", "seq", "classified", "strand")
+
+
 def prepare(raw: DataFrame, default_ctype: str | None = None, classifier: Classifier | None = None) -> DataFrame:
     """query_id, nt, ctype of raw rows id, ctype, seq. A row without a ctype gets the classifier's (and is turned if it
     is of the minus strand; rows it can't tell are dropped), else the default; without either it is an error. Rows
