@@ -10,6 +10,7 @@ from strandlake.functions.indels import deletion_metrics, eligible_for_shift, in
 from strandlake.functions.ranges import Range, point_in_codons
 from strandlake.operators import states as st
 from strandlake.operators.frames import USUAL_CODONS
+from strandlake.operators.intervals import interval_join, nearest_regions
 from strandlake.operators.materialize import genome_rows, materialize_products, product_rows, spliced
 from strandlake.plans.annotate import unimplemented_by_module as by_module
 from strandlake.plans.module import check_exons, exon_coords
@@ -387,17 +388,44 @@ SELECT l_orderkey, l_linenumber, CAST(to_start AS BIGINT) AS to_start, CAST(to_e
 
 
 def nearest_region(spark: SparkSession, sf: str) -> DataFrame:
-    """Distance to the nearest region on each side of an indel."""
-    regions = F.from_json(F.lit('[{"s":10,"e":12},{"s":30,"e":31},{"s":52,"e":54}]'), "array<struct<s:int,e:int>>")
-    s, e = (F.col("l_orderkey") % 60).cast("int"), (F.col("l_orderkey") % 60 + F.col("l_linenumber")).cast("int")
-    left = F.array_min(F.transform(F.filter(regions, lambda r: r["e"] <= s), lambda r: s - r["e"]))
-    right = F.array_min(F.transform(F.filter(regions, lambda r: r["s"] >= e), lambda r: r["s"] - e))
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", long(left).alias("to_left"), long(right).alias("to_right")).distinct()
+    """How far the nearest regions on each side of an indel are; regions of the suppliers of a nation, a line's
+    indel in one of them."""
+    k = F.col("s_suppkey")
+    regions = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("part"), (k * 37 % 1000).alias("r0"), (k * 37 % 1000 + 1 + k % 5).alias("r1"))
+    s = F.col("l_partkey") % 1100
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 25).alias("part"), s.alias("i0"), (s + F.col("l_linenumber")).alias("i1"))
+    near = nearest_regions(rows, regions, ["part"], ("i0", "i1"), ("r0", "r1"))
+    return near.select("l_orderkey", "l_linenumber", long("i0").alias("i0"), long(F.col("i0") - F.col("left_end")).alias("to_left"), long(F.col("right_start") - F.col("i1")).alias("to_right"))
 
 
 SQL["nearest_region"] = """
-WITH d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey % 60 AS s, l_orderkey % 60 + l_linenumber AS e FROM lineitem), r(rs, re) AS (VALUES (10, 12), (30, 31), (52, 54))
-SELECT l_orderkey, l_linenumber, CAST(min(CASE WHEN re <= s THEN s - re END) AS BIGINT) AS to_left, CAST(min(CASE WHEN rs >= e THEN rs - e END) AS BIGINT) AS to_right FROM d, r GROUP BY 1, 2"""
+WITH r AS (SELECT s_nationkey AS part, s_suppkey * 37 % 1000 AS r0, s_suppkey * 37 % 1000 + 1 + s_suppkey % 5 AS r1 FROM supplier),
+i AS (SELECT l_orderkey, l_linenumber, l_suppkey % 25 AS part, l_partkey % 1100 AS i0, l_partkey % 1100 + l_linenumber AS i1 FROM lineitem),
+d AS (SELECT DISTINCT part, i0, i1 FROM i),
+n AS (SELECT d.part, i0, i1, min(CASE WHEN r1 <= i0 THEN i0 - r1 END) AS to_left, min(CASE WHEN r0 >= i1 THEN r0 - i1 END) AS to_right FROM d LEFT JOIN r ON r.part = d.part GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CAST(i0 AS BIGINT) AS i0, CAST(to_left AS BIGINT) AS to_left, CAST(to_right AS BIGINT) AS to_right FROM i JOIN n USING (part, i0, i1)"""
+
+
+def states_features(spark: SparkSession, sf: str) -> DataFrame:
+    """J8 as a relation: the states of every order, each on its own stretch of one long line, with the ranges of all
+    parts on it; what is shared, and insertions only where they are within."""
+    at = F.col("l_orderkey")
+    states = _alignments(spark, sf).select("l_orderkey", F.posexplode(st.states_of(F.col("cigar"), F.lit(2), F.lit(5))).alias("pos", "s"))
+    rows = states.select("l_orderkey", "pos", "s.op", (at + F.col("s.r_start")).alias("r0"), (at + F.col("s.r_end")).alias("r1"))
+    # an insertion meets what lies on both sides of its place
+    point = F.col("op") == "I"
+    rows = rows.withColumns({"from": F.when(point, F.col("r0") - 1).otherwise(F.col("r0")), "to": F.when(point, F.col("r0") + 1).otherwise(F.col("r1"))})
+    first = F.col("p_partkey") * 30
+    features = table(spark, sf, "part").select("p_partkey", first.alias("f0"), (first + F.col("p_size") * F.when(F.col("p_partkey") % 100 == 0, 40).otherwise(1)).alias("f1"))
+    pairs = interval_join(rows, features, [], ("from", "to"), ("f0", "f1")).filter(~point | ((F.col("f0") < F.col("r0")) & (F.col("r0") < F.col("f1"))))
+    shared = [F.when(point, F.col("r0")).otherwise(x) - F.col("f0") for x in (F.greatest("r0", "f0"), F.least("r1", "f1"))]
+    return pairs.select("l_orderkey", long("pos").alias("pos"), "op", "p_partkey", long(shared[0]).alias("c_start"), long(shared[1]).alias("c_end"))
+
+
+SQL["states_features"] = _CIGAR + """, x AS (SELECT l_orderkey, pos, op, l_orderkey + r_start AS r0, l_orderkey + r_end AS r1 FROM s),
+f AS (SELECT p_partkey, p_partkey * 30 AS f0, p_partkey * 30 + p_size * CASE WHEN p_partkey % 100 = 0 THEN 40 ELSE 1 END AS f1 FROM part)
+SELECT l_orderkey, pos, op, p_partkey, CAST(CASE WHEN op = 'I' THEN r0 ELSE greatest(r0, f0) END - f0 AS BIGINT) AS c_start, CAST(CASE WHEN op = 'I' THEN r0 ELSE least(r1, f1) END - f0 AS BIGINT) AS c_end
+FROM x JOIN f ON CASE WHEN op = 'I' THEN f0 < r0 AND r0 < f1 ELSE r0 < f1 AND f0 < r1 END"""
 
 
 def insertion_splice(spark: SparkSession, sf: str) -> DataFrame:
