@@ -21,7 +21,6 @@ NULLABLE = {
     "range_cmp": ("strict", "relaxed", "to_point"),
     "cigar_to_states": ("q_start", "q_end"),
     "exon_intersect": ("q_start", "q_end"),
-    "products_with_config": ("weight",),
     "nearest_region": ("to_left", "to_right"),
 }
 

@@ -12,9 +12,9 @@ from strandlake.operators import states as st
 from strandlake.operators.frames import USUAL_CODONS
 from strandlake.operators.intervals import interval_join, nearest_regions
 from strandlake.operators.materialize import genome_rows, materialize_products, product_rows, spliced
+from strandlake.plans import tables
 from strandlake.plans.annotate import unimplemented_by_module as by_module
-from strandlake.plans.module import check_exons, exon_coords
-from strandlake.schema import CDS_STATES, EXON, AnnotationError
+from strandlake.schema import CDS_STATES, EXON
 from strandlake.sources.config import ModuleConfig, Penalties
 
 SQL: dict[str, str] = {}
@@ -194,7 +194,7 @@ def _exon_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """The ranges of an order's lines, in order, as exons of a product."""
     rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("int").alias("n"))
     s = (F.col("l_linenumber") * 20).cast("int")
-    ranges = F.array_sort(F.collect_list(F.struct(s.alias("s"), (s + F.greatest(F.lit(1), F.col("n") % 24)).alias("e"))))
+    ranges = F.array_sort(F.collect_list(F.struct(s.alias("start"), (s + F.greatest(F.lit(1), F.col("n") % 24)).alias("end"))))
     return rows.groupBy("l_orderkey").agg(ranges.alias("ranges"))
 
 
@@ -204,35 +204,25 @@ b AS (SELECT *, lag(s) OVER w AS ps, lag(e, 1) OVER w AS p, lag(e, 2) OVER w AS
 
 
 def exon_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    """Running coding offsets of each exon, as a module computes them."""
-
-    @F.udf(returnType="array<struct<ref_start:long,ref_end:long,cds_start:long,cds_end:long>>")
-    def offsets(ranges: list) -> list:
-        return exon_coords(tuple((r["s"], r["e"]) for r in ranges))
-
-    return _exon_ranges(spark, sf).select("l_orderkey", F.inline(offsets("ranges")))
+    """Running coding offsets of each exon, as a module's tables compute them."""
+    out = _exon_ranges(spark, sf).select("l_orderkey", F.inline(tables.exons(F.col("ranges"))))
+    return out.select("l_orderkey", *[long(c).alias(c) for c in ("ref_start", "ref_end", "cds_start", "cds_end")])
 
 
 SQL["exon_offsets"] = _EXONS_SQL + "SELECT l_orderkey, CAST(s AS BIGINT) AS ref_start, CAST(e AS BIGINT) AS ref_end, CAST(c - n AS BIGINT) AS cds_start, CAST(c AS BIGINT) AS cds_end FROM b"
 
 
 def exon_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a module takes a product's exons."""
+    """What is wrong with a product's exons; empty if nothing is."""
+    problem = tables.exon_problem(F.col("ranges"), F.lit(150))
+    return _exon_ranges(spark, sf).select("l_orderkey", F.coalesce(problem, F.lit("")).alias("problem"))
 
-    @F.udf(returnType="boolean")
-    def taken(ranges: list) -> bool:
-        try:
-            check_exons("P", exon_coords(tuple((r["s"], r["e"]) for r in ranges)), 150)
-        except AnnotationError:
-            return False
-        return True
 
-    return _exon_ranges(spark, sf).select("l_orderkey", taken("ranges").alias("taken"))
+SQL["exon_check"] = _EXONS_SQL + """, w AS (SELECT *, CASE WHEN s <= ps OR e <= p THEN 'exons out of order or within each other' WHEN p = s THEN 'adjoining exons are one' WHEN p - s > 2 THEN 'exons share more than 2 bases' END AS pair FROM b)
+SELECT l_orderkey, CASE WHEN sum(n) % 3 <> 0 THEN sum(n) || ' bases are no whole codons' WHEN max(e) > 150 THEN 'beyond the end of the reference (150)' WHEN count(pair) > 0 THEN arg_min(pair, s) FILTER (WHERE pair IS NOT NULL)
+WHEN bool_or(coalesce(pp > s, false)) THEN 'three exons share bases' ELSE '' END AS problem FROM w GROUP BY 1"""
 
 
-SQL["exon_check"] = _EXONS_SQL + """
-SELECT l_orderkey, CAST(sum(n) AS BIGINT) % 3 = 0 AND max(e) <= 150 AND bool_and(p IS NULL OR (s > ps AND e > p AND p <> s AND p - s <= 2)) AND bool_and(pp IS NULL OR pp <= s) AS taken FROM b GROUP BY 1"""
-
 
 def exon_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbours and next neighbours of exons: order, adjacency, shared bases, gaps."""
@@ -285,7 +275,8 @@ _GROUPS = "g(ctype, reference_id, ref_len) AS (VALUES ('1-URGENT', 'R1', 120), (
 
 def implemented_join(spark: SparkSession, sf: str) -> DataFrame:
     """Queries with every reference group of their ctype."""
-    return table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("ctype")).join(_groups(spark), "ctype").select("o_orderkey", "ctype", "reference_id", "ref_len")
+    queries = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("ctype"))
+    return tables.implemented(queries, _groups(spark)).select("o_orderkey", "ctype", "reference_id", "ref_len")
 
 
 SQL["implemented_join"] = "WITH " + _GROUPS + "SELECT o_orderkey, ctype, reference_id, CAST(ref_len AS BIGINT) AS ref_len FROM orders JOIN g ON o_orderpriority = ctype"
@@ -293,7 +284,7 @@ SQL["implemented_join"] = "WITH " + _GROUPS + "SELECT o_orderkey, ctype, referen
 
 def unimplemented_antijoin(spark: SparkSession, sf: str) -> DataFrame:
     """Ctypes that no group has."""
-    return table(spark, sf, "orders").select(F.col("o_orderpriority").alias("ctype")).join(_groups(spark), "ctype", "left_anti").distinct()
+    return tables.unimplemented(table(spark, sf, "orders").select(F.col("o_orderpriority").alias("ctype")), _groups(spark))
 
 
 SQL["unimplemented_antijoin"] = "WITH " + _GROUPS + "SELECT DISTINCT o_orderpriority AS ctype FROM orders WHERE o_orderpriority NOT IN (SELECT ctype FROM g)"
@@ -310,45 +301,84 @@ e(o, module, ctype) AS (VALUES (0, 'm1', '3-MEDIUM'), (1, 'm2', '3-MEDIUM'), (1,
 SELECT module, string_agg(ctype, ',' ORDER BY ctype) AS ctypes FROM u LEFT JOIN f USING (ctype) GROUP BY module"""
 
 
+def _module_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References of the nations (some with an alternate of another length), a product of a nation for each supplier
+    (some of nations without a reference), weights of the customers (some of products that aren't there)."""
+    k, s, c = F.col("n_nationkey"), F.col("s_suppkey"), F.col("c_custkey")
+    alternates = F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))).alias("file_order")
+    refs = table(spark, sf, "nation").select(k.cast("string").alias("reference_id"), F.col("n_regionkey").cast("string").alias("ctype"), alternates)
+    seq = F.concat(nt_of(F.col("reference_id")), F.when((F.col("file_order") == 2) & (F.col("reference_id").cast("int") % 4 == 0), "A").otherwise(""))
+    own = F.col("s_nationkey")
+    one = F.struct((s % 20).cast("int").alias("start"), (s % 20 + 3 + s % 4 * 3).cast("int").alias("end"))
+    regions = table(spark, sf, "nation").select(k.alias("s_nationkey"), F.col("n_regionkey").cast("string").alias("ctype"))
+    specs = table(spark, sf, "supplier").join(regions, "s_nationkey").select(
+        F.when(s % 11 == 0, F.concat(F.lit("x"), own.cast("string"))).otherwise(own.cast("string")).alias("reference_id"), "ctype",
+        F.concat(F.lit("p"), (s % 7).cast("string")).alias("product_name"), F.array(one).alias("ranges"), F.lit(None).cast("string").alias("required_start"),
+    )
+    codon = F.substr(nt_of(c), F.lit(1), F.lit(3)).alias("codon")
+    weights = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("reference_id"), F.concat(F.lit("p"), (c % 9).cast("string")).alias("product_name"), (c % 5 + 1).cast("int").alias("position"), codon)
+    weights = weights.groupBy("reference_id", "product_name", "position", "codon").agg(F.count("*").alias("count"))
+    return refs.withColumn("seq", seq), specs, weights
+
+
+_MODULE = f"""WITH refs AS (SELECT reference_id, ctype, file_order, {sql_nt('reference_id')} || CASE WHEN file_order = 2 AND CAST(reference_id AS INT) % 4 = 0 THEN 'A' ELSE '' END AS seq
+  FROM (SELECT CAST(n_nationkey AS VARCHAR) AS reference_id, CAST(n_regionkey AS VARCHAR) AS ctype, unnest(range(0, n_nationkey % 3 + 1)) AS file_order FROM nation)),
+specs AS (SELECT CASE WHEN s_suppkey % 11 = 0 THEN 'x' ELSE '' END || s_nationkey AS reference_id, CAST(n_regionkey AS VARCHAR) AS ctype, 'p' || s_suppkey % 7 AS product_name, s_suppkey % 20 AS r0, s_suppkey % 20 + 3 + s_suppkey % 4 * 3 AS r1
+  FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+weights AS (SELECT CAST(c_nationkey AS VARCHAR) AS reference_id, 'p' || c_custkey % 9 AS product_name, c_custkey % 5 + 1 AS position, substr({sql_nt('c_custkey')}, 1, 3) AS codon, count(*) AS n FROM customer GROUP BY ALL) """
+
+
 def products_with_config(spark: SparkSession, sf: str) -> DataFrame:
-    """Groups with their products and weights; missing ones leave empty lists."""
-    specs = table(spark, sf, "supplier").select((F.col("s_nationkey") % 20).alias("n_nationkey"), "s_suppkey")
-    listed = specs.groupBy("n_nationkey").agg(F.array_sort(F.collect_list("s_suppkey")).alias("products"))
-    weights = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("weight")).filter(F.col("n_nationkey") % 2 == 0)
-    out = table(spark, sf, "nation").join(listed, "n_nationkey", "left").join(weights, "n_nationkey", "left")
-    return out.select("n_nationkey", F.coalesce(F.array_join("products", ","), F.lit("")).alias("products"), "weight")
+    """Groups with their products, these with their weights; missing ones leave nothing there."""
+    refs, specs, weights = _module_tables(spark, sf)
+    rows = tables.groups(refs).join(tables.products(specs, weights), ["reference_id", "ctype"], "left")
+    size = F.element_at("exons", -1)["cds_end"]
+    entries = F.array_join(F.array_sort(F.transform(F.map_entries("weights"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return rows.select("reference_id", "ctype", long(F.size("seqs")).alias("n_seqs"), long("ref_len").alias("ref_len"), F.coalesce("product_name", F.lit("")).alias("product_name"), long(F.coalesce(size, F.lit(0))).alias("cds_len"), F.coalesce(entries, F.lit("")).alias("weights"))
+
+
+SQL["products_with_config"] = _MODULE + """, g AS (SELECT reference_id, ctype, count(*) AS n_seqs, max(length(seq)) AS ref_len FROM refs GROUP BY ALL),
+w AS (SELECT reference_id, product_name, string_agg(position || ':' || codon || '=' || n, ',' ORDER BY position || ':' || codon || '=' || n) AS weights FROM weights GROUP BY ALL)
+SELECT g.reference_id, g.ctype, n_seqs, CAST(ref_len AS BIGINT) AS ref_len, coalesce(s.product_name, '') AS product_name, CAST(coalesce(r1 - r0, 0) AS BIGINT) AS cds_len, coalesce(weights, '') AS weights
+FROM g LEFT JOIN specs s USING (reference_id, ctype) LEFT JOIN w ON w.reference_id = s.reference_id AND w.product_name = s.product_name"""
 
 
-SQL["products_with_config"] = """
-WITH s AS (SELECT s_nationkey % 20 AS n_nationkey, string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_suppkey) AS products FROM supplier GROUP BY 1),
-w AS (SELECT c_nationkey AS n_nationkey, count(*) AS weight FROM customer WHERE c_nationkey % 2 = 0 GROUP BY 1)
-SELECT n.n_nationkey, coalesce(products, '') AS products, weight FROM nation n LEFT JOIN s USING (n_nationkey) LEFT JOIN w USING (n_nationkey)"""
+def module_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """J6, U2, A10, A11, A12, F12 as one plan: every broken rule of a module's tables."""
+    return tables.module_problems(*_module_tables(spark, sf)).select("message")
+
+
+SQL["module_problems"] = _MODULE + """, l AS (SELECT reference_id, ctype, min(length(seq)) AS ref_len FROM refs GROUP BY ALL)
+SELECT reference_id || '|' || product_name || ' has more than one specification' AS message FROM specs GROUP BY reference_id, product_name HAVING count(*) > 1
+UNION ALL SELECT 'references of one group differ in length: [(''' || reference_id || ''', ''' || ctype || ''')]' FROM refs GROUP BY reference_id, ctype HAVING min(length(seq)) < max(length(seq))
+UNION ALL SELECT DISTINCT 'coding regions without a reference: [(''' || reference_id || ''', ''' || ctype || ''')]' FROM specs WHERE (reference_id, ctype) NOT IN (SELECT (reference_id, ctype) FROM refs)
+UNION ALL SELECT DISTINCT 'weights without a coding region: [(''' || reference_id || ''', ''' || product_name || ''')]' FROM weights WHERE (reference_id, product_name) NOT IN (SELECT (reference_id, product_name) FROM specs)
+UNION ALL SELECT reference_id || '|' || product_name || ': beyond the end of the reference (' || ref_len || ')' FROM specs JOIN l USING (reference_id, ctype) WHERE r1 > ref_len"""
 
 
 def leftover_spec_antijoin(spark: SparkSession, sf: str) -> DataFrame:
-    """Configuration keys that nothing uses."""
-    used = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
-    return table(spark, sf, "nation").filter(F.col("n_nationkey") < 23).join(used.filter(F.col("n_nationkey") % 3 > 0), "n_nationkey", "left_anti").select("n_nationkey", "n_name")
+    """Weights that no coding region uses."""
+    _, specs, weights = _module_tables(spark, sf)
+    return tables.without(weights, specs, ["reference_id", "product_name"])
 
 
-SQL["leftover_spec_antijoin"] = "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 23 AND n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_nationkey % 3 > 0)"
+SQL["leftover_spec_antijoin"] = _MODULE + "SELECT DISTINCT reference_id, product_name FROM weights WHERE (reference_id, product_name) NOT IN (SELECT (reference_id, product_name) FROM specs)"
+
 
 
 def params_with_default(spark: SparkSession, sf: str) -> DataFrame:
-    """Penalties of a ctype, else the default's."""
+    """Penalties of a ctype, else the default's, told once for each ctype."""
     module = ModuleConfig("m", None, "-", "-", {"default": Penalties(14, 1, 40, 1), "1-URGENT": Penalties(10, 1, 50, 1)})
-
-    @F.udf(returnType="struct<match:long,gap_open:long>")
-    def penalties(ctype: str) -> tuple[int, int]:
-        p = module.penalties(ctype)
-        return p.match, p.gap_open
-
-    return table(spark, sf, "orders").select("o_orderkey", penalties("o_orderpriority").alias("p")).select("o_orderkey", "p.match", "p.gap_open")
+    known = spark.createDataFrame([(c, module.penalties(c).match, module.penalties(c).gap_open) for c in module.alignment], "o_orderpriority string, m int, g int")
+    rest = module.penalties("")
+    rows = table(spark, sf, "orders").join(known, "o_orderpriority", "left")
+    return rows.select("o_orderkey", long(F.coalesce("m", F.lit(rest.match))).alias("match"), long(F.coalesce("g", F.lit(rest.gap_open))).alias("gap_open"))
 
 
 SQL["params_with_default"] = "SELECT o_orderkey, CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 10 ELSE 14 END AS BIGINT) AS \"match\", CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 50 ELSE 40 END AS BIGINT) AS gap_open FROM orders"
 
 
+
 def weights_lookup_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """The weight of a codon at a position, else how usual the codon is."""
     usual = F.array(*map(F.lit, USUAL_CODONS))
@@ -367,14 +397,17 @@ SELECT l.l_orderkey, l.l_linenumber, CAST(coalesce(w.n, 10 * list_position({_USU
 
 
 def dup_spec_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeated keys, and groups of uneven length."""
-    rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.count("*").alias("n"), (F.min("l_quantity") != F.max("l_quantity")).alias("uneven"))
-    return rows.filter(F.col("n") > 1)
+    """Repeated keys of the lines, and groups of uneven length."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("reference_id"), F.col("l_suppkey").cast("string").alias("ctype"), F.repeat(F.lit("A"), F.col("l_quantity").cast("int")).alias("seq"))
+    again = tables.repeated(lines, ["reference_id", "ctype"])
+    out = again.join(tables.uneven(lines).select("reference_id", "ctype", F.lit(True).alias("u")), ["reference_id", "ctype"], "left")
+    return out.select(long("reference_id").alias("l_orderkey"), long("ctype").alias("l_suppkey"), "n", F.coalesce("u", F.lit(False)).alias("uneven"))
 
 
 SQL["dup_spec_keys"] = "SELECT l_orderkey, l_suppkey, count(*) AS n, min(l_quantity) <> max(l_quantity) AS uneven FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"
 
 
+
 def rewrite_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Deletions at exactly a rule's place."""
     dels = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 40).alias("s"), (F.col("l_orderkey") % 40 + F.col("l_linenumber")).alias("e")).distinct()

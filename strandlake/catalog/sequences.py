@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from strandlake.catalog.base import IUPAC16, long, nt_of, sql_amino, sql_aminos, sql_nt, table
 from strandlake.functions import coords, iupac
 from strandlake.operators import ends
-from strandlake.schema import AnnotationError
 from strandlake.sources import config, queries as readers
+from strandlake.sources.sections import carried
 from strandlake.sources.tables import formatted, kind_of
 
 SQL: dict[str, str] = {}
@@ -262,39 +262,34 @@ SQL["codon_table"] = f"WITH s AS (SELECT DISTINCT substr({sql_nt('s_suppkey')},
 
 
 def header_forward_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Section headers carried down to the rows of their section, order by order."""
-    from pyspark.sql import Window
-
+    """Section headers carried down to the rows of their section, over blocks of a hundred orders."""
     rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
-    header = F.when(F.col("l_partkey") % 3 == 0, F.concat(F.lit("#"), F.col("l_partkey").cast("string")))
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select("l_orderkey", "l_linenumber", F.last(header, ignorenulls=True).over(w).alias("section"))
+    lines = rows.select("*", (F.col("l_orderkey") % 5).alias("file"), F.floor(F.col("l_orderkey") / 100).alias("block"), F.struct("l_orderkey", "l_linenumber").alias("at"))
+    header = F.when((F.col("l_partkey") % 97 == 0) | ((F.col("file") == 1) & (F.col("l_partkey") % 3 == 0)), F.concat(F.lit("#"), F.col("l_partkey").cast("string")))
+    return carried(lines, header).select("l_orderkey", "l_linenumber", "section")
 
 
 SQL["header_forward_fill"] = """
-WITH r AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)
-SELECT l_orderkey, l_linenumber, last_value(CASE WHEN l_partkey % 3 = 0 THEN '#' || CAST(l_partkey AS VARCHAR) END IGNORE NULLS)
-       OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM r"""
+WITH r AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey, l_linenumber, last_value(CASE WHEN p % 97 = 0 OR (l_orderkey % 5 = 1 AND p % 3 = 0) THEN '#' || CAST(p AS VARCHAR) END IGNORE NULLS)
+       OVER (PARTITION BY l_orderkey % 5 ORDER BY l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM r"""
+
 
 
 def module_name_match(spark: SparkSession, sf: str) -> DataFrame:
-    """The module that a name or alternative name stands for, ignoring case; null without one."""
+    """The module that a name or alternative name stands for, ignoring case; null without one. Names are a
+    small table, which rows are joined to."""
     made = [config.ModuleConfig(name, None, "-", "-", {}, alternative_names=others) for name, others in (("First", ("nation_0", "NATION_4")), ("Nation_7", ()), ("last", ("Nation_21",)))]
-
-    @F.udf(returnType="string")
-    def found(name: str) -> str | None:
-        try:
-            return config.find_module(made, name).name
-        except AnnotationError:
-            return None
-
-    return table(spark, sf, "nation").select("n_nationkey", found("n_name").alias("module"))
+    every = {x.lower() for m in made for x in (m.name, *m.alternative_names)}
+    known = spark.createDataFrame([(x, config.find_module(made, x.upper()).name) for x in sorted(every)], "name string, module string")
+    return table(spark, sf, "nation").withColumn("name", F.lower("n_name")).join(known, "name", "left").select("n_nationkey", "module")
 
 
 SQL["module_name_match"] = """
 SELECT n_nationkey, CASE WHEN lower(n_name) IN ('first', 'nation_0', 'nation_4') THEN 'First' WHEN lower(n_name) = 'nation_7' THEN 'Nation_7' WHEN lower(n_name) IN ('last', 'nation_21') THEN 'last' END AS module FROM nation"""
 
 
+
 def modulo_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Rows by the remainder of their index, counted."""
     task = long(F.pmod("o_orderkey", F.lit(10))).alias("task")
@@ -306,18 +301,11 @@ SELECT t.task, count(o_orderkey) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total
 
 
 def config_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """A range for each line, as the readers parse its text; null where it isn't one."""
-
-    @F.udf(returnType="struct<start:long,end:long>")
-    def parsed(text: str) -> tuple[int, int] | None:
-        try:
-            return config.parse_range(text)
-        except AnnotationError:
-            return None
-
+    """A range for each line, parsed from its text; null where it isn't one."""
     text = F.concat_ws("..", F.col("l_linenumber") - 1, F.col("l_partkey") % 9).alias("text")
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text)
-    return rows.withColumn("r", parsed("text")).select("l_orderkey", "l_linenumber", "l_partkey", "text", "r.start", "r.end")
+    r = F.get(coords.try_parse_ranges(F.col("text")), 0)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "text", long(r["start"]).alias("start"), long(r["end"]).alias("end"))
 
 
 SQL["config_ranges"] = """

@@ -17,8 +17,8 @@ def format_ranges(ranges: Column) -> Column:
     return F.array_join(F.transform(ranges, lambda r: F.when(r["end"].isNull(), r["start"].cast("string")).otherwise(written_range(r["start"], r["end"]))), ";")
 
 
-def parse_ranges(text: Column) -> Column:
-    """The inverse. A text that is no list of ranges with 1 <= s <= e, or positions, raises an error."""
+def _parsed(text: Column) -> tuple[Column, Column]:
+    """Whether a text is no list of ranges or positions, and what it says."""
     bad = ~F.coalesce(text.rlike(r"^[0-9]{1,9}(\.\.[0-9]{1,9})?(;[0-9]{1,9}(\.\.[0-9]{1,9})?)*$"), F.lit(True))
 
     def one(x: Column) -> Column:
@@ -28,4 +28,16 @@ def parse_ranges(text: Column) -> Column:
 
     parsed = F.transform(F.split(text, ";"), one)
     wrong = bad | F.exists(parsed, lambda r: r["end"].isNotNull() & ((r["start"] < 0) | (r["end"] <= r["start"])))
-    return F.when(wrong, F.raise_error(F.concat(F.lit("not coordinates: "), text)).cast(RANGES)).otherwise(parsed.cast(RANGES))
+    return wrong, parsed.cast(RANGES)
+
+
+def parse_ranges(text: Column) -> Column:
+    """The inverse. A text that is no list of ranges with 1 <= s <= e, or positions, raises an error."""
+    wrong, parsed = _parsed(text)
+    return F.when(wrong, F.raise_error(F.concat(F.lit("not coordinates: "), text)).cast(RANGES)).otherwise(parsed)
+
+
+def try_parse_ranges(text: Column) -> Column:
+    """As ``parse_ranges``, but null where that is an error."""
+    wrong, parsed = _parsed(text)
+    return F.when(~wrong, parsed)

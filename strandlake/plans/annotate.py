@@ -22,6 +22,7 @@ from strandlake.operators.frames import fix_frames_udf, rewrite_udf
 from strandlake.operators.materialize import genome_rows, materialize_products, product_rows, with_stop_extension
 from strandlake.operators.states import condensed, extended, has_required_start, in_exons, needs_frame_fix, states_of, written_cigar
 from strandlake.plans.module import Module
+from strandlake.plans.tables import implemented, unimplemented
 
 #: A classifier adds ``classified`` (a ctype), ``strand`` (+ or -) and ``status`` ("classified" or a reason) to rows.
 #: ``operators.classify.classifier`` makes one from references.
@@ -69,7 +70,7 @@ def aligned_states(queries: DataFrame, module: Module) -> DataFrame:
     """Queries with every group of their ctype: the alignment, its states after the rules on ends and deletions, and
     the end of a stop extension. Groups that don't align have a null score."""
     spark, c = queries.sparkSession, module.config
-    rows = queries.join(module.group_table(spark), "ctype")
+    rows = implemented(queries, module.group_table(spark))
     least = spark.sparkContext.defaultParallelism * 4
     rows = rows.repartition(max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = rows.withColumn("chewed", chew_offset(F.col("nt"), F.col("ref_len"), F.lit(c.chew_to_start)))
@@ -111,7 +112,6 @@ def annotate(queries: DataFrame, module: Module, keep: bool = True) -> Annotatio
     """queries: query_id, nt, ctype. With ``keep`` the aligned rows are persisted (memory and disk), since several
     tables follow from them and alignment is the costly step; without, for a single table, they are not."""
     spark = queries.sparkSession
-    known = module.group_table(spark).select("ctype").distinct()
     aligned = aligned_states(queries, module)
     if keep:
         aligned = aligned.persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,7 +119,7 @@ def annotate(queries: DataFrame, module: Module, keep: bool = True) -> Annotatio
     return Annotation(
         products_of(good, module),
         good,
-        queries.join(known, "ctype", "left_anti").select("ctype").distinct(),
+        unimplemented(queries, module.group_table(spark)),
         aligned.filter(F.col("score").isNull()).select("query_id", "ctype", "reference_id"),
         module,
         aligned,
