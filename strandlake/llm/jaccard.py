@@ -46,6 +46,8 @@ LAST_ID = (1 << 63) - 1
 _BLOCK = 1 << 21
 #: Ranges of the coarse counts, and the most pairs of a list that are held at once.
 COARSE, MOST_HELD = 128, 1 << 19
+#: Sets that are compared with one in a task.
+OTHERS = 256
 
 
 def least_overlap(total: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -386,8 +388,9 @@ class Join:
         return self.members(ends)
 
     def whole_sets(self, wanted: DataFrame) -> DataFrame:
-        """(sid, tokens) of the wanted (sid, rep), computed again from the texts. Documents are told by a bitmap of
-        rep, which has 32 bits or so for each and ``most_bits`` at most; beyond what that can tell they are joined."""
+        """(sid, doc_id, tokens) of the documents that stand for the wanted sets (sid, rep), computed again from the
+        texts, and a few others. Documents are told by a bitmap of rep, which has 32 bits or so for each and
+        ``most_bits`` at most; beyond what that can tell they are joined. A task gives repeated rows once."""
         n = wanted.count()
         bits = min(max(1 << 16, 1 << math.ceil(math.log2(32 * n + 1))), self.most_bits)
         words, docs = self.words, self.docs.select("doc_id", "text")
@@ -398,50 +401,78 @@ class Join:
             docs = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            given: set[tuple[bytes, int]] = set()
             for batch in sliced(batches):
-                text = batch.column("text")
+                text, ids = batch.column("text"), batch.column("doc_id").to_numpy()
                 if shared is not None:
-                    at = np.mod(batch.column("doc_id").to_numpy(), bits)
-                    text = text.filter(pa.array(((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool)))
-                sets, size = [], 0  # given out in pieces, as a slice may hold many long texts
-                for tokens in shingle_sets(*utf8(text), words) if len(text) else ():
+                    at = np.mod(ids, bits)
+                    hit = ((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool)
+                    text, ids = text.filter(pa.array(hit)), ids[hit]
+                names, own, sets, size = [], [], [], 0  # given out in pieces, as a slice may hold many long texts
+                for doc_id, tokens in zip(ids.tolist(), shingle_sets(*utf8(text), words) if len(text) else (), strict=True):
+                    name = name_of(tokens.tobytes())
+                    if (name, doc_id) in given:
+                        continue
+                    if len(given) >= MOST_HELD:
+                        given.clear()
+                    given.add((name, doc_id))
+                    names.append(name)
+                    own.append(doc_id)
                     sets.append(tokens)
                     size += len(tokens)
                     if size >= 1 << 19:
-                        yield named(sets)
-                        sets, size = [], 0
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(own, pa.int64()), column_of_sets(sets)], ["sid", "doc_id", "tokens"])
+                        names, own, sets, size = [], [], [], 0
                 if sets:
-                    yield named(sets)
-
-        def named(sets: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([name_of(s.tobytes()) for s in sets], pa.binary()), column_of_sets(sets)], ["sid", "tokens"])
-
-        made = docs.mapInArrow(work, "sid binary, tokens array<long>")
-        return made.groupBy("sid").agg(F.first("tokens").alias("tokens"))
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(own, pa.int64()), column_of_sets(sets)], ["sid", "doc_id", "tokens"])
+
+        return docs.mapInArrow(work, "sid binary, doc_id long, tokens array<long>")
+
+    def dealt(self, pairs: DataFrame) -> DataFrame:
+        """(sid, rep, centre, share, role): each pair's set of more pairs is its centre (role 0), which the other one
+        (role 1) comes to. The others of a centre are dealt to shares of ``OTHERS`` or so."""
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("degree"))
+        for end in ("a", "b"):
+            pairs = pairs.join(degree.withColumnsRenamed({"sid": end, "degree": f"of_{end}"}), end)
+        first = F.col("of_a") >= F.col("of_b")
+        centre, other = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
+        share = F.pmod(F.xxhash64(other), F.ceil(F.greatest("of_a", "of_b") / OTHERS)).alias("share")
+        told = pairs.select(centre.alias("centre"), other.alias("other"), share)
+        needs = told.select(F.col("other").alias("sid"), "centre", "share", F.lit(1).alias("role"))
+        needs = needs.unionByName(told.select(F.col("centre").alias("sid"), "centre", "share", F.lit(0).alias("role")).distinct())
+        return needs.join(self.classes.select("sid", "rep"), "sid")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that link, by their whole sets."""
+        """The pairs (a, b) that link, by their whole sets. One set moves for each pair; a task holds one centre's set
+        and lets the others pass."""
         percent = self.percent
         pairs = self.scratch.write(pairs, f"{name}_pairs")
         if pairs.isEmpty():
             return pairs
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(self.classes.select("sid", "rep"), "sid")
-        wanted = self.scratch.write(wanted, f"{name}_wanted")
-        sets = self.whole_sets(wanted)
+        needs = self.scratch.write(self.dealt(pairs), f"{name}_needs")
+        sets = self.whole_sets(needs.select("sid", "rep").distinct()).withColumnRenamed("doc_id", "rep")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in sliced(batches):
-                link = []
-                for x, y in zip(sets_of(batch.column("x")), sets_of(batch.column("y")), strict=True):
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    link.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                link = pa.array(link, pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column("a").filter(link), batch.column("b").filter(link)], ["a", "b"])
-
-        one = pairs.join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-        both = one.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").select("a", "b", "x", "y")
-        out = self.scratch.write(both.mapInArrow(work, "a binary, b binary"), name)
-        for made in ("pairs", "wanted"):
+            at, held = None, None
+            for batch in batches:
+                a, b = [], []
+                columns = (batch.column(c).to_pylist() for c in ("centre", "share", "role", "sid"))
+                for centre, share, role, sid, tokens in zip(*columns, sets_of(batch.column("tokens")), strict=True):
+                    if role == 0:
+                        at, held = (centre, share), tokens.copy()
+                        continue
+                    if at != (centre, share):
+                        raise RuntimeError("a set came without its centre")
+                    overlap = len(np.intersect1d(held, tokens, assume_unique=True))
+                    if 100 * overlap >= percent * (len(held) + len(tokens) - overlap):
+                        a.append(centre)
+                        b.append(sid)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+        rows = sets.join(needs, ["sid", "rep"]).select("centre", "share", "role", "sid", "tokens")
+        rows = rows.repartition("centre", "share").sortWithinPartitions("centre", "share", "role")
+        out = self.scratch.write(rows.mapInArrow(work, "a binary, b binary"), name)
+        for made in ("pairs", "needs"):
             self.scratch.drop(f"{name}_{made}")
         return out
 

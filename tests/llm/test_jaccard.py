@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from strandlake.llm import jaccard
 from strandlake.llm.jaccard import coarse_counts, coarse_table, join, keep_first, prefix_length, shared_rows, star_cover
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,3 +146,15 @@ def test_star_cover(seed):
     a, b = a[some], b[some]
     taken = star_cover(a, b, 30)
     assert taken.sum() <= 30 and set(np.concatenate((a[taken], b[taken]))) == set(np.concatenate((a, b)))
+
+
+def test_a_star_of_many_shares(spark, monkeypatch):
+    """One set links with very many others, which are dealt to shares of two; some are copies, some have no id."""
+    monkeypatch.setattr(jaccard, "OTHERS", 2)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[:20], f"x{i}", *base[20:]] if i else base)) for i in range(40)]
+    rows += [(100 + i, " ".join(base)) for i in range(5)] + [(None, " ".join(base))] * 3 + [(200, "quite another text of seven words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for block in (4, 512):
+        got = {r.doc_id: r.component_id for r in join(df, block=block).collect() if r.doc_id is not None}
+        assert got == {i: 0 if i < 200 else 200 for i, _ in rows if i is not None}
