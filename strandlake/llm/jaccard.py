@@ -65,12 +65,6 @@ def column_of_sets(sets: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def sets_of(column: pa.Array) -> list[np.ndarray]:
-    at = column.offsets.to_numpy()
-    flat = column.values.to_numpy().view(np.uint64)
-    return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-
-
 def name_of(*parts: bytes) -> bytes:
     made = hashlib.blake2b(digest_size=16)
     for p in parts:
@@ -387,46 +381,32 @@ class Join:
         ends = pairs.select(key, F.col("x").alias("node"), F.lit(0).alias("side")).unionByName(pairs.select(key, F.col("y").alias("node"), F.lit(1).alias("side")))
         return self.members(ends)
 
-    def whole_sets(self, wanted: DataFrame) -> DataFrame:
-        """(sid, doc_id, tokens) of the documents that stand for the wanted sets (sid, rep), computed again from the
-        texts, and a few others. Documents are told by a bitmap of rep, which has 32 bits or so for each and
-        ``most_bits`` at most; beyond what that can tell they are joined. A task gives repeated rows once."""
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """(rep, text) of the documents that stand for the wanted sets (sid, rep), and a few others. Documents are told
+        by a bitmap of rep, which has 32 bits or so for each and ``most_bits`` at most; beyond what that can tell they
+        are joined. A task gives repeated rows once."""
         n = wanted.count()
         bits = min(max(1 << 16, 1 << math.ceil(math.log2(32 * n + 1))), self.most_bits)
-        words, docs = self.words, self.docs.select("doc_id", "text")
-        if bits >= 8 * n:
-            shared = self.spark.sparkContext.broadcast(bitmap_of(wanted, "rep", bits))
-        else:
-            shared = None
-            docs = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        docs = self.docs.select(F.col("doc_id").alias("rep"), "text")
+        if bits < 8 * n:
+            return docs.join(wanted.select("rep").distinct(), "rep", "left_semi")
+        shared = self.spark.sparkContext.broadcast(bitmap_of(wanted, "rep", bits))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            given: set[tuple[bytes, int]] = set()
+            given: set[tuple[int, int]] = set()
             for batch in sliced(batches):
-                text, ids = batch.column("text"), batch.column("doc_id").to_numpy()
-                if shared is not None:
-                    at = np.mod(ids, bits)
-                    hit = ((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool)
-                    text, ids = text.filter(pa.array(hit)), ids[hit]
-                names, own, sets, size = [], [], [], 0  # given out in pieces, as a slice may hold many long texts
-                for doc_id, tokens in zip(ids.tolist(), shingle_sets(*utf8(text), words) if len(text) else (), strict=True):
-                    name = name_of(tokens.tobytes())
-                    if (name, doc_id) in given:
-                        continue
+                at = np.mod(batch.column("rep").to_numpy(), bits)
+                hit = batch.filter(pa.array(((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool)))
+                keys = [(i, hash(t)) for i, t in zip(hit.column("rep").to_pylist(), hit.column("text").to_pylist(), strict=True)]
+                fresh = []
+                for key in keys:
+                    fresh.append(key not in given)
                     if len(given) >= MOST_HELD:
                         given.clear()
-                    given.add((name, doc_id))
-                    names.append(name)
-                    own.append(doc_id)
-                    sets.append(tokens)
-                    size += len(tokens)
-                    if size >= 1 << 19:
-                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(own, pa.int64()), column_of_sets(sets)], ["sid", "doc_id", "tokens"])
-                        names, own, sets, size = [], [], [], 0
-                if sets:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(own, pa.int64()), column_of_sets(sets)], ["sid", "doc_id", "tokens"])
-
-        return docs.mapInArrow(work, "sid binary, doc_id long, tokens array<long>")
+                    given.add(key)
+                yield hit.filter(pa.array(fresh, pa.bool_()))
+
+        return docs.mapInArrow(work, "rep long, text string")
 
     def dealt(self, pairs: DataFrame) -> DataFrame:
         """(sid, rep, centre, share, role): each pair's set of more pairs is its centre (role 0), which the other one
@@ -443,23 +423,26 @@ class Join:
         return needs.join(self.classes.select("sid", "rep"), "sid")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that link, by their whole sets. One set moves for each pair; a task holds one centre's set
-        and lets the others pass."""
+        """The pairs (a, b) that link, by their whole sets. One text moves for each pair, which is less than its set; a
+        task holds one centre's set and lets the others pass."""
         percent = self.percent
         pairs = self.scratch.write(pairs, f"{name}_pairs")
         if pairs.isEmpty():
             return pairs
         needs = self.scratch.write(self.dealt(pairs), f"{name}_needs")
-        sets = self.whole_sets(needs.select("sid", "rep").distinct()).withColumnRenamed("doc_id", "rep")
+        texts = self.texts_of(needs.select("sid", "rep").distinct())
+        words = self.words
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, held = None, None
-            for batch in batches:
+            for batch in sliced(batches):
                 a, b = [], []
                 columns = (batch.column(c).to_pylist() for c in ("centre", "share", "role", "sid"))
-                for centre, share, role, sid, tokens in zip(*columns, sets_of(batch.column("tokens")), strict=True):
+                for centre, share, role, sid, tokens in zip(*columns, shingle_sets(*utf8(batch.column("text")), words), strict=True):
+                    if name_of(tokens.tobytes()) != sid:  # another text of the same doc_id
+                        continue
                     if role == 0:
-                        at, held = (centre, share), tokens.copy()
+                        at, held = (centre, share), tokens
                         continue
                     if at != (centre, share):
                         raise RuntimeError("a set came without its centre")
@@ -469,7 +452,7 @@ class Join:
                         b.append(sid)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-        rows = sets.join(needs, ["sid", "rep"]).select("centre", "share", "role", "sid", "tokens")
+        rows = texts.join(needs, "rep").select("centre", "share", "role", "sid", "text")
         rows = rows.repartition("centre", "share").sortWithinPartitions("centre", "share", "role")
         out = self.scratch.write(rows.mapInArrow(work, "a binary, b binary"), name)
         for made in ("pairs", "needs"):

@@ -151,7 +151,7 @@ def test_star_cover(seed):
 def test_a_star_of_many_shares(spark, monkeypatch):
     """One set links with very many others, which are dealt to shares of two; some are copies, some have no id."""
     monkeypatch.setattr(jaccard, "OTHERS", 2)
-    base = [f"w{i}" for i in range(40)]
+    base = [f"w{i}" for i in range(70)]
     rows = [(i, " ".join([*base[:20], f"x{i}", *base[20:]] if i else base)) for i in range(40)]
     rows += [(100 + i, " ".join(base)) for i in range(5)] + [(None, " ".join(base))] * 3 + [(200, "quite another text of seven words")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
