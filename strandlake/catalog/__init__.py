@@ -10,7 +10,7 @@ from strandlake.catalog import classification, relations, sequences, sequential
 from strandlake.catalog.base import Query
 
 FAMILIES: tuple[ModuleType, ...] = (sequences, relations, sequential, classification)
-HELPERS = {"synthetic_module", "mutated"}
+HELPERS = {"synthetic_module", "mutated", "placed"}
 
 #: Integer columns that may be null; the queries and their SQL give -1 there, so their type is integer in any client.
 NULLABLE = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.catalog.base import long, sql_nt, nt_of, table
+from strandlake.catalog.base import long, nt_of, sql_aminos, sql_nt, table
 from strandlake.operators.frames import ProductShape, fix_frames_udf, rewrite_udf
 from strandlake.plans.annotate import aligned_states, annotate, prepare
 from strandlake.plans.module import Module
@@ -42,6 +42,27 @@ s AS (SELECT CAST(c_custkey AS VARCHAR) AS query_id, substr(r, 1, CAST(a - 1 AS
       || substr({sql_nt('c_custkey', '-i')}, 1, CAST(c_custkey % 5 AS BIGINT)) || substr(r, CAST(61 + g AS BIGINT)) AS nt FROM m) """
 
 
+#: Places of the reference, in frame of the products that don't slip, with what is put in there (no stop codon) or how
+#: much is left out; the bases around them differ, so no other place is as good.
+NEXT = str.maketrans("ACGT", "CGTA")
+PUT_IN = tuple((p, REFERENCE[p].translate(NEXT) + middle + REFERENCE[p - 1].translate(NEXT)) for p, middle in ((55, "C"), (61, "GCTC"), (67, "C"), (76, "CCAC")))
+LEFT_OUT = tuple((p, g) for p in range(55, 77, 3) for g in (3, 6) if REFERENCE[p] != REFERENCE[p + g] and REFERENCE[p - 1] != REFERENCE[p + g - 1])
+
+
+def placed(spark: SparkSession, sf: str) -> DataFrame:
+    """A copy for each customer: one base changed, and for two of three bases put in or left out at one known place."""
+    k = F.col("c_custkey").cast("int")
+    at, ref = 20 + k % 30, F.lit(REFERENCE)
+    head = F.concat(F.substr(ref, F.lit(1), at - 1), F.translate(F.substr(ref, at, F.lit(1)), "ACGT", "CGTA"))
+    tail = [F.when(F.lit(False), "")]
+    for kind, changes in ((1, [(p, x, 0) for p, x in PUT_IN]), (2, [(p, "", g) for p, g in LEFT_OUT])):
+        for i, (p, x, g) in enumerate(changes):
+            made = F.concat(F.substr(ref, at + 1, p - at), F.lit(x + REFERENCE[p + g :]))
+            tail.append(tail.pop().when((k % 3 == kind) & ((k / 3).cast("int") % len(changes) == i), made))
+    seq = F.concat(head, tail[0].otherwise(F.substr(ref, at + 1)))
+    return table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.lit("T").alias("ctype"), seq.alias("seq"))
+
+
 def annotate_genomes(spark: SparkSession, sf: str) -> DataFrame:
     """The whole plan: genome rows. With both ends repaired a genome is its query."""
     done = annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False)
@@ -56,18 +77,64 @@ def annotate_products(spark: SparkSession, sf: str) -> DataFrame:
     return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["seq"]
 
 
+#: The copies with their change: where (p), what is put in (x) and how much left out (g), and each product's bases.
+_PLACED = f"""
+WITH k AS (SELECT c_custkey AS k, CAST(20 + c_custkey % 30 AS BIGINT) AS a, c_custkey % 3 AS kind, c_custkey // 3 AS i, '{REFERENCE}' AS r FROM customer),
+c(kind, i, p, x, g) AS (VALUES {", ".join(f"(1, {i}, {p}, '{x}', 0)" for i, (p, x) in enumerate(PUT_IN))}, {", ".join(f"(2, {i}, {p}, '', {g})" for i, (p, g) in enumerate(LEFT_OUT))}),
+m AS (SELECT k, a, CAST(coalesce(p, 0) AS BIGINT) AS p, coalesce(x, '') AS x, CAST(coalesce(g, 0) AS BIGINT) AS g, substr(r, 1, a - 1) || translate(substr(r, a, 1), 'ACGT', 'CGTA') || substr(r, a + 1) AS r
+      FROM k LEFT JOIN c ON c.kind = k.kind AND c.i = k.i % CASE k.kind WHEN 1 THEN {len(PUT_IN)} ELSE {len(LEFT_OUT)} END),
+o AS (SELECT CAST(k AS VARCHAR) AS query_id, k, p, x, g, CASE WHEN p = 0 THEN r ELSE substr(r, 1, p) || x || substr(r, p + g + 1) END AS nt FROM m),
+s AS (SELECT *, 'whole' AS product_name, p - 4 AS site, substr(nt, 5, 114 + length(x) - g) AS cds FROM o UNION ALL SELECT *, 'spliced', p - 19, substr(nt, 5, 30) || substr(nt, 50, 51 + length(x) - g) FROM o),
+t AS (SELECT *, {sql_aminos('cds')} AS aa FROM s),
+u AS (SELECT *, CASE WHEN list_contains(aa, '*') THEN list_position(aa, '*') ELSE len(aa) END AS n FROM t),
+q AS (SELECT *, array_to_string(aa[1:n], '') AS aa_seq, substr(cds, 1, 3 * n) AS cds_seq FROM u) """
+
+
+def _tables(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of the whole plan, without the product that slips."""
+    return annotate(prepare(placed(spark, sf)), synthetic_module(), keep=False).tables()[name].filter("product_name <> 'slip'")
+
+
+def annotate_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole plan, P14 and F10: bases and residues of each product with their names."""
+    return _tables(spark, sf, "seq").select("query_id", "reference_id", "product_name", "variant_hash", "aa_seq", "cds_id", "cds_seq", "has_insertion", "has_shift_indel")
+
+
+SQL["annotate_sequences"] = _PLACED + "SELECT query_id, 'S1' AS reference_id, product_name, md5(aa_seq) AS variant_hash, aa_seq, sha1(cds_seq) AS cds_id, cds_seq, x <> '' AND 3 * n > site AS has_insertion, false AS has_shift_indel FROM q"
+
+
 def annotate_insertions(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["ins"]
+    """The whole plan, P15 and F7: the insertions before a product's end."""
+    numbers = [long(c).alias(c) for c in ("upstream_aa_pos", "upstream_nt_pos", "codon_shift")]
+    return _tables(spark, sf, "ins").select("query_id", "ctype", "reference_id", "product_name", "inserted_nt", "inserted_aa", *numbers)
+
+
+SQL["annotate_insertions"] = _PLACED + f"""SELECT query_id, 'T' AS ctype, 'S1' AS reference_id, product_name, x AS inserted_nt, array_to_string({sql_aminos('x')}, '') AS inserted_aa,
+CAST(site // 3 AS BIGINT) AS upstream_aa_pos, CAST(site AS BIGINT) AS upstream_nt_pos, CAST(0 AS BIGINT) AS codon_shift FROM q WHERE x <> '' AND 3 * n > site"""
 
 
 def annotate_deletions(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate(prepare(mutated(spark, sf)), synthetic_module(), keep=False).tables()["del"]
+    """The whole plan, P16 and D11: the deletions before a product's end."""
+    numbers = [long(c).alias(c) for c in ("del_aa_start", "del_aa_end", "del_aa_len", "del_cds_start", "del_cds_end", "del_cds_len")]
+    return _tables(spark, sf, "del").select("query_id", "ctype", "reference_id", "product_name", "variant_hash", "cds_id", "in_frame", *numbers)
+
+
+SQL["annotate_deletions"] = _PLACED + """SELECT query_id, 'T' AS ctype, 'S1' AS reference_id, product_name, md5(aa_seq) AS variant_hash, sha1(cds_seq) AS cds_id, true AS in_frame, CAST(site // 3 + 1 AS BIGINT) AS del_aa_start,
+CAST((site + g) // 3 AS BIGINT) AS del_aa_end, CAST(g // 3 AS BIGINT) AS del_aa_len, CAST(site + 1 AS BIGINT) AS del_cds_start, CAST(site + g AS BIGINT) AS del_cds_end, CAST(g AS BIGINT) AS del_cds_len FROM q WHERE g > 0 AND 3 * n > site"""
+
+
+def _best(rows: DataFrame) -> DataFrame:
+    return rows.select("query_id", long("ref_index").alias("ref_index"), long("score").alias("score"), "cigar", long("q_start").alias("q_start"), long("q_end").alias("q_end"), long("r_start").alias("r_start"), long("r_end").alias("r_end"))
 
 
 def align_best(spark: SparkSession, sf: str) -> DataFrame:
     """The best alignment of each query, and its two ends after repair."""
-    rows = aligned_states(prepare(mutated(spark, sf)), synthetic_module())
-    return rows.select("query_id", long("ref_index").alias("ref_index"), long("score").alias("score"), "cigar", long("q_start").alias("q_start"), long("q_end").alias("q_end"), long("r_start").alias("r_start"), long("r_end").alias("r_end"))
+    return _best(aligned_states(prepare(placed(spark, sf)), synthetic_module()))
+
+
+SQL["align_best"] = _PLACED + f"""SELECT query_id, CAST(0 AS BIGINT) AS ref_index, CAST(14 * ({len(REFERENCE) - 1} - g) - 1 - CASE WHEN p > 0 THEN 39 + length(x) + g ELSE 0 END AS BIGINT) AS score,
+CASE WHEN p = 0 THEN '{len(REFERENCE)}M' WHEN g = 0 THEN p || 'M' || length(x) || 'I' || ({len(REFERENCE)} - p) || 'M' ELSE p || 'M' || g || 'D' || ({len(REFERENCE)} - p - g) || 'M' END AS cigar,
+CAST(0 AS BIGINT) AS q_start, CAST(length(nt) AS BIGINT) AS q_end, CAST(0 AS BIGINT) AS r_start, CAST({len(REFERENCE)} AS BIGINT) AS r_end FROM o"""
 
 
 def align_known(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +142,7 @@ def align_known(spark: SparkSession, sf: str) -> DataFrame:
     the best alignment: one base changed, and bases only left out or only put in."""
     k = F.col("query_id").cast("int")
     one_kind = (k % 5 == 0) | (k % 3 == 0)
-    shown = align_best(spark, sf).withColumn("score", F.when(one_kind, F.col("score")))
+    shown = _best(aligned_states(prepare(mutated(spark, sf)), synthetic_module())).withColumn("score", F.when(one_kind, F.col("score")))
     return shown.select("query_id", "ref_index", "score", "q_start", "q_end", "r_start", "r_end")
 
 
