@@ -8,7 +8,7 @@ import os
 import secrets
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from strandlake.operators.classify import KmerIndex, classifier
 from strandlake.plans.annotate import annotate, prepare, unclassified, unimplemented_by_module
@@ -60,10 +60,13 @@ def main(argv: list[str] | None = None) -> int:
         log.warning("module %s has no codon weights", module.config.name)
     raw = read_queries(spark, args.data_file)
     tell = None if args.no_classifier or args.assume_default_ctype else classifier(KmerIndex.of(module.references))
-    done = annotate(prepare(raw, args.assume_default_ctype, tell), module)
+    prepared, aligned = Observation("prepared"), Observation("aligned")
+    done = annotate(prepare(raw, args.assume_default_ctype, tell, prepared), module, seen=aligned)
     tables = done.tables()
     for t, path in paths.items():
         write_table(tables[t], t, path, args.format)
+    counts = prepared.get | aligned.get  # of the first table's job; no job of their own
+    log.info("%(prepared)d sequences, %(without_bases)d without bases; %(pairs)d alignments tried, %(unaligned)d without a score", counts)
     for r in unimplemented_by_module(done.unimplemented, ctypes_elsewhere(spark, args.modules_dir, module.config.name)).toLocalIterator():
         log.warning("not implemented here%s: %s", f", but in module {r['module']}" if r["module"] else "", ", ".join(r["ctypes"]))
     if args.verbose and tell is not None:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strandlake.functions.iupac import reverse_complement, sanitize_id, sanitize_seq
@@ -35,10 +35,11 @@ def unclassified(raw: DataFrame, classifier: Classifier) -> DataFrame:
     return told.filter(F.col("status") != "classified").drop("ctype", "seq", "classified", "strand")
 
 
-def prepare(raw: DataFrame, default_ctype: str | None = None, classifier: Classifier | None = None) -> DataFrame:
+def prepare(raw: DataFrame, default_ctype: str | None = None, classifier: Classifier | None = None, seen: Observation | None = None) -> DataFrame:
     """query_id, nt, ctype of raw rows id, ctype, seq. A row without a ctype gets the classifier's (and is turned if it
     is of the minus strand; rows it can't tell are dropped), else the default; without either it is an error. Rows
-    without nucleotides are dropped."""
+    without nucleotides are dropped. ``seen`` gets ``prepared`` and, of these, ``without_bases`` from the job that reads
+    the result."""
     rows = raw.select("id", "ctype", "seq")
     if classifier is not None:
         known = rows.filter(F.col("ctype").isNotNull())
@@ -47,7 +48,10 @@ def prepare(raw: DataFrame, default_ctype: str | None = None, classifier: Classi
         rows = known.unionByName(told.select("id", F.col("classified").alias("ctype"), turned.alias("seq")))
     missing = F.raise_error(F.concat(F.lit("no ctype: "), F.col("id"))).cast("string") if default_ctype is None else F.lit(default_ctype)
     ctype = F.when(F.col("ctype").isNull(), missing).otherwise(F.col("ctype"))
-    return rows.select(sanitize_id(F.col("id")).alias("query_id"), sanitize_seq(F.col("seq")).alias("nt"), ctype.alias("ctype")).filter(F.length("nt") > 0)
+    made = rows.select(sanitize_id(F.col("id")).alias("query_id"), sanitize_seq(F.col("seq")).alias("nt"), ctype.alias("ctype"))
+    if seen is not None:
+        made = made.observe(seen, F.count("*").alias("prepared"), F.count_if(F.length("nt") == 0).alias("without_bases"))
+    return made.filter(F.length("nt") > 0)
 
 
 @dataclass
@@ -108,11 +112,14 @@ def products_of(aligned: DataFrame, module: Module) -> DataFrame:
     return materialize_products(rows)
 
 
-def annotate(queries: DataFrame, module: Module, keep: bool = True) -> Annotation:
+def annotate(queries: DataFrame, module: Module, keep: bool = True, seen: Observation | None = None) -> Annotation:
     """queries: query_id, nt, ctype. With ``keep`` the aligned rows are persisted (memory and disk), since several
-    tables follow from them and alignment is the costly step; without, for a single table, they are not."""
+    tables follow from them and alignment is the costly step; without, for a single table, they are not. ``seen`` gets
+    ``pairs`` of queries and reference groups, and how many of them are ``unaligned``, from the first table's job."""
     spark = queries.sparkSession
     aligned = aligned_states(queries, module)
+    if seen is not None:
+        aligned = aligned.observe(seen, F.count("*").alias("pairs"), F.count_if(F.col("score").isNull()).alias("unaligned"))
     if keep:
         aligned = aligned.persist(StorageLevel.MEMORY_AND_DISK)
     good = aligned.filter(F.col("score").isNotNull())

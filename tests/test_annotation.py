@@ -119,6 +119,37 @@ def test_reports(spark):
         prepare(spark.createDataFrame([("a", None, REF)], "id string, ctype string, seq string")).collect()
 
 
+def test_counts_come_with_the_first_table(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    raw = spark.createDataFrame([("a", "T", REF), ("b", "X", REF), ("c", "T", "NNNN"), ("d", "T", "123"), ("e", "T", REF)], "id string, ctype string, seq string").repartition(3)
+    prepared, aligned = Observation("p"), Observation("a")
+    done = annotate(prepare(raw, seen=prepared), module(), seen=aligned)
+    write_tables(done.tables(), f"{tmp_path}/seen_")
+    assert prepared.get == {"prepared": 5, "without_bases": 1} and aligned.get == {"pairs": 3, "unaligned": 1}
+    done.kept.unpersist()
+
+
+def test_command_line_classifies(spark, tmp_path, caplog):
+    """Sequences without a type get it from the references; counts and reasons are told."""
+    import random
+
+    from strandlake import cli
+
+    rng = random.Random(1)
+    ref, other = ("".join(rng.choice("ACGT") for _ in range(300)) for _ in range(2))
+    (tmp_path / "modules.toml").write_text('[[module]]\nname = "m"\nreferences = "r.fa"\ncds_spec = "s.tsv"\n[module.alignment.default]\nmatch = 5\nmismatch = 4\ngap_open = 10\ngap_extend = 1\n')
+    (tmp_path / "r.fa").write_text(f">R|T\n{ref}\n")
+    (tmp_path / "s.tsv").write_text("R\tT\tP\t1..300\n")
+    flipped = ref.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    (tmp_path / "q.fa").write_text(f">plain|T\n{ref}\n>untold\n{flipped}\n>strange\n{other}\n")
+    with caplog.at_level("INFO", logger="strandlake"):
+        assert cli.main([str(tmp_path / "q.fa"), "--modules-dir", str(tmp_path), "--module", "m", "--output-prefix", f"{tmp_path}/o_", "--verbose"]) == 0
+    rows = {r.query_id: r for r in read_table(spark, "gen_seq", f"{tmp_path}/o_gen_seq").collect()}
+    assert set(rows) == {"plain", "untold"} and rows["untold"].genome_seq == ref
+    assert "unrecognizable: strange" in caplog.text and "2 sequences, 0 without bases; 2 alignments tried" in caplog.text
+
+
 def test_round_trip(spark, tmp_path):
     queries = {"full": REF, "gap": "ATGAAACCCTTTTAA" + "G" * 3, "quote\"d": "ATGAAAGGGCCCGGGTTTTAA", "tab\tbed": "AAACCCGGGTTTT"}
     tables = run(spark, queries, module()).tables()
