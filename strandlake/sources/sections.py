@@ -41,7 +41,8 @@ def parse_weights(lines: DataFrame) -> DataFrame:
     """WEIGHTS of lines (value, file, block, at): headers ``#reference_id|product``, rows ``position codon count``.
 
     Codons become upper-case with T for U. Blank lines count for nothing. Reading fails where a row stands before any
-    header or isn't a weight, and where a section or a weight is repeated or a section empty.
+    header or isn't a weight, and where a section or a weight is repeated or a section empty. A file without any row
+    gives none, whatever its headers.
     """
     full = lines.filter(F.trim("value") != "")
     is_header = F.col("value").startswith("#")
