@@ -1,14 +1,14 @@
 """Improbable-feature digests of texts, in chained Bloom filters.
 
-A feature is a window of 64 bytes. Its rank is how rare the entropy of its bytes is among all windows of the
-corpus; long runs of few bytes are left out. In each stretch of 64 consecutive windows, shorter at the ends of a
-text, the rarest one (leftmost on ties) gains a point; windows with enough points are selected. Their hashes go into
+A feature is a window of 16 bytes; zeros stand before a text, so the first windows are its beginnings, and every text
+has as many windows as bytes. A window's rank is how rare the entropy of its bytes is among all windows of the corpus;
+windows of few different bytes (long runs) come after all others. In each stretch of 16 consecutive windows, shorter at
+the ends of a text, the rarest one (leftmost on ties) gains a point; windows with enough points are selected. The
+rarest window of a text stands in 16 stretches, so every text but the empty one has a feature. Their hashes go into
 Bloom filters of 256 bytes, a new one after every 160 features; a last filter less than half full is merged into the
 one before. Two digests are compared filter by filter: the bits they share, less those the best of the other's
 filters shares by chance, over the most they could share. A filter too sparse to tell the two apart shares nothing.
-
-Half of a text under 512 bytes keeps few such windows, so these texts also have filters of all their windows of 8
-bytes (zeros stand before the text, so the first ones are its beginnings), by which two of them are compared.
+The same rule holds for texts of every length.
 """
 
 from __future__ import annotations
@@ -26,17 +26,18 @@ from pyspark.sql import functions as F
 from strandlake.llm.runtime import prepare, sliced
 from strandlake.llm.textbytes import chunks, mix64, powers, utf8
 
-WINDOW, POINTS = 64, 16
+WINDOW, STRETCH, POINTS = 16, 16, 2
+#: Zeros before a text: as many as keep windows and stretches from spanning two texts.
+PAD = max(WINDOW, STRETCH) - 1
 CLASSES = 1024
 FILTER_BYTES, FILTER_FEATURES, HASHES = 256, 160, 5
-#: Texts of fewer bytes are compared by small windows; a comparison needs room of so many standard deviations.
-SHORT, SMALL_WINDOW, ROOM = 512, 8, 4
+#: A comparison needs room of so many standard deviations.
+ROOM = 4
 
 _C_LOG_C = np.zeros(WINDOW + 2, np.int32)
 _C_LOG_C[1:] = np.round(1024 * np.arange(1, WINDOW + 2) * np.log2(np.arange(1, WINDOW + 2))).astype(np.int32)
 _TOP = int(_C_LOG_C[WINDOW])
 _HASH = powers(np.uint64(0x9E3779B97F4A7C15), WINDOW)
-_SMALL_HASH = powers(np.uint64(0xD6E8FEB86659FD93), SMALL_WINDOW)
 
 
 def entropy_classes(raw: np.ndarray) -> np.ndarray:
@@ -59,36 +60,39 @@ def entropy_classes(raw: np.ndarray) -> np.ndarray:
     return ((_TOP - total) * (CLASSES - 1) // _TOP).astype(np.int16)
 
 
-def blocks(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Chunks of texts: first and last text, bytes, and offsets in them."""
+def blocks(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks of texts with zeros before each: the bytes, and where the zeros of each text begin (and the end)."""
     for i, j in chunks(offsets, 1 << 17):
-        yield i, j, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        size = np.diff(offsets[i : j + 1])
+        at = np.concatenate(([0], np.cumsum(size + PAD)))
+        out = np.zeros(int(at[-1]), np.uint8)
+        out[np.arange(offsets[j] - offsets[i]) + np.repeat(PAD * np.arange(1, j - i + 1), size)] = raw[offsets[i] : offsets[j]]
+        yield out, at
 
 
-def in_one_text(n: int, at: np.ndarray, width: int) -> np.ndarray:
-    """Which of n windows don't cross the end of a text."""
+def in_one_text(n: int, at: np.ndarray) -> np.ndarray:
+    """Which of n windows end within a text, so that zeros or its own bytes stand before."""
     inside = np.zeros(n + 1, np.int32)
-    lo, hi = at[:-1], at[1:] - width + 1
-    ok = hi > lo
-    np.add.at(inside, lo[ok], 1)
-    np.add.at(inside, hi[ok], -1)
+    lo, hi = at[:-1] + PAD + 1 - WINDOW, at[1:] + 1 - WINDOW
+    some = hi > lo
+    np.add.at(inside, lo[some], 1)
+    np.add.at(inside, hi[some], -1)
     return np.cumsum(inside[:n]) > 0
 
 
 def histogram(column: pa.Array) -> np.ndarray:
     raw, offsets = utf8(column)
     out = np.zeros(CLASSES, np.int64)
-    for _, _, part, at in blocks(raw, offsets):
+    for part, at in blocks(raw, offsets):
         c = entropy_classes(part)
-        if len(c):
-            out += np.bincount(c[in_one_text(len(c), at, WINDOW)], minlength=CLASSES)
+        out += np.bincount(c[in_one_text(len(c), at)], minlength=CLASSES)
     return out
 
 
 def ranks_of(counts: np.ndarray) -> np.ndarray:
-    """Rank of each class: the rarer, the smaller. Windows of the lowest classes (long runs) are never selected."""
+    """Rank of each class: the rarer, the smaller. The lowest classes (long runs) come last."""
     order = np.argsort(np.argsort(counts, kind="stable"), kind="stable").astype(np.int64)
-    order[: CLASSES // 8] = CLASSES
+    order[: CLASSES // 8] += CLASSES
     return order
 
 
@@ -98,19 +102,16 @@ def selected(raw: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     n = len(classes)
     if not n:
         return np.empty(0, np.int64)
-    valid = in_one_text(n, at, WINDOW)
     worst = np.int64(1 << 20)
-    least = np.where(valid, ranks[classes], worst) << np.int64(32) | np.arange(n, dtype=np.int64)
-    # WINDOW - 1 invalid windows part two texts, and here the ends, so no stretch has valid ones of two texts
-    least = np.pad(least, WINDOW - 1, constant_values=worst << np.int64(32))
+    least = np.where(in_one_text(n, at), ranks[classes], worst) << np.int64(32) | np.arange(n, dtype=np.int64)
+    # PAD invalid windows part two texts, and here the ends, so no stretch has valid ones of two texts
+    least = np.pad(least, STRETCH - 1, constant_values=worst << np.int64(32))
     width = 1
-    while width < WINDOW:
+    while width < STRETCH:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    points = np.bincount(least[least < worst << np.int64(32)] & np.int64(0xFFFFFFFF), minlength=n)[:n]
-    chosen = points >= POINTS
-    chosen &= valid & (ranks[classes] < CLASSES)
-    return np.flatnonzero(chosen)
+    points = np.bincount(least[least < worst << np.int64(32)] & np.int64(0xFFFFFFFF), minlength=n)
+    return np.flatnonzero(points >= POINTS)
 
 
 def window_hashes(raw: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -120,15 +121,7 @@ def window_hashes(raw: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-def small_window_hashes(text: np.ndarray) -> np.ndarray:
-    padded = np.concatenate((np.zeros(SMALL_WINDOW - 1, np.uint64), text.astype(np.uint64) + np.uint64(1)))
-    out = np.zeros(len(text), np.uint64)
-    for k in range(SMALL_WINDOW):
-        out += padded[k : k + len(text)] * _SMALL_HASH[k]
-    return mix64(out)
-
-
-class Filters:
+class Digest:
     """Chained filters, packed bits, and the number of set bits of each."""
 
     __slots__ = ("bits", "ones", "features")
@@ -149,9 +142,9 @@ class Filters:
         self.ones = np.bitwise_count(self.bits).sum(1).astype(float)
 
     def text(self) -> str:
-        return f"{self.features}:{base64.b64encode(self.bits.tobytes()).decode()}"
+        return f"{self.features}:{base64.b64encode(self.bits.tobytes()).decode()}" if self.features else ""
 
-    def likeness(self, other: Filters) -> float:
+    def likeness(self, other: Digest) -> float:
         if not self.features or not other.features:
             return float(self.features == other.features)
         a, b = (self, other) if len(self.ones) <= len(other.ones) else (other, self)
@@ -168,39 +161,15 @@ class Filters:
         return total / len(a.ones)
 
 
-class Digest:
-    """Filters of one text; ``small`` are those of a short one."""
-
-    __slots__ = ("large", "small")
-
-    def __init__(self, large: np.ndarray, small: np.ndarray | None):
-        self.large, self.small = Filters(large), None if small is None else Filters(small)
-
-    def text(self) -> str:
-        return ";".join(f.text() for f in (self.large, self.small) if f is not None) if self.large.features or (self.small and self.small.features) else ""
-
-    def likeness(self, other: Digest) -> float:
-        if self.small is not None and other.small is not None:
-            return self.small.likeness(other.small)
-        return self.large.likeness(other.large)
-
-
 def digests(texts: list[str], ranks: np.ndarray) -> list[Digest]:
     raw, offsets = utf8(pa.array(texts, pa.large_string()))
     out: list[Digest] = []
-    for _, _, part, at in blocks(raw, offsets):
+    for part, at in blocks(raw, offsets):
         places = selected(part, at, ranks)
         hashes = window_hashes(part, places)
+        # a text's windows begin before its own bytes
         cut = np.searchsorted(places, at)
-        for lo, hi, a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if b - a < SHORT:
-                out.append(Digest(hashes[lo:hi], small_window_hashes(part[a:b])))
-            elif hi > lo:
-                out.append(Digest(hashes[lo:hi], None))
-            else:
-                whole = part[a:b].astype(np.uint64) + np.uint64(1)
-                with np.errstate(over="ignore"):
-                    out.append(Digest(mix64(np.array([np.sum(whole * powers(np.uint64(0xC2B2AE3D27D4EB4F), b - a))], np.uint64)), None))
+        out.extend(Digest(hashes[lo:hi]) for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
     return out
 
 

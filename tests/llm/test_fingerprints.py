@@ -13,9 +13,9 @@ def test_entropy_of_every_window():
     rng = random.Random(1)
     raw = np.frombuffer(("".join(rng.choice("abcde  xyz") for _ in range(300)) + "a" * 80 + "".join(map(chr, range(33, 120)))).encode(), np.uint8)
     got = fp.entropy_classes(raw)
-    assert len(got) == len(raw) - 63
+    assert len(got) == len(raw) - fp.WINDOW + 1
     for i, c in enumerate(got):
-        counts = Counter(raw[i : i + 64].tolist())
+        counts = Counter(raw[i : i + fp.WINDOW].tolist())
         total = sum(round(1024 * n * math.log2(n)) for n in counts.values())
         assert c == (fp._TOP - total) * (fp.CLASSES - 1) // fp._TOP
 
@@ -26,6 +26,70 @@ def texts(seed=2, n=60):
     return [" ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 8, 60, 400]))) for _ in range(n)]
 
 
+def brute_selection(text: bytes, ranks) -> list[int]:
+    """Ends of the selected windows, counted from the definition."""
+    n = len(text)
+    padded = bytes(fp.WINDOW - 1) + text
+    rank = []
+    for i in range(n):
+        total = sum(round(1024 * c * math.log2(c)) for c in Counter(padded[i : i + fp.WINDOW]).values())
+        rank.append(int(ranks[(fp._TOP - total) * (fp.CLASSES - 1) // fp._TOP]))
+    points = Counter()
+    for lo in range(1 - fp.STRETCH, n) if n else ():
+        stretch = range(max(0, lo), min(n, lo + fp.STRETCH))
+        points[min(stretch, key=lambda i: (rank[i], i))] += 1
+    return [i for i in range(n) if points[i] >= fp.POINTS]
+
+
+def test_selection_from_its_definition():
+    rng = random.Random(8)
+    some = [*texts(9, 20), "", "a", "ab", "é", "aaaa" * 30, "x" * 15 + "y", "x" * 16, "\0\0a", *["".join(rng.choice("abc d") for _ in range(n)) for n in range(1, 70, 3)]]
+    ranks = fp.ranks_of(fp.histogram(pa.array(some)))
+    raw, offsets = fp.utf8(pa.array(some, pa.large_string()))
+    want = [brute_selection(t.encode(), ranks) for t in some]
+    got = []
+    for part, at in fp.blocks(raw, offsets):
+        places = fp.selected(part, at, ranks)
+        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            got.append([int(p - lo - fp.PAD + fp.WINDOW - 1) for p in places if lo <= p < hi])
+    assert got == want
+    assert all(bool(t) == bool(w) for t, w in zip(some, want, strict=True))
+    assert [d.features for d in fp.digests(some, ranks)] == [len(w) for w in want]
+
+
+def brute_likeness(a, b) -> float:
+    def bits(hashes):
+        starts = list(range(0, len(hashes), fp.FILTER_FEATURES))
+        if len(starts) > 1 and len(hashes) - starts[-1] < fp.FILTER_FEATURES // 2:
+            del starts[-1]
+        return [{int(h) >> 11 * k & 2047 for h in hashes[lo:hi] for k in range(fp.HASHES)} for lo, hi in zip(starts, [*starts[1:], len(hashes)], strict=False)]
+
+    x, y = sorted((bits(a), bits(b)), key=len)
+    if not x or not y:
+        return float(len(x) == len(y))
+    total = 0.0
+    for f in x:
+        best = 0.0
+        for g in y:
+            mean = len(f) * len(g) / 2048
+            sd = math.sqrt(mean * (1 - len(g) / 2048) * (1 - len(f) / 2048))
+            chance = mean + sd * math.sqrt(2 * math.log(len(y)))
+            room = min(len(f), len(g)) - chance
+            if room >= fp.ROOM * sd:
+                best = max(best, min(1.0, max(0.0, (len(f & g) - chance) / room)))
+        total += best
+    return total / len(x)
+
+
+def test_likeness_from_its_definition():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    sets = [pool[:n] for n in (0, 1, 3, 79, 80, 160, 239, 240, 900)] + [pool[k : k + n] for k in (2, 100, 300) for n in (1, 40, 200, 500)]
+    for a in sets:
+        for b in sets:
+            assert math.isclose(fp.Digest(a).likeness(fp.Digest(b)), brute_likeness(a, b), abs_tol=1e-9)
+
+
 def test_digest_depends_on_the_text_only():
     all_texts = texts()
     ranks = fp.ranks_of(fp.histogram(pa.array(all_texts)))
