@@ -9,8 +9,10 @@ from strandlake.catalog.base import long, nt_of, sql_aminos, sql_nt, table
 from strandlake.operators.frames import ProductShape, fix_frames_udf, rewrite_udf
 from strandlake.plans.annotate import aligned_states, annotate, prepare
 from strandlake.plans.module import Module
+from strandlake.plans.onepass import read_together, table_lines, write_together
 from strandlake.schema import CDS_STATES, STATES
 from strandlake.sources.config import ModuleConfig, Penalties, Reference, Rule, Spec
+from strandlake.sources.scratch import new_folder
 
 SQL: dict[str, str] = {}
 
@@ -123,6 +125,39 @@ SQL["annotate_deletions"] = _PLACED + """SELECT query_id, 'T' AS ctype, 'S1' AS
 CAST((site + g) // 3 AS BIGINT) AS del_aa_end, CAST(g // 3 AS BIGINT) AS del_aa_len, CAST(site + 1 AS BIGINT) AS del_cds_start, CAST(site + g AS BIGINT) AS del_cds_end, CAST(g AS BIGINT) AS del_cds_len FROM q WHERE g > 0 AND 3 * n > site"""
 
 
+def reread_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The six tables written in one pass and read again with their types, one row for each
+    of theirs: its place and size, and what tells it."""
+    folder = new_folder(spark, "tables")
+    write_together(table_lines(prepare(placed(spark, sf)), synthetic_module()), folder)
+    t, none = read_together(spark, folder), F.lit(0)
+    shown = {
+        "seq": (none, F.length("cds_seq"), F.concat_ws(" ", "kind", "variant_hash", "cds_id", "has_insertion", "has_shift_indel")),
+        "ins": (F.col("upstream_nt_pos"), F.length("inserted_nt"), F.concat_ws(" ", "inserted_nt", "inserted_aa", "codon_shift")),
+        "del": (F.col("del_cds_start"), F.col("del_cds_len"), F.concat_ws(" ", "variant_hash", "cds_id", "in_frame")),
+        "gen_seq": (none, F.col("genome_length"), F.concat_ws(" ", "genome_id", "has_insertion", "genome_aln")),
+        "gen_ins": (F.col("upstream_nt_pos"), F.length("inserted_nt"), F.col("inserted_nt")),
+        "gen_del": (F.col("del_start"), F.col("del_len"), F.col("del_end").cast("string")),
+    }
+    out = None
+    for name, (place, size, told) in shown.items():
+        product = F.col("product_name") if "product_name" in t[name].columns else F.lit("")
+        rows = t[name].select(F.lit(name).alias("result_table"), "query_id", "ctype", "reference_id", product.alias("product_name"), long(place).alias("place"), long(size).alias("size"), told.alias("told"))
+        rows = rows.filter("product_name <> 'slip'")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+SQL["reread_tables"] = _PLACED + f""", w(result_table, query_id, product_name, place, size, told) AS (
+SELECT 'seq', query_id, product_name, 0, length(cds_seq), 'data ' || md5(aa_seq) || ' ' || sha1(cds_seq) || ' ' || CASE WHEN x <> '' AND 3 * n > site THEN 'true' ELSE 'false' END || ' false' FROM q
+UNION ALL SELECT 'ins', query_id, product_name, site, length(x), x || ' ' || array_to_string({sql_aminos('x')}, '') || ' 0' FROM q WHERE x <> '' AND 3 * n > site
+UNION ALL SELECT 'del', query_id, product_name, site + 1, g, md5(aa_seq) || ' ' || sha1(cds_seq) || ' true' FROM q WHERE g > 0 AND 3 * n > site
+UNION ALL SELECT 'gen_seq', query_id, '', 0, length(nt), sha1(nt) || ' ' || CASE WHEN x <> '' THEN 'true' ELSE 'false' END || ' ' || CASE WHEN x <> '' THEN substr(nt, 1, p) || substr(nt, p + length(x) + 1) WHEN g > 0 THEN substr(nt, 1, p) || repeat('-', g) || substr(nt, p + 1) ELSE nt END FROM o
+UNION ALL SELECT 'gen_ins', query_id, '', p, length(x), x FROM o WHERE x <> ''
+UNION ALL SELECT 'gen_del', query_id, '', p + 1, g, CAST(p + g AS VARCHAR) FROM o WHERE g > 0)
+SELECT result_table, query_id, 'T' AS ctype, 'S1' AS reference_id, product_name, CAST(place AS BIGINT) AS place, CAST(size AS BIGINT) AS size, told FROM w"""
+
+
 def _best(rows: DataFrame) -> DataFrame:
     return rows.select("query_id", long("ref_index").alias("ref_index"), long("score").alias("score"), "cigar", long("q_start").alias("q_start"), long("q_end").alias("q_end"), long("r_start").alias("r_start"), long("r_end").alias("r_end"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Observation, SparkSession
 from strandlake.operators.classify import KmerIndex, classifier
 from strandlake.plans.annotate import annotate, prepare, unclassified, unimplemented_by_module
 from strandlake.plans.module import ctypes_elsewhere, load
+from strandlake.plans.onepass import table_lines, write_together
 from strandlake.sources.queries import read_queries
 from strandlake.sources.tables import GENOME_TABLES, PRODUCT_TABLES, check_paths, write_table
 
@@ -30,12 +31,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--assume-default-ctype", help="the type of sequences without one; else the module's references tell it")
     p.add_argument("--no-classifier", action="store_true", help="a sequence without a type is an error")
     p.add_argument("--format", default="tsv")
+    p.add_argument("--one-pass", action="store_true", help="all six as tab-delimited text in the folder {prefix}tables, from one pass that keeps nothing in memory")
     p.add_argument("--verbose", action="store_true")
     return p
 
 
 def output_paths(args: argparse.Namespace) -> dict[str, str]:
     every = (*PRODUCT_TABLES, *GENOME_TABLES)
+    if args.one_pass and (args.outputs or args.format != "tsv"):
+        raise SystemExit("one pass writes the six tables as tab-delimited text under a prefix")
     if args.outputs and args.output_prefix:
         raise SystemExit("give outputs or a prefix, not both")
     if args.outputs:
@@ -45,6 +49,8 @@ def output_paths(args: argparse.Namespace) -> dict[str, str]:
     prefix = args.output_prefix or secrets.token_hex(16) + "_"
     if prefix.endswith("/") or os.path.isdir(prefix):
         prefix = os.path.join(prefix, secrets.token_hex(16) + "_")
+    if args.one_pass:
+        return {"tables": f"{prefix}tables"}
     return {t: f"{prefix}{t}" for t in every}
 
 
@@ -61,10 +67,15 @@ def main(argv: list[str] | None = None) -> int:
     raw = read_queries(spark, args.data_file)
     tell = None if args.no_classifier or args.assume_default_ctype else classifier(KmerIndex.of(module.references))
     prepared, aligned = Observation("prepared"), Observation("aligned")
-    done = annotate(prepare(raw, args.assume_default_ctype, tell, prepared), module, seen=aligned)
-    tables = done.tables()
-    for t, path in paths.items():
-        write_table(tables[t], t, path, args.format)
+    queries = prepare(raw, args.assume_default_ctype, tell, prepared)
+    if args.one_pass:
+        write_together(table_lines(queries, module, aligned), paths["tables"])
+        done = annotate(queries, module, keep=False)
+    else:
+        done = annotate(queries, module, seen=aligned)
+        tables = done.tables()
+        for t, path in paths.items():
+            write_table(tables[t], t, path, args.format)
     counts = prepared.get | aligned.get  # of the first table's job; no job of their own
     log.info("%(prepared)d sequences, %(without_bases)d without bases; %(pairs)d alignments tried, %(unaligned)d without a score", counts)
     for r in unimplemented_by_module(done.unimplemented, ctypes_elsewhere(spark, args.modules_dir, module.config.name)).toLocalIterator():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandlake.functions.coords import format_ranges
 from strandlake.functions.indels import deletion_metrics, insertion_metrics, reported_insertion
 from strandlake.functions.iupac import amino_list, genome_id, variant_hash
-from strandlake.schema import CDS_STATES, names
+from strandlake.schema import CDS_STATES, STATES, names
 
 
 def bases(nt: Column, s: Column) -> Column:
@@ -81,35 +81,50 @@ def materialize_products(rows: DataFrame) -> DataFrame:
     return out.withColumns(only_data | flags | {c: F.when(some, F.col(c)) for c in ("aa_aln", "cds_aln")}).drop("__aln", "__aa", "__at", "__kept")
 
 
+def padded(pad_aa: bool = True, pad_cds: bool = True) -> dict[str, Column]:
+    """The aligned columns of materialised products that are filled up to the product's length."""
+    out = {}
+    if pad_aa:
+        out["aa_aln"] = F.concat("aa_aln", F.repeat(F.lit("."), F.col("aa_rpad")))
+    if pad_cds:
+        out["cds_aln"] = F.concat("cds_aln", F.repeat(F.lit("."), F.col("cds_rpad")))
+    return out
+
+
 def product_rows(materialized: DataFrame, pad_aa: bool = True, pad_cds: bool = True) -> dict[str, DataFrame]:
     """The tables seq, ins and del. Products without any state have no row."""
     some = materialized.filter(F.col("kind") != "empty")
-    padded = {}
-    if pad_aa:
-        padded["aa_aln"] = F.concat("aa_aln", F.repeat(F.lit("."), F.col("aa_rpad")))
-    if pad_cds:
-        padded["cds_aln"] = F.concat("cds_aln", F.repeat(F.lit("."), F.col("cds_rpad")))
     keys = ["query_id", "ctype", "reference_id", "product_name"]
     ins = some.filter(F.col("kind") == "data").select(*keys, F.explode("ins").alias("x")).select(*keys, "x.*")
     gone = some.select(*keys, "variant_hash", "cds_id", F.explode("del").alias("x")).select(*keys, "variant_hash", "cds_id", "x.*")
-    return {"seq": some.withColumns(padded).select(*names("seq")), "ins": ins.select(*names("ins")), "del": gone.select(*names("del"))}
+    return {"seq": some.withColumns(padded(pad_aa, pad_cds)).select(*names("seq")), "ins": ins.select(*names("ins")), "del": gone.select(*names("del"))}
+
+
+def with_extension(states: Column, stop_end: Column, ref_len: Column) -> Column:
+    """States of a genome and, where there is a stop extension, its insertion at the end."""
+    one = F.struct(F.lit("I").alias("op"), F.element_at(states, -1)["q_end"].alias("q_start"), stop_end.alias("q_end"), ref_len.alias("r_start"), ref_len.alias("r_end"))
+    return F.concat(states, F.when(stop_end.isNotNull(), F.array(one)).otherwise(F.array().cast(STATES)))
+
+
+def genome_parts(every: Column, states: Column, nt: Column, ref_len: Column, pad: bool = True) -> tuple[dict[str, Column], Column, Column]:
+    """Columns of gen_seq, and arrays of what gen_ins and gen_del have beside their keys. ``every`` are the states with
+    their extension. Nothing is cut or filtered."""
+    seq = F.array_join(F.transform(F.filter(every, lambda s: s["op"] != "D"), lambda s: bases(nt, s)), "")
+    tail = F.repeat(F.lit("."), ref_len - F.element_at(states, -1)["r_end"]) if pad else F.lit("")
+    aln = F.concat(aligned(states, nt, F.element_at(states, 1)["r_start"], "r_start", "r_end"), tail)
+    own = {"genome_id": genome_id(seq), "genome_length": F.length(seq), "has_insertion": F.exists(every, lambda s: s["op"] == "I"), "genome_seq": seq, "genome_aln": aln}
+    ins = F.transform(F.filter(every, lambda s: s["op"] == "I"), lambda s: F.struct(s["r_start"].alias("upstream_nt_pos"), bases(nt, s).alias("inserted_nt")))
+    gone = F.transform(F.filter(every, lambda s: s["op"] == "D"), lambda s: F.struct((s["r_start"] + 1).alias("del_start"), s["r_end"].alias("del_end"), (s["r_end"] - s["r_start"]).alias("del_len")))
+    return own, ins, gone
 
 
 def genome_rows(rows: DataFrame, pad: bool = True) -> dict[str, DataFrame]:
     """The tables gen_seq, gen_ins and gen_del of rows: query_id, ctype, reference_id, nt, states (genome), ref_len,
-    stop_end (end of a stop extension, or null). Nothing is cut or filtered."""
-    states, nt = F.col("states"), F.col("nt")
-    last = F.element_at(states, -1)
-    more = F.when(F.col("stop_end").isNotNull(), F.array(F.struct(F.lit("I").alias("op"), last["q_end"].alias("q_start"), F.col("stop_end").alias("q_end"), F.col("ref_len").alias("r_start"), F.col("ref_len").alias("r_end")))).otherwise(F.array().cast("array<struct<op:string,q_start:int,q_end:int,r_start:int,r_end:int>>"))
-    every = rows.withColumn("every", F.concat(states, more))
-    seq = F.array_join(F.transform(F.filter("every", lambda s: s["op"] != "D"), lambda s: bases(nt, s)), "")
-    aln = aligned(states, nt, F.element_at(states, 1)["r_start"], "r_start", "r_end")
-    tail = F.repeat(F.lit("."), F.col("ref_len") - last["r_end"]) if pad else F.lit("")
+    stop_end (end of a stop extension, or null)."""
+    every = rows.withColumn("every", with_extension(F.col("states"), F.col("stop_end"), F.col("ref_len")))
+    own, ins, gone = genome_parts(F.col("every"), F.col("states"), F.col("nt"), F.col("ref_len"), pad)
     keys = ["query_id", "ctype", "reference_id"]
-    gen = every.withColumn("genome_seq", seq).select(*keys, genome_id(F.col("genome_seq")).alias("genome_id"), F.length("genome_seq").alias("genome_length"), F.exists("every", lambda s: s["op"] == "I").alias("has_insertion"), "genome_seq", F.concat(aln, tail).alias("genome_aln"))
-    ins = every.select(*keys, "nt", F.explode(F.filter("every", lambda s: s["op"] == "I")).alias("x")).select(*keys, F.col("x.r_start").alias("upstream_nt_pos"), bases(nt, F.col("x")).alias("inserted_nt"))
-    gone = every.select(*keys, F.explode(F.filter("every", lambda s: s["op"] == "D")).alias("x")).select(*keys, (F.col("x.r_start") + 1).alias("del_start"), F.col("x.r_end").alias("del_end"), (F.col("x.r_end") - F.col("x.r_start")).alias("del_len"))
-    return {"gen_seq": gen, "gen_ins": ins, "gen_del": gone}
+    return {"gen_seq": every.select(*keys, *[v.alias(k) for k, v in own.items()]), "gen_ins": every.select(*keys, F.inline(ins)), "gen_del": every.select(*keys, F.inline(gone))}
 
 
 def with_stop_extension(states: Column, due: Column, q_end: Column, stop_end: Column, cds_len: Column) -> Column:

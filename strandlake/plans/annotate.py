@@ -94,12 +94,18 @@ def aligned_states(queries: DataFrame, module: Module) -> DataFrame:
     return rows.withColumn("cigar", F.when(F.col("score").isNotNull(), F.regexp_replace(written_cigar(F.col("states"), F.coalesce("stop_end", "q_end")), "[0-9]+S$", ""))).withColumn("cigar", F.concat("cigar", more))
 
 
-def products_of(aligned: DataFrame, module: Module) -> DataFrame:
-    """Aligned rows with every product of their group, materialised."""
+def products_of(aligned: DataFrame, module: Module, genomes: bool = False) -> DataFrame:
+    """Aligned rows with every product of their group, materialised; their states are then under ``genome``. With
+    ``genomes`` each row comes once more, without a product."""
     spark = aligned.sparkSession
-    rows = aligned.join(module.product_table(spark), ["reference_id", "ctype"])
+    products = module.product_table(spark)
+    if genomes:
+        whole = [F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("product_name", "required_start") else F.array().cast(f.dataType).alias(f.name) if f.name == "exons" else F.col(f.name) for f in products.schema]
+        products = products.unionByName(module.group_table(spark).select(*whole))
+    rows = aligned.join(products, ["reference_id", "ctype"])
     rows = rows.withColumnRenamed("states", "genome").withColumn("states", in_exons(F.col("genome"), F.col("exons")))
-    cds_len = F.element_at("exons", -1)["cds_end"]
+    last = F.try_element_at("exons", F.lit(-1))
+    cds_len = last["cds_end"]
     size = F.aggregate(F.filter("states", lambda s: s["op"] != "I"), F.lit(0), lambda a, s: a + s["c_end"] - s["c_start"])
     solid = F.filter("states", lambda s: s["op"] != "I")
     rows = rows.withColumns({"cds_len": cds_len, "lpad": F.coalesce(F.try_element_at(solid, F.lit(1))["c_start"], F.lit(0)), "aligned_len": size})
@@ -107,7 +113,7 @@ def products_of(aligned: DataFrame, module: Module) -> DataFrame:
     fixed = fix_frames_udf(module.shapes())(F.when(needs_frame_fix(F.col("states")), F.col("states")), "nt", "reference_id", "ctype", "product_name")
     rows = rows.withColumn("states", condensed(F.coalesce(fixed, "states")))
     rows = rows.filter((F.size("states") == 0) | has_required_start(F.col("states"), F.col("nt"), F.col("required_start")))
-    ends_last = F.element_at("exons", -1)["ref_end"] == F.col("ref_len")
+    ends_last = last["ref_end"] == F.col("ref_len")
     rows = rows.withColumn("states", with_stop_extension(F.col("states"), ends_last, F.col("q_end"), F.col("stop_end"), F.col("cds_len")))
     return materialize_products(rows)
 

@@ -20,10 +20,14 @@ def null_text(value: Column, kind: str) -> Column:
     return F.when(text.isNull() | (text == ""), F.lit(NULL)).otherwise(text) if kind == "string" else F.coalesce(text, F.lit(NULL))
 
 
+def write_line(cells: dict[str, Column], table: str) -> Column:
+    """The line of a row, given each of its table's columns."""
+    return F.concat_ws("\t", *[null_text(cells[c], kind) for c, kind in (x.split() for x in TABLES[table].split(", "))])
+
+
 def formatted(df: DataFrame, table: str) -> DataFrame:
     """One text column: the line of each row."""
-    cells = [null_text(F.col(c), kind) for c, kind in (x.split() for x in TABLES[table].split(", "))]
-    return df.select(F.concat_ws("\t", *cells).alias("value"))
+    return df.select(write_line({c: F.col(c) for c in names(table)}, table).alias("value"))
 
 
 def write_table(df: DataFrame, table: str, path: str, fmt: str = "tsv", mode: str = "error") -> None:
@@ -48,7 +52,16 @@ def read_table(spark: SparkSession, table: str, path: str, fmt: str = "tsv") ->
         df = spark.read.csv(path, schema=schema, sep="\t", nullValue=NULL, quote="", mode="FAILFAST")
     else:
         df = spark.read.format(fmt).schema(schema).load(path)
-    df = df.select(*names(table))  # without the numbers of a stream's batches
+    return checked(df.select(*names(table)), table)  # without the numbers of a stream's batches
+
+
+def parsed(lines: DataFrame, table: str) -> DataFrame:
+    """As ``read_table``, of lines (value)."""
+    row = F.from_csv("value", F.lit(TABLES[table]), {"sep": "\t", "nullValue": NULL, "quote": "", "mode": "FAILFAST"})
+    return checked(lines.select(row.alias("r")).select("r.*"), table)
+
+
+def checked(df: DataFrame, table: str) -> DataFrame:
     return with_kind(df) if table == "seq" else checked_deletions(df) if table == "del" else df
 
 
