@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.runtime import Scratch, prepare, sliced
+from strandlake.llm.secrets import replaced
 from strandlake.llm.textbytes import chunks, lower_ascii, mix64, span_hashes, utf8, word_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -271,13 +272,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: float) -> DataFrame:
-    """doc_id and the text with its entities and disclosing terms replaced by their marks, or taken out."""
-    state = "struct<at:int,out:string>"
+    """doc_id and the text with its entities and disclosing terms replaced by their marks, or taken out. A null text
+    becomes empty; repeated rows give repeated rows, no rows none."""
     text = F.coalesce(F.col("text"), F.lit(""))
-
-    def add(acc: Column, c: Column) -> Column:
-        out = F.when(c["s"] >= acc["at"], F.concat(acc["out"], F.substr(text, acc["at"] + 1, c["s"] - acc["at"]), c["mark"])).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], c["e"]).alias("at"), out.alias("out")).cast(state)
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state)
-    return find_spans(docs, True, id_col, text_col, **limits).select("doc_id", F.aggregate("spans", start, add, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1))).alias("text"))
+    clean = F.when(F.size("spans") > 0, replaced(text, F.col("spans"), lambda c: c["mark"])).otherwise(text)
+    return find_spans(docs, True, id_col, text_col, **limits).select("doc_id", clean.alias("text"))

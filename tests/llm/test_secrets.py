@@ -3,7 +3,9 @@ import random
 import re
 import time
 
-from strandlake.llm.secrets import LADDER, find_secrets, redact, thresholds
+from pyspark.sql import functions as F
+
+from strandlake.llm.secrets import LADDER, find_secrets, redact, replaced, thresholds
 
 PATTERNS = (
     ("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 12),
@@ -114,3 +116,34 @@ def test_very_many_secrets_in_one_text(spark):
     assert row.n_assign == 5_000 and row.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base(text)).encode()).hexdigest()
     assert redact(df, [2.0] * 5).first().text == " é ".join(["[SECRET]"] * 5_000)
     assert time.perf_counter() - start < 120
+
+
+def brute_replaced(text, spans):
+    out, at = "", 0
+    for s, e, m in spans:
+        if s >= at:
+            out += text[at:s] + m
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_replaced_from_its_definition(spark):
+    rng = random.Random(12)
+    rows = [("", []), (None, []), ("x" * 256, [(0, 256, "")]), ("é" * 512, [(256, 512, "m")]), ("a\n\r\n" * 200, [(255, 257, "m"), (256, 300, "n"), (300, 300, "z")])]
+    for _ in range(60):
+        text = "".join(rng.choice("aé\n😀 ") for _ in range(rng.choice([1, 255, 256, 257, 1500])))
+        cuts = sorted((min(a, b), max(a, b)) for a, b in ((rng.randint(0, len(text)), rng.randint(0, len(text))) for _ in range(rng.choice([1, 3, 600]))))
+        if len(cuts) > 3:
+            cuts = [(a, min(b, a + 2)) for a, b in cuts]
+        rows.append((text, [(a, b, rng.choice(["", "M", "é"])) for a, b in cuts]))
+    df = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(rows)], "i int, text string, spans array<struct<s:int,e:int,mark:string>>")
+    got = {r.i: r.out for r in df.select("i", replaced(F.col("text"), F.col("spans"), lambda c: c["mark"]).alias("out")).collect()}
+    assert got == {i: brute_replaced(t or "", s) for i, (t, s) in enumerate(rows)}
+
+
+def test_twenty_thousand_spans_in_one_text(spark):
+    text = " and some words ".join(["secret=abcdefghij0123456789"] * 20_000)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.monotonic()
+    assert redact(df, [2.0] * 10).first().text == " and some words ".join(["[SECRET]"] * 20_000)
+    assert time.monotonic() - begun < 20
