@@ -21,7 +21,7 @@ from strandlake.operators.ends import chew_offset, repaired, stop_extension
 from strandlake.operators.frames import fix_frames_udf, rewrite_udf
 from strandlake.operators.materialize import genome_rows, materialize_products, product_rows, with_stop_extension
 from strandlake.operators.states import condensed, extended, has_required_start, in_exons, needs_frame_fix, states_of, written_cigar
-from strandlake.plans.module import Module
+from strandlake.plans.module import Module, sent
 from strandlake.plans.tables import implemented, unimplemented
 
 #: A classifier adds ``classified`` (a ctype), ``strand`` (+ or -) and ``status`` ("classified" or a reason) to rows.
@@ -74,12 +74,12 @@ def aligned_states(queries: DataFrame, module: Module) -> DataFrame:
     """Queries with every group of their ctype: the alignment, its states after the rules on ends and deletions, and
     the end of a stop extension. Groups that don't align have a null score."""
     spark, c = queries.sparkSession, module.config
-    rows = implemented(queries, module.group_table(spark))
+    groups = module.groups()
+    rows = implemented(queries, sent(module.group_table(spark), len(groups)))
     least = spark.sparkContext.defaultParallelism * 4
     rows = rows.repartition(max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = rows.withColumn("chewed", chew_offset(F.col("nt"), F.col("ref_len"), F.lit(c.chew_to_start)))
-    groups = {k: (seqs, c.penalties(k[1]), c.one_pass) for k, seqs in module.groups().items()}
-    rows = align_rows(rows, groups)
+    rows = align_rows(rows, {k: (seqs, c.penalties(k[1]), c.one_pass) for k, seqs in groups.items()})
     ends = repaired(*(F.col(x) for x in ("q_start", "q_end", "r_start", "r_end")), F.length("nt"), F.col("ref_len"), F.lit(c.repairable_end_limit))
     states = extended(states_of(F.col("cigar"), F.col("q_start"), F.col("r_start")), ends["left"], ends["right"])
     # apart, as names within lambda functions could mean columns of the same projection
@@ -102,7 +102,7 @@ def products_of(aligned: DataFrame, module: Module, genomes: bool = False) -> Da
     if genomes:
         whole = [F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("product_name", "required_start") else F.array().cast(f.dataType).alias(f.name) if f.name == "exons" else F.col(f.name) for f in products.schema]
         products = products.unionByName(module.group_table(spark).select(*whole))
-    rows = aligned.join(products, ["reference_id", "ctype"])
+    rows = aligned.join(sent(products, len(module.specs) + len(module.references)), ["reference_id", "ctype"])
     rows = rows.withColumnRenamed("states", "genome").withColumn("states", in_exons(F.col("genome"), F.col("exons")))
     last = F.try_element_at("exons", F.lit(-1))
     cds_len = last["cds_end"]

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandlake.operators.frames import ProductShape, overlaps_and_gaps
 from strandlake.schema import EXON, AnnotationError
@@ -89,6 +90,15 @@ class Module:
         return spark.createDataFrame(rows, f"reference_id string, ctype string, product_name string, exons array<{EXON}>, required_start string")
 
 
+#: A module's table of at most so many rows is sent to all executors; a larger one is joined as Spark sees fit. Spark
+#: doesn't know the size of rows given by the driver, and a shuffle on the reference would put most rows in one task.
+MOST_SENT = 100_000
+
+
+def sent(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= MOST_SENT else table
+
+
 def build(config: ModuleConfig) -> Module:
     return Module(
         config,

@@ -53,6 +53,8 @@ def test_aligned_once_and_nothing_kept(spark):
     lines = table_lines(queries(spark, [("same", "T", REF)]), module())
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "InMemoryTableScan" not in plan
+    # nor are rows gathered by reference
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
 def test_nothing_to_write(spark, tmp_path):
