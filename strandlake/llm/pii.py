@@ -7,15 +7,25 @@ they occur. Terms are runs of letters and digits of two characters at least outs
 with the entity in documents of ``support`` different contexts (what stands around the entity there), so copies of
 one passage, which share their context, aren't evidence.
 
+Most values are too rare for that, so evidence is pooled, too: a value also counts for its group, which is the domain
+of an address, the network of three parts, the issuer's eight digits of a card, or a phone number without its last four
+digits. A group that more than ``common`` of all documents have protects nobody and is left out.
+
+A rare term may meet a frequent entity by chance. If both were independent, the chance of at least as many common
+documents is at most exp(-d D), d being the term's documents and D the divergence of the share of them that have the
+entity from its share in the corpus. Times the number of entities and candidate terms this must be at most ``chance``.
+
 Counting goes in three passes: entities and their contexts; all terms of the documents of entities that have enough
-contexts, which give the candidate terms; then only those are counted in all documents. What is broadcast are bitmaps of fixed size; joins then decide exactly.
+contexts, which give the candidate terms; then only those are counted in all documents. What is broadcast are bitmaps
+of fixed size; joins then decide exactly. As only ``support`` contexts are asked for, a task gives out so many of each
+entity and term, and how many documents have both; one entity in very many documents costs no more rows than terms.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,56 +103,94 @@ def in_code_points(raw: np.ndarray, places: np.ndarray) -> np.ndarray:
     return count[places]
 
 
-def entity_name(kind: int, value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
+def entity_name(kind: int, value: str, pooled: bool = False) -> int:
+    """Hash of a value or, where ``pooled``, of a group of values, which is odd."""
+    name = int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
+    return name | 1 if pooled else name & ~1
+
+
+def group_of(kind: int, value: str) -> str:
+    """What values are pooled by: domain, network, issuer, or the first digits of a phone number."""
+    return (value.rpartition("@")[2], value.rpartition(".")[0], value[:8], value[:-4])[kind]
+
+
+def outside(lo: np.ndarray, hi: np.ndarray, spans: list[tuple]) -> np.ndarray:
+    """Which of the sorted, disjoint ranges touch no span (s, kind, e, value)."""
+    free = np.ones(len(lo), bool)
+    for s, _, e, _ in spans:
+        free[np.searchsorted(hi, s, "right") : np.searchsorted(lo, e)] = False
+    return free
 
 
-def entity_terms(docs: DataFrame, reach: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """(entity, term, context, docs): all terms of the documents of wanted entities. The context is a hash of the
-    terms up to ``reach`` away from each place of the entity in the document. Without ``wanted``, all entities and
-    the term 0 only."""
+def counted_once(rows: np.ndarray, support: int) -> np.ndarray:
+    """Rows of entity, term, context and documents (one each a column), with equal ones summed and at most ``support``
+    contexts of each entity and term; the first of these has all its documents."""
+    order = np.lexsort(rows[2::-1])
+    rows = rows[:, order]
+    differ = rows[:, 1:] != rows[:, :-1]
+    pair = np.concatenate(([True], differ[:2].any(0)))
+    firsts = np.flatnonzero(np.concatenate(([True], differ[:3].any(0))))
+    docs = np.add.reduceat(rows[3], np.flatnonzero(pair))
+    rows, pair = rows[:, firsts], pair[firsts]
+    begin = np.flatnonzero(pair)
+    rows[3] = 0
+    rows[3, begin] = docs
+    rank = np.arange(len(firsts)) - begin[np.cumsum(pair) - 1]
+    return rows[:, rank < support]
+
+
+def entity_terms(docs: DataFrame, reach: int, support: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(entity, term, context, docs): all terms of the documents of wanted entities and groups of them, as many
+    contexts as are asked for in each task. The context is a hash of the terms up to ``reach`` away from each place of
+    the entity in the document. Without ``wanted``, all entities and the term 0 only."""
     shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
+    def contexts_of(lo: np.ndarray, hi: np.ndarray, names: np.ndarray, spans: list[tuple[int, int, int]]) -> dict[int, int]:
+        """The context of each entity of one document."""
+        around: dict[int, set[int]] = {}
+        for s, e, name in spans:
+            a, b = int(np.searchsorted(hi, s, "right")), int(np.searchsorted(lo, e))
+            near = np.concatenate((names[max(a - reach, 0) : a], names[b : b + reach]))
+            around.setdefault(name, set()).add(int(np.bitwise_xor.reduce(mix64(near))) if len(near) else 0)
+        joint = {name: np.bitwise_xor.reduce(mix64(np.array(sorted(x), np.uint64))) for name, x in around.items()}
+        return {name: int(mix64(np.array([x], np.uint64)).view(np.int64)[0]) for name, x in joint.items()}
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        met: list[np.ndarray] = []  # of the whole task
+        size = 0
         for batch in sliced(batches):
             texts = batch.column(0).to_pylist()
             raw, offsets = utf8(batch.column(0))
             for i, text in enumerate(texts):
-                spans = [(s, e, entity_name(kind, value)) for s, kind, e, value in base_spans(text or "")]
-                some = {name for *_, name in spans}
-                if shared is not None and some:
-                    every = np.array(sorted(some), np.int64)
-                    some = set(every[hits(shared.value, every.view(np.uint64))].tolist())
-                if not some:
+                found = base_spans(text or "")
+                each = [(s, e, n) for s, k, e, v in found for n in (entity_name(k, v), entity_name(k, group_of(k, v), True))]
+                if shared is not None and each:
+                    hit = hits(shared.value, np.array([n for *_, n in each], np.int64).view(np.uint64))
+                    each = [x for x, h in zip(each, hit.tolist(), strict=True) if h]
+                if not each:
                     continue
                 own = raw[offsets[i] : offsets[i + 1]]
                 _, lo, hi, names = terms(own, np.array([0, len(own)]))
                 lo, hi = in_code_points(own, lo), in_code_points(own, hi)
-                free = np.ones(len(names), bool)
-                for s, e, _ in spans:
-                    free[np.searchsorted(hi, s, "right") : np.searchsorted(lo, e)] = False
+                free = outside(lo, hi, found)
                 lo, hi, names = lo[free], hi[free], names[free]
-                contexts: dict[int, set[int]] = {}
-                for s, e, name in spans:
-                    if name in some:
-                        a, b = int(np.searchsorted(hi, s, "right")), int(np.searchsorted(lo, e))
-                        near = np.concatenate((names[max(a - reach, 0) : a], names[b : b + reach]))
-                        contexts.setdefault(name, set()).add(int(np.bitwise_xor.reduce(mix64(near))) if len(near) else 0)
-                present = [0] if shared is None else np.unique(names).view(np.int64).tolist()
-                for name, around in contexts.items():
-                    context = int(mix64(np.array([np.bitwise_xor.reduce(mix64(np.array(sorted(around), np.uint64)))], np.uint64)).view(np.int64)[0])
-                    seen.update((name, t, context) for t in present)
-                    if len(seen) > 200_000:
-                        yield rows(seen)
-        if seen:
-            yield rows(seen)
-
-    def rows(seen: Counter) -> pa.RecordBatch:
-        columns = zip(*((*k, n) for k, n in seen.items()), strict=True)
-        out = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["entity", "term", "context", "docs"])
-        seen.clear()
-        return out
+                present = np.zeros(1, np.int64) if shared is None else np.unique(names).view(np.int64)
+                for name, context in contexts_of(lo, hi, names, each).items():
+                    row = np.ones((4, len(present)), np.int64)
+                    row[0], row[1], row[2] = name, present, context
+                    met.append(row)
+                    size += len(present)
+                    if size > 1_000_000:
+                        met = [counted_once(np.concatenate(met, 1), support)]
+                        size = met[0].shape[1]
+                        if size > 500_000:
+                            yield rows(met.pop())
+                            size = 0
+        if size:
+            yield rows(counted_once(np.concatenate(met, 1), support))
+
+    def rows(made: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["entity", "term", "context", "docs"])
 
     return docs.select("text").mapInArrow(work, "entity long, term long, context long, docs long")
 
@@ -192,24 +240,35 @@ def term_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(work, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
-def disclosing_terms(docs: DataFrame, scratch: Scratch, reach: int = 8, support: int = 3, generalise: float = 0.9, remove: float = 0.97) -> DataFrame:
+def disclosing_terms(
+    docs: DataFrame, scratch: Scratch, reach: int = 8, support: int = 3, generalise: float = 0.9, remove: float = 0.97, common: float = 0.01, chance: float = 0.01
+) -> DataFrame:
     """(term, gone): terms whose disclosure reaches ``generalise``; gone where it reaches ``remove``."""
-    def pairs(found: DataFrame, name: str) -> DataFrame:
+
+    def pairs(found: DataFrame) -> DataFrame:
         """Of each entity and term, the documents that have both, where these have enough contexts."""
         each = found.groupBy("entity", "term", "context").agg(F.sum("docs").alias("docs"))
         both = each.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("docs"))
-        return scratch.write(both.filter(F.col("contexts") >= support), name)
+        return both.filter(F.col("contexts") >= support)
 
+    total = float(max(docs.count(), 1))
     # no term can have more contexts than its entity
-    entities = pairs(entity_terms(docs, reach), "entities").select("entity", F.col("docs").alias("entity_docs"))
-    candidates = pairs(entity_terms(docs, reach, bitmap(entities, "entity")), "pairs")
+    frequent = pairs(entity_terms(docs, reach, support)).select("entity", F.col("docs").alias("entity_docs"))
+    value = F.col("entity").bitwiseAND(1) == 0
+    entities = scratch.write(frequent.filter(value | (F.col("entity_docs") <= common * total)), "entities")
+    # a bitmap may let others pass
+    met = entity_terms(docs, reach, support, bitmap(entities, "entity"))
+    candidates = scratch.write(pairs(met.join(entities.select("entity"), "entity", "left_semi")), "pairs")
     counted = scratch.write(term_counts(docs, bitmap(candidates, "term")), "counted")
-    total = float(max(docs.count(), 1))
+    tests = float(max(entities.count() * candidates.select("term").distinct().count(), 1))
     both = candidates.join(entities, "entity").join(counted.withColumnRenamed("docs", "term_docs"), "term")
     joint = F.least("docs", "entity_docs", "term_docs")
     content = F.log(total / F.col("entity_docs"))
     share = F.when(content > 0, F.log(joint * total / (F.col("term_docs") * F.col("entity_docs"))) / content)
-    scored = both.select("term", share.alias("share")).groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
+    inside, usual = joint / F.col("term_docs"), F.col("entity_docs") / total
+    apart = F.when(inside < 1, (1 - inside) * F.log((1 - inside) / (1 - usual))).otherwise(F.lit(0.0))
+    unlikely = F.col("term_docs") * (inside * F.log(inside / usual) + apart) >= math.log(tests / chance)
+    scored = both.filter(unlikely).select("term", share.alias("share")).groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
     return scratch.write(scored.select("term", (F.col("share") >= remove).alias("gone")), "disclosing")
 
 
@@ -238,9 +297,10 @@ def find_spans(docs: DataFrame, keep_text: bool = False, id_col: str = "doc_id",
                 for r in np.unique(row[some]).tolist():
                     own = raw[offsets[i + r] : offsets[i + r + 1]]
                     mine = some[row[some] == r]
-                    for s, e, t in zip(in_code_points(own, lo[mine]).tolist(), in_code_points(own, hi[mine]).tolist(), names[mine].view(np.int64).tolist(), strict=True):
-                        if not any(a < e and s < b for a, _, b, _ in spans[i + r]):
-                            found[i + r].append({"s": s, "e": e, "term": t})
+                    begin, end = in_code_points(own, lo[mine]), in_code_points(own, hi[mine])
+                    free = outside(begin, end, spans[i + r])
+                    each = zip(begin[free].tolist(), end[free].tolist(), names[mine][free].view(np.int64).tolist(), strict=True)
+                    found[i + r] = [{"s": s, "e": e, "term": t} for s, e, t in each]
             key = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() if f else None for t, f in zip(texts, found, strict=True)]
             spans_type = pa.list_(pa.struct([("s", pa.int32()), ("o", pa.int32()), ("e", pa.int32())]))
             hits_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("term", pa.int64())]))

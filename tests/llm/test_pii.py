@@ -1,8 +1,15 @@
 import hashlib
+import math
 import random
 import re
+import time
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from strandlake.llm import pii
+from strandlake.llm.runtime import Scratch, prepare
 
 KINDS = (
     ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda t: True),
@@ -68,3 +75,113 @@ def test_terms_far_off_short_or_with_digits(spark):
     got = pii.digest(pii.find_spans(df)).collect()
     terms = {text_of[r.doc_id][int(x.split(":")[1]) : int(x.split(":")[2])].lower() for r in got if r.spans for x in r.spans.split(",") if x.startswith("term")}
     assert terms == {"quillon", "bo", "e4711x"}
+
+
+def plain_terms(text):
+    """Terms outside entities as (start, end, term), from the definition."""
+    spans = [(s, e) for s, _, e in brute(text)]
+    every = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", text or "", re.ASCII) if len(m[0]) >= 2]
+    return [x for x in every if not any(a < x[1] and x[0] < b for a, b in spans)]
+
+
+def brute_disclosing(rows, reach=8, support=3, generalise=0.9, remove=0.97, common=0.01, chance=0.01):
+    """Counts in dictionaries, for texts in ASCII."""
+    docs, contexts, together, of_term = defaultdict(int), defaultdict(set), defaultdict(lambda: [0, set()]), defaultdict(int)
+    for _, text in rows:
+        found = plain_terms(text)
+        names = {t for *_, t in found}
+        for t in names:
+            of_term[t] += 1
+        around = defaultdict(set)
+        for s, k, e, v in pii.base_spans(text or ""):
+            before, after = [t for _, b, t in found if b <= s][-reach:], [t for a, _, t in found if a >= e][:reach]
+            for name in ((k, v, 0), (k, pii.group_of(k, v), 1)):
+                around[name].add(tuple(sorted(before + after)))
+        for name, x in around.items():
+            docs[name] += 1
+            contexts[name].add(frozenset(x))
+            for t in names:
+                together[name, t][0] += 1
+                together[name, t][1].add(frozenset(x))
+    kept = {n for n in docs if len(contexts[n]) >= support and (not n[2] or docs[n] <= common * len(rows))}
+    candidates = {(n, t): c for (n, t), (c, x) in together.items() if n in kept and len(x) >= support}
+    tests = max(len(kept) * len({t for _, t in candidates}), 1)
+    best = {}
+    for (n, t), c in candidates.items():
+        p, a = docs[n] / len(rows), c / of_term[t]
+        gap = a * math.log(a / p) + ((1 - a) * math.log((1 - a) / (1 - p)) if a < 1 else 0)
+        if p < 1 and of_term[t] * gap >= math.log(tests / chance):
+            best[t] = max(best.get(t, 0), math.log(a / p) / -math.log(p))
+    return {t: x >= remove for t, x in best.items() if x >= generalise}
+
+
+def planted(seed, companies=12):
+    """Prose of drawn words, and documents about people of some companies: each has an address of its own, so no value
+    is frequent, but what stands around names the company. Copies of a page repeat one address and a slogan."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 7))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, prose(60)) for i in range(3000)]
+    secret = []
+    for c in range(companies):
+        secret.append(f"codename{c}q")
+        for i in range(rng.randint(6, 20)):
+            rows.append((10_000 + 100 * c + i, f"{prose(20)} {secret[-1]} {prose(15)} {rng.choice(words)}{i}@firm{c}.example.com {prose(20)}"))
+    page = prose(10) + " slogan desk@shop.example.com " + prose(10)
+    rows += [(30_000 + i, page) for i in range(40)]
+    rows += [(40_000 + i, f"{prose(30)} {rng.choice(words)}@post.example.com {prose(20)}") for i in range(25)]
+    return rows, set(secret)
+
+
+def test_evidence_pooled_by_group_finds_planted_terms(spark):
+    found, wanted, false = 0, 0, set()
+    for seed in (1, 2):
+        rows, secret = planted(seed)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        text_of = dict(rows)
+        got = pii.digest(pii.find_spans(df)).filter("spans like '%term%'").collect()
+        terms = {text_of[r.doc_id][int(x.split(":")[1]) : int(x.split(":")[2])] for r in got for x in r.spans.split(",") if x.startswith("term")}
+        assert terms == set(brute_disclosing(rows))
+        found, wanted, false = found + len(terms & secret), wanted + len(secret), false | (terms - secret)
+    assert found >= 0.9 * wanted and not false
+
+
+def test_disclosing_terms_against_counts_in_dictionaries(spark):
+    prepare(spark)
+    rng = random.Random(4)
+    for round_ in range(2):
+        words = [f"w{k}" for k in range(60)]
+        values = ["a@x.example", "b@x.example", "c@y.example", "10.0.0.1", "10.0.0.2", "+49 30 1234567"]
+        rows = [(i, " ".join(rng.choice(words) for _ in range(8))) for i in range(400)] + [(None, None), (5, "")]
+        for i in range(60):
+            v = rng.choice(values)
+            body = [rng.choice(words) for _ in range(6)] + [v] * rng.randint(1, 2) + [f"near{values.index(v) // 2}", f"tag{i % 5}"]
+            rng.shuffle(body)
+            rows += [(1000 + i, " ".join(body))] * rng.randint(1, 2)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        want = brute_disclosing(rows, common=0.2)
+        got = {r.term: r.gone for r in pii.disclosing_terms(df, Scratch(spark, f"pii_test{round_}"), common=0.2).collect()}
+        raw = {t: np.frombuffer(t.encode(), np.uint8) for t in want}
+        names = {int(pii.terms(x, np.array([0, len(x)]))[3].view(np.int64)[0]): t for t, x in raw.items()}
+        assert want and {names.get(h, h): gone for h, gone in got.items()} == want
+
+
+def test_contexts_of_a_task_are_bounded_and_documents_are_not():
+    rng = random.Random(7)
+    rows = [(rng.randint(0, 2), rng.randint(0, 3), rng.randint(0, 5), 1) for _ in range(500)]
+    made = pii.counted_once(np.array(rows, np.int64).T, 3).T.tolist()
+    for pair in {r[:2] for r in rows}:
+        mine = [r for r in made if tuple(r[:2]) == pair]
+        assert len({r[2] for r in mine}) == len(mine) == min(3, len({r[2] for r in rows if r[:2] == pair}))
+        assert sum(r[3] for r in mine) == sum(r[:2] == pair for r in rows)
+
+
+def test_very_many_entities_in_one_text(spark):
+    rows = [(0, " and some words ".join(f"zebulon u{i}@host.example.com" for i in range(20_000)))]
+    rows += [(i, f"zebulon {'x' * (i % 7 + 1)} met {'y' * (i % 5 + 1)} v{i}@host.example.com {'z' * (i % 3 + 1)} q{i}") for i in range(1, 9)]
+    rows += [(100 + i, f"plain prose of number {i}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begun = time.monotonic()
+    clean = pii.sanitise(df).filter(F.col("doc_id") == 0).first().text
+    assert "@" not in clean and "zebulon" not in clean and clean.count("[EMAIL]") == 20_000 and clean.count("some words") == 19_999
+    assert time.monotonic() - begun < 60
