@@ -6,12 +6,14 @@ counts, runs above and below the middle of the alphabet, and serial correlation.
 p-values; a token that isn't rejected looks random.
 
 Short tokens of ordinary text are often not rejected either. So the threshold depends on the length: the corpus's
-own long words, which are letters only, say how often ordinary tokens of at most that length pass a threshold, and
-the lowest threshold is taken at which the passes expected from ordinary tokens are at most ``false_share`` of all
-(how many tokens are ordinary is estimated from those far below any threshold). Tokens of letters only, which may be
-words or secrets, have thresholds of their own, for which shorter words (from ``LEAST_WORD`` letters), which pass
-oftener than longer ones, stand for ordinary ones. Each distinct token counts once,
-so copies of a document or a line common to a source don't move the thresholds.
+own words from ``LEAST_WORD`` letters say how often ordinary tokens pass. The root of minus the logarithm of p of
+words is close to normal, with a mean that is linear in the length; this line is fitted to all words that are shorter
+than a length class and gives, with the error of its prediction, what share of ordinary tokens of that class passes a
+threshold. Longer classes, where words are few, so have their power from shorter ones. The lowest threshold is taken at
+which the passes expected from ordinary tokens are at most ``false_share`` of all (how many tokens are ordinary is
+estimated from those far below any threshold). Tokens of letters only, which may be words or secrets, have thresholds
+of their own. Each distinct token counts once, so copies of a document or a line common to a source don't move the
+thresholds; these come from counts of tokens by length and step, so they don't depend on the order of rows.
 Scans happen within the row; for the thresholds, hashes of the distinct long tokens are shuffled.
 """
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +35,12 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 LEAST_ASSIGNED = 12
 TOKEN = "[A-Za-z0-9+/_-]{16,}"
-#: Steps of the threshold, and the shortest length of each length class.
-LADDER = (0.5, 0.3, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002, 0.001)
+#: Width of the steps of the root of -log p, the thresholds (from about 0.5 to 0.001), and the shortest length of each
+#: length class.
+STEP = 0.05
+STEPS = range(17, 53)
+LADDER = tuple(math.exp(-((STEP * k) ** 2)) for k in STEPS)
+MOST_STEPS = 200
 LENGTHS = (16, 20, 24, 32, 48)
 LEAST_WORD = 12
 DIGITS, SMALL, LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -195,31 +202,51 @@ def length_class(n: Column) -> Column:
     return sum(((n >= least).cast("int") for least in LENGTHS[1:]), F.lit(0))
 
 
+def fitted(words: list[tuple[int, int, int]], n: int) -> Callable[[int], float] | None:
+    """From (length, step, how many) of words: the share of ordinary tokens of length ``n`` that are below a step; None
+    where the words say nothing about it."""
+    many = sum(k for *_, k in words)
+    if many < 3:
+        return None
+    mean_n, mean_r = sum(m * k for m, _, k in words) / many, sum((r + 0.5) * k for _, r, k in words) / many
+    nn = sum((m - mean_n) ** 2 * k for m, _, k in words)
+    nr = sum((m - mean_n) * (r + 0.5 - mean_r) * k for m, r, k in words)
+    rr = sum((r + 0.5 - mean_r) ** 2 * k for _, r, k in words)
+    left = (rr - nr * nr / nn) / (many - 2) if nn else 0.0
+    if left <= 0:
+        return None
+    spread = math.sqrt(left * (1 + 1 / many + (n - mean_n) ** 2 / nn))
+    ordinary = NormalDist(mean_r + nr / nn * (n - mean_n), spread)
+    return ordinary.cdf
+
+
 def thresholds(docs: DataFrame, false_share: float = 0.05, text_col: str = "text") -> list[float]:
     """The threshold of each length class, then those of tokens of letters only; 2 where none is low enough."""
     found = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN.replace("16", str(LEAST_WORD))), 0)
     found = F.filter(F.array_distinct(found), lambda x: (F.length(x) >= LENGTHS[0]) | is_word(x))
     spans = F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), x.alias("x")))
     tested = docs.select(F.explode(battery(spans)).alias("c"))
-    step = sum(((F.col("c.p") < x).cast("int") for x in LADDER), F.lit(0))
-    by = {"length": F.when(F.col("c.n") < LENGTHS[0], -1).otherwise(length_class(F.col("c.n"))), "word": is_word(F.col("c.x")), "step": step}
+    step = F.least(F.floor(F.sqrt(F.greatest(-F.log(F.col("c.p")), F.lit(0.0))) / STEP), F.lit(MOST_STEPS)).cast("int")
+    # words by length, as far as one is fitted to; others by class
+    n = F.when(is_word(F.col("c.x")), F.least(F.col("c.n"), F.lit(LENGTHS[-1]))).otherwise(F.element_at(F.array(*map(F.lit, LENGTHS)), length_class(F.col("c.n")) + 1))
+    by = {"n": n, "word": is_word(F.col("c.x")), "step": step}
     # by hash, so rows of fixed size are shuffled; the others depend on the token only
     distinct = tested.select(F.xxhash64("c.x").alias("h"), *[v.alias(k) for k, v in by.items()]).distinct()
-    counts = distinct.groupBy(*by).count().collect()
-
-    def passing(word: bool, least: int, most: int) -> list[int]:
-        """How many are at most at each step; the last are all."""
-        return [sum(r["count"] for r in counts if r["word"] == word and least <= r["length"] <= most and r["step"] <= k) for k in range(len(LADDER) + 1)]
-
-    def chosen(words: list[int], others: list[int], least: int) -> float:
+    counts = [(r["word"], r["n"], r["step"], r["count"]) for r in distinct.groupBy(*by).count().orderBy(*by).collect()]
+
+    def chosen(word: bool, k: int) -> float:
+        below = fitted([x for is_one, *x in counts if is_one and x[0] < LENGTHS[k]], LENGTHS[k])
+        mine = [(r, many) for is_one, n, r, many in counts if is_one == word and LENGTHS[k] <= n < [*LENGTHS, math.inf][k + 1]]
+        if below is None or not mine:
+            return 2.0
+        every = sum(many for _, many in mine)
+        passing = {step: sum(many for r, many in mine if r < step) for step in STEPS}
         # Storey's estimate of how many are ordinary: random tokens are seldom below the last step, words often
-        rejected = (least + words[-1] - words[-2]) / (1 + words[-1])
-        ordinary = min(others[-1], (1 + others[-1] - others[-2]) / rejected) if rejected else others[-1]
-        low = [x for k, x in enumerate(LADDER) if others[k] and (1 + words[k]) / (1 + words[-1]) * ordinary <= false_share * others[k]]
+        ordinary = min(every, (1 + every - passing[STEPS[-1]]) / max(1 - below(STEPS[-1]), 1e-9))
+        low = [x for step, x in zip(STEPS, LADDER, strict=True) if passing[step] and below(step) * ordinary <= false_share * passing[step]]
         return min(low, default=2.0)
 
-    classes = range(len(LENGTHS))
-    return [chosen(passing(True, 0, k), passing(False, k, k), 1) for k in classes] + [chosen(passing(True, -1, k - 1), passing(True, k, k), 0) for k in classes]
+    return [chosen(word, k) for word in (False, True) for k in range(len(LENGTHS))]
 
 
 def scan(docs: DataFrame, limits: list[float], text_col: str = "text") -> tuple[DataFrame, str]:

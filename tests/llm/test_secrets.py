@@ -1,11 +1,14 @@
 import hashlib
+import math
 import random
 import re
+import string
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from strandlake.llm.secrets import LADDER, find_secrets, redact, replaced, thresholds
+from strandlake.llm.secrets import LADDER, alphabet_of, battery, find_secrets, fitted, redact, replaced, thresholds
 
 PATTERNS = (
     ("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 12),
@@ -147,3 +150,66 @@ def test_twenty_thousand_spans_in_one_text(spark):
     begun = time.monotonic()
     assert redact(df, [2.0] * 10).first().text == " and some words ".join(["[SECRET]"] * 20_000)
     assert time.monotonic() - begun < 20
+
+
+def tail(z):
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def brute_p(token, letters):
+    """The joint p-value from the definitions of the three tests."""
+    at = np.array([letters.index(c) for c in token])
+    n, k = len(token), len(letters)
+    squared = float(((np.bincount(at, minlength=k) - n / k) ** 2 / (n / k)).sum())
+    chi = tail(((squared / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1))))
+    upper = at >= k - k // 2
+    ones, runs = int(upper.sum()), 1 + int((upper[1:] != upper[:-1]).sum())
+    mean = 2 * ones * (n - ones) / n + 1
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    by_runs = 2 * tail(abs(runs - mean) / math.sqrt(spread) if spread > 0 else 8.0)
+    centred = at - (k - 1) / 2
+    serial = 2 * tail(abs(float((centred[1:] * centred[:-1]).sum())) / ((k * k - 1) / 12 * math.sqrt(n - 1)))
+    half = -math.log(max(chi, 1e-14)) - math.log(max(min(by_runs, 1), 2e-14)) - math.log(max(min(serial, 1), 2e-14))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_battery_from_the_definitions_of_its_tests(spark):
+    rng = random.Random(21)
+    kinds = (string.ascii_lowercase, "0123456789abcdef", "234567" + string.ascii_uppercase, string.digits + string.ascii_uppercase + string.ascii_lowercase, "+/" + string.digits + string.ascii_uppercase + string.ascii_lowercase)
+    tokens = [random_token(rng, rng.choice(kinds), rng.choice([16, 17, 24, 40, 90, 400])) for _ in range(150)]
+    tokens += ["a1" * 20, "Zz9" * 10, "abcdefghijklmnopqrst0123456789", "internationalisation", "aaaaaaaaaaaaaaaaaaaaaaa", "a" * 30 + "9" * 30]
+    df = spark.createDataFrame([(x,) for x in tokens if not x.isdigit()], "x string")
+    one = F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), F.col("x").alias("x")))
+    got = df.select("x", alphabet_of(F.col("x")).alias("abc"), battery(one)[0].alias("c")).collect()
+    assert len(got) > 140
+    for r in got:
+        word = r.x.lower() if re.fullmatch("[A-Za-z]+", r.x) and len(r.abc) == 26 else r.x
+        want = brute_p(word, r.abc)
+        # the tail of the normal is kept to 1e-7; thresholds start at 0.001
+        assert r.c.n == len(r.x) and abs(r.c.p - want) <= 1e-4 * want + 1e-6, (r.x, r.c.p, want)
+
+
+def test_fitted_line_of_ordinary_words():
+    rng = random.Random(3)
+    counts = {}
+    for _ in range(5000):
+        n = rng.choice([12, 12, 12, 13, 13, 14, 15])
+        step = max(int(rng.gauss(2 * n, 12)), 0)
+        counts[n, step] = counts.get((n, step), 0) + 1
+    below = fitted([(*k, v) for k, v in counts.items()], 24)
+    assert abs(below(48) - 0.5) < 0.1 and below(24) < 0.08 and below(80) > 0.97
+    assert fitted([], 20) is None and fitted([(12, 5, 900)], 20) is None and fitted([(12, 5, 1), (13, 5, 1)], 20) is None
+
+
+def test_share_of_planted_secrets_found(spark):
+    rng = random.Random(31)
+    syllables = ["the", "thing", "en", "ation", "er", "and", "heat", "on", "in", "re", "tion", "ed"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.choice([1, 1, 2, 2, 3, 4, 5])))
+    base62 = string.ascii_letters + string.digits
+    for letters, n, least in ((base62, 16, 80), (base62, 24, 90), (base62 + "+/", 40, 90), (string.ascii_lowercase, 32, 90)):
+        planted = [random_token(rng, letters, n) for _ in range(100)]
+        rows = [(i, " ".join(word() for _ in range(60)) + (f" key {planted[i]} end" if i < 100 else "")) for i in range(500)]
+        text = dict(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = {text[r.doc_id][int(x.split(":")[1]) : int(x.split(":")[2])] for r in find_secrets(df).collect() for x in r.spans.split(",") if x.startswith("random")}
+        assert len(got & set(planted)) >= least and len(got - set(planted)) <= 5, (n, len(got & set(planted)), got - set(planted))
