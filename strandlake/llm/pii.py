@@ -16,8 +16,9 @@ documents is at most exp(-d D), d being the term's documents and D the divergenc
 entity from its share in the corpus. Times the number of entities and candidate terms this must be at most ``chance``.
 
 Counting goes in three passes: entities and their contexts; all terms of the documents of entities that have enough
-contexts, which give the candidate terms; then only those are counted in all documents. What is broadcast are bitmaps
-of fixed size; joins then decide exactly. As only ``support`` contexts are asked for, a task gives out so many of each
+contexts, which give the candidate terms; then only those are counted in all documents. The second pass also says in how
+many documents with any of the entities a term is. A term is in so many documents at least, so those that can't reach
+a threshold even then aren't counted. What is broadcast are bitmaps of fixed size; joins then decide exactly. As only ``support`` contexts are asked for, a task gives out so many of each
 entity and term, and how many documents have both; one entity in very many documents costs no more rows than terms.
 """
 
@@ -48,6 +49,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 BITS = 24
+#: Stands for any entity.
+ANY = 0
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 SHORTEST = 2
@@ -142,7 +145,7 @@ def counted_once(rows: np.ndarray, support: int) -> np.ndarray:
 def entity_terms(docs: DataFrame, reach: int, support: int, wanted: np.ndarray | None = None) -> DataFrame:
     """(entity, term, context, docs): all terms of the documents of wanted entities and groups of them, as many
     contexts as are asked for in each task. The context is a hash of the terms up to ``reach`` away from each place of
-    the entity in the document. Without ``wanted``, all entities and the term 0 only."""
+    the entity in the document. Each document has ANY, too. Without ``wanted``, all entities and the term 0 only."""
     shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def contexts_of(lo: np.ndarray, hi: np.ndarray, names: np.ndarray, spans: list[tuple[int, int, int]]) -> dict[int, int]:
@@ -175,7 +178,10 @@ def entity_terms(docs: DataFrame, reach: int, support: int, wanted: np.ndarray |
                 free = outside(lo, hi, found)
                 lo, hi, names = lo[free], hi[free], names[free]
                 present = np.zeros(1, np.int64) if shared is None else np.unique(names).view(np.int64)
-                for name, context in contexts_of(lo, hi, names, each).items():
+                every = contexts_of(lo, hi, names, each)
+                if shared is not None:
+                    every[ANY] = 0
+                for name, context in every.items():
                     row = np.ones((4, len(present)), np.int64)
                     row[0], row[1], row[2] = name, present, context
                     met.append(row)
@@ -249,7 +255,7 @@ def disclosing_terms(
         """Of each entity and term, the documents that have both, where these have enough contexts."""
         each = found.groupBy("entity", "term", "context").agg(F.sum("docs").alias("docs"))
         both = each.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("docs"))
-        return both.filter(F.col("contexts") >= support)
+        return both.filter((F.col("contexts") >= support) | (F.col("entity") == ANY))
 
     total = float(max(docs.count(), 1))
     # no term can have more contexts than its entity
@@ -257,18 +263,26 @@ def disclosing_terms(
     value = F.col("entity").bitwiseAND(1) == 0
     entities = scratch.write(frequent.filter(value | (F.col("entity_docs") <= common * total)), "entities")
     # a bitmap may let others pass
-    met = entity_terms(docs, reach, support, bitmap(entities, "entity"))
-    candidates = scratch.write(pairs(met.join(entities.select("entity"), "entity", "left_semi")), "pairs")
+    wanted = entities.select("entity").union(docs.sparkSession.range(1).select(F.lit(ANY).cast("long")))
+    met = scratch.write(pairs(entity_terms(docs, reach, support, bitmap(entities, "entity")).join(wanted, "entity", "left_semi")), "pairs")
+    both = met.filter(F.col("entity") != ANY)
+    tests = float(max(entities.count() * both.select("term").distinct().count(), 1))
+
+    def disclosing(rows: DataFrame, term_docs: str) -> DataFrame:
+        """Rows that reach ``generalise`` and are no chance, with their share. Neither can begin to hold as a term is
+        in more documents."""
+        joint = F.least("docs", "entity_docs", term_docs)
+        content = F.log(total / F.col("entity_docs"))
+        share = F.when(content > 0, F.log(joint * total / (F.col(term_docs) * F.col("entity_docs"))) / content)
+        inside, usual = joint / F.col(term_docs), F.col("entity_docs") / total
+        apart = F.when(inside < 1, (1 - inside) * F.log((1 - inside) / (1 - usual))).otherwise(F.lit(0.0))
+        unlikely = F.col(term_docs) * (inside * F.log(inside / usual) + apart) >= math.log(tests / chance)
+        return rows.withColumn("share", share).filter(unlikely & (F.col("share") >= generalise))
+
+    least = met.filter(F.col("entity") == ANY).select("term", F.col("docs").alias("least_docs"))
+    candidates = scratch.write(disclosing(both.join(entities, "entity").join(least, "term"), "least_docs").drop("share"), "candidates")
     counted = scratch.write(term_counts(docs, bitmap(candidates, "term")), "counted")
-    tests = float(max(entities.count() * candidates.select("term").distinct().count(), 1))
-    both = candidates.join(entities, "entity").join(counted.withColumnRenamed("docs", "term_docs"), "term")
-    joint = F.least("docs", "entity_docs", "term_docs")
-    content = F.log(total / F.col("entity_docs"))
-    share = F.when(content > 0, F.log(joint * total / (F.col("term_docs") * F.col("entity_docs"))) / content)
-    inside, usual = joint / F.col("term_docs"), F.col("entity_docs") / total
-    apart = F.when(inside < 1, (1 - inside) * F.log((1 - inside) / (1 - usual))).otherwise(F.lit(0.0))
-    unlikely = F.col("term_docs") * (inside * F.log(inside / usual) + apart) >= math.log(tests / chance)
-    scored = both.filter(unlikely).select("term", share.alias("share")).groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
+    scored = disclosing(candidates.join(counted.withColumnRenamed("docs", "term_docs"), "term"), "term_docs").groupBy("term").agg(F.max("share").alias("share"))
     return scratch.write(scored.select("term", (F.col("share") >= remove).alias("gone")), "disclosing")
 
 
