@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows in even shares for all cores, where what follows costs far more than moving them."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def nt_of(key: Column, salt: str = "", letters: str = NT) -> Column:
     """32 bases for a key."""
     return F.translate(F.md5(F.concat(key.cast("string"), F.lit(salt)).cast("binary")), HEX, letters)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandlake.catalog.base import long, nt_of, sql_aminos, sql_nt, table
+from strandlake.catalog.base import dealt, long, nt_of, sql_aminos, sql_nt, table
 from strandlake.functions.indels import deletion_metrics, eligible_for_shift, insertion_metrics, reported_insertion
 from strandlake.functions.ranges import Range, point_in_codons
 from strandlake.operators import states as st
@@ -477,7 +477,7 @@ SELECT o_orderkey, replace(replace(substr(a, 1, p), '-', ''), '.', '') || 'XY' |
 def _product(spark: SparkSession, sf: str) -> DataFrame:
     """A product of 60 bases for each order: match, insertion, match, deletion, match."""
     k = F.col("o_orderkey").cast("int")
-    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(nt_of(F.col("o_orderkey")), nt_of(F.col("o_orderkey"), "-1"), nt_of(F.col("o_orderkey"), "-2")).alias("nt"), (6 + 3 * (k % 5)).alias("a"), (1 + k % 4).alias("i"), (9 + k % 3).alias("b"), (3 + k % 4).alias("d"))
+    rows = dealt(table(spark, sf, "orders").select("o_orderkey")).select("o_orderkey", F.concat(nt_of(F.col("o_orderkey")), nt_of(F.col("o_orderkey"), "-1"), nt_of(F.col("o_orderkey"), "-2")).alias("nt"), (6 + 3 * (k % 5)).alias("a"), (1 + k % 4).alias("i"), (9 + k % 3).alias("b"), (3 + k % 4).alias("d"))
     a, i, b, d, none = F.col("a"), F.col("i"), F.col("b"), F.col("d"), F.lit(None).cast("int")
     parts = [("M", F.lit(0), a, F.lit(0), a), ("I", a, a + i, a, a), ("M", a + i, a + i + b, a, a + b), ("D", none, none, a + b, a + b + d), ("M", a + i + b, 60 - d + i, a + b + d, F.lit(60))]
     made = F.array(*[F.struct(F.lit(op).alias("op"), *[x.alias(n) for x, n in zip(p, ("q_start", "q_end", "c_start", "c_end"), strict=True)]) for op, *p in parts]).cast(CDS_STATES)

@@ -92,11 +92,15 @@ def padded(pad_aa: bool = True, pad_cds: bool = True) -> dict[str, Column]:
 
 
 def product_rows(materialized: DataFrame, pad_aa: bool = True, pad_cds: bool = True) -> dict[str, DataFrame]:
-    """The tables seq, ins and del. Products without any state have no row."""
+    """The tables seq, ins and del. Products without any state have no row.
+
+    Rows are exploded with a null for empty arrays, which is left out afterwards: else Spark would first filter by the
+    size of the array and push that below all steps, each of which would be written out and computed many times."""
     some = materialized.filter(F.col("kind") != "empty")
     keys = ["query_id", "ctype", "reference_id", "product_name"]
-    ins = some.filter(F.col("kind") == "data").select(*keys, F.explode("ins").alias("x")).select(*keys, "x.*")
-    gone = some.select(*keys, "variant_hash", "cds_id", F.explode("del").alias("x")).select(*keys, "variant_hash", "cds_id", "x.*")
+    of_data = F.when(F.col("kind") == "data", F.col("ins"))
+    ins = materialized.select(*keys, F.explode_outer(of_data).alias("x")).filter("x IS NOT NULL").select(*keys, "x.*")
+    gone = materialized.select(*keys, "variant_hash", "cds_id", F.explode_outer("del").alias("x")).filter("x IS NOT NULL").select(*keys, "variant_hash", "cds_id", "x.*")
     return {"seq": some.withColumns(padded(pad_aa, pad_cds)).select(*names("seq")), "ins": ins.select(*names("ins")), "del": gone.select(*names("del"))}
 
 
@@ -124,7 +128,10 @@ def genome_rows(rows: DataFrame, pad: bool = True) -> dict[str, DataFrame]:
     every = rows.withColumn("every", with_extension(F.col("states"), F.col("stop_end"), F.col("ref_len")))
     own, ins, gone = genome_parts(F.col("every"), F.col("states"), F.col("nt"), F.col("ref_len"), pad)
     keys = ["query_id", "ctype", "reference_id"]
-    return {"gen_seq": every.select(*keys, *[v.alias(k) for k, v in own.items()]), "gen_ins": every.select(*keys, F.inline(ins)), "gen_del": every.select(*keys, F.inline(gone))}
+    # as in product_rows
+    inserted = every.select(*keys, F.inline_outer(ins)).filter("upstream_nt_pos IS NOT NULL")
+    deleted = every.select(*keys, F.inline_outer(gone)).filter("del_start IS NOT NULL")
+    return {"gen_seq": every.select(*keys, *[v.alias(k) for k, v in own.items()]), "gen_ins": inserted, "gen_del": deleted}
 
 
 def with_stop_extension(states: Column, due: Column, q_end: Column, stop_end: Column, cds_len: Column) -> Column:

@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandlake.plans.annotate import annotate, prepare
 from strandlake.plans.module import Module
@@ -157,3 +158,14 @@ def test_round_trip(spark, tmp_path):
     for t, df in tables.items():
         again = read_table(spark, t, paths[t]).drop("kind")
         assert sorted(map(str, again.collect())) == sorted(map(str, df.select(*again.columns).collect())), t
+
+
+def test_rows_of_indels_come_from_one_copy_of_the_steps(spark, tmp_path):
+    """No filter on the size of the arrays goes below the steps that make them, each of which it would repeat."""
+    from strandlake.catalog.relations import product_indels
+
+    spark.range(1, 20).select(F.col("id").alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = product_indels(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 6
+    assert {r["what"] for r in rows.collect()} == {"ins", "del"}
