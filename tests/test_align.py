@@ -119,3 +119,34 @@ def test_runs_of_n_and_large_indels_are_quick():
     long = align(q[:9000] + some(900) + q[9000:20_000] + q[20_600:], ref, p, False)
     assert sorted(int(n) for n in re.findall(r"(\d+)[ID]", long.cigar))[-2:] == [600, 900]
     assert time.perf_counter() - start < 60
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_many_at_a_time_as_one_by_one(seed):
+    rng = random.Random(seed)
+    p = rng.choice([Penalties(5, 4, 10, 1), Penalties(14, 1, 40, 1), Penalties(1, 1, 2, 1), Penalties(2, 3, 3, 3), Penalties(1, 1, 2, 4)])
+    size = rng.choice([1, 2, 3, 50, 90])
+    refs = ["".join(rng.choice("ACGTN") for _ in range(size))] * 2
+    refs[1] = "".join(rng.choice("ACGT") if rng.random() < 0.1 else c for c in refs[0])
+    queries = ["".join(rng.choice([c, c, c, c + "AG", "", "", "T"]) for c in rng.choice(refs)) + "".join(rng.choice("ACGT") for _ in range(rng.randint(0, 9))) for _ in range(40)] + ["", "N", "NNNN"]
+    one_by_one = [best_alignment(q, refs, p, True) for q in queries]
+    assert al.best_alignments(queries, refs, p, True) == one_by_one
+    assert al.best_alignments(queries, refs, p, True, few_cells=0) == [best_alignment(q, refs, p, True, few_cells=0) for q in queries]
+    assert one_by_one == [best_alignment(q, refs, p, True, few_cells=0) for q in queries]
+
+
+def test_small_alignments_are_quick():
+    """2000 different queries of some 120 bases with two references; one by one they took some 4 ms each."""
+    rng = random.Random(3)
+    ref = "".join(rng.choice("ACGT") for _ in range(120))
+    queries = ["".join(rng.choice("ACGT") if rng.random() < 0.05 else c for c in ref) for _ in range(2000)]
+    p, refs = Penalties(14, 1, 40, 1), [ref, ref[:60] + "A" + ref[61:]]
+    best_alignment(queries[0], refs, p, True)
+    start = time.perf_counter()
+    one_by_one = [best_alignment(q, refs, p, True) for q in queries[:100]]
+    single = (time.perf_counter() - start) * 20
+    start = time.perf_counter()
+    assert al.best_alignments(queries, refs, p, True)[:100] == one_by_one
+    took = time.perf_counter() - start
+    print(single, took)
+    assert took < single / 2
