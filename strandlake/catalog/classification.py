@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.catalog.base import long, nt_of, sql_nt, table
+from strandlake.catalog.base import dealt, long, nt_of, sql_nt, table
 from strandlake.functions.iupac import reverse_complement
 from strandlake.operators.classify import KmerIndex, Thresholds, classifier
 from strandlake.sources.config import Reference
@@ -25,11 +25,12 @@ def _copies(spark: SparkSession, sf: str) -> DataFrame:
     """Of ten customers one has a chimera of two nations, one a doubled copy, one bases of its own; the others have a
     copy with a base changed and one unknown, every second one of the other strand."""
     k, own = F.col("c_custkey"), F.col("c_nationkey")
+    rows = dealt(table(spark, sf, "customer").select("c_custkey", "c_nationkey"))
     ref, other = _reference_of(own), _reference_of((own + 1) % 25)
     alone = F.concat(*[nt_of(k, f"-own-{p}") for p in PIECES])
     copied = F.concat(F.substr(ref, F.lit(1), F.lit(60)), F.lit("N"), F.substr(ref, F.lit(62), F.lit(38)), F.translate(F.substr(ref, F.lit(100), F.lit(1)), "ACGT", "CGTA"), F.substr(ref, F.lit(101)))
     made = F.when(k % 10 == 0, F.concat(F.substr(ref, F.lit(1), F.lit(128)), F.substr(other, F.lit(129)))).when(k % 10 == 1, F.concat(ref, ref)).when(k % 10 == 2, alone).otherwise(copied)
-    return table(spark, sf, "customer").select("c_custkey", F.when(k % 2 == 0, made).otherwise(reverse_complement(made)).alias("seq"))
+    return rows.select("c_custkey", F.when(k % 2 == 0, made).otherwise(reverse_complement(made)).alias("seq"))
 
 
 def classify_kmer(spark: SparkSession, sf: str) -> DataFrame:

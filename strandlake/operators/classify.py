@@ -107,47 +107,75 @@ class KmerIndex:
         made = pa.table({"kmer": self.numbers.astype(np.int64).repeat(np.diff(self.first)), "ctype": self.members})
         return spark.createDataFrame(made)
 
-    def hits(self, seq: str, segments: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hits by strand, type and segment, and the k-mers of each segment."""
-        plus, minus, good = kmers(seq, self.k)
-        out = np.zeros((2, len(self.ctypes), segments), np.int64)
-        at = np.arange(len(plus)) * segments // max(len(plus), 1)
-        valid = np.bincount(at[good], minlength=segments)
+    def hits(self, seqs: list[str], segments: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hits of each sequence by strand, type and segment, and the k-mers of each of its segments. All sequences are
+        looked up together: joined by letters that no k-mer has."""
+        plus, minus, good = kmers("-".join(seqs), self.k)
+        sizes = np.array([len(s) for s in seqs])
+        counts = np.maximum(sizes - self.k + 1, 0)
+        owner = np.repeat(np.arange(len(seqs)), sizes + 1)[: len(plus)]
+        at = np.arange(len(plus)) - np.repeat(np.cumsum(sizes + 1) - (sizes + 1), sizes + 1)[: len(plus)]
+        cells = owner * segments + np.minimum(at * segments // np.maximum(counts, 1)[owner], segments - 1)
+        valid = np.bincount(cells[good], minlength=len(seqs) * segments).reshape(-1, segments)
+        per_seq, types = len(self.ctypes) * segments, np.diff(self.first)
+        out = np.zeros((len(seqs), 2, len(self.ctypes), segments), np.int64)
         for strand, numbers in enumerate((plus, minus)):
             place = np.searchsorted(self.numbers, numbers)
             found = np.flatnonzero(good & (place < len(self.numbers)))
             found = found[self.numbers[place[found]] == numbers[found]]
-            lo, many = self.first[place[found]], np.diff(self.first)[place[found]]
+            lo, many = self.first[place[found]], types[place[found]]
             each = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            cell = self.members[each] * segments + np.repeat(at[found], many)
-            out[strand] = np.bincount(cell, minlength=len(self.ctypes) * segments).reshape(-1, segments)
+            own, segment = np.divmod(np.repeat(cells[found], many), segments)
+            cell = own * per_seq + self.members[each] * segments + segment
+            out[:, strand] = np.bincount(cell, minlength=len(seqs) * per_seq).reshape(len(seqs), -1, segments)
         return out, valid
 
 
-def decide(hits: np.ndarray, valid: np.ndarray, length: int, ctypes: tuple[str, ...], longest: tuple[int, ...], t: Thresholds) -> tuple:
-    """The values of ADDED."""
-    n = int(valid.sum())
-    if not n or not len(ctypes):
-        return None, None, "unrecognizable", 0, n, []
+def decide(hits: np.ndarray, valid: np.ndarray, lengths: list[int], ctypes: tuple[str, ...], longest: tuple[int, ...], t: Thresholds) -> list[tuple]:
+    """The values of ADDED for each sequence."""
+    counts = valid.sum(axis=1)
+    if not len(ctypes):
+        return [(None, None, "unrecognizable", 0, n, []) for n in counts.tolist()]
     # types in order, + before -: the first maximum wins ties
-    by_type = hits.transpose(1, 0, 2)
-    total = by_type.sum(axis=2)
-    best = int(total.argmax())
-    which, strand = divmod(best, 2)
-    most = int(total.max())
-    if 100 * most < t.least * n:
-        return None, None, "unrecognizable", most, n, []
-    flat = by_type.reshape(-1, len(valid))
-    leaders, top = flat.argmax(axis=0), flat.max(axis=0)
-    other = (leaders != best) & (top > 0) & (100 * top >= t.of_segment * valid) & (top >= t.clearly * flat[best])
-    if other.any():
-        taxa = sorted({ctypes[which], *(ctypes[i // 2] for i in leaders[other].tolist())})
-        return None, None, "chimeric", most, n, taxa
-    near = np.flatnonzero(100 * total.max(axis=1) >= t.nearly * most)
-    if len(near) > 1:
-        return None, None, "unresolvable", most, n, [ctypes[i] for i in near.tolist()]
-    status = "unusually long" if 100 * length > t.longest * longest[which] else "classified"
-    return ctypes[which], STRANDS[strand], status, most, n, [ctypes[which]]
+    by_type = hits.transpose(0, 2, 1, 3)
+    total = by_type.sum(axis=3)
+    flat = by_type.reshape(len(hits), -1, valid.shape[1])
+    best, mosts = total.reshape(len(hits), -1).argmax(axis=1), total.max(axis=(1, 2))
+    leaders, top = flat.argmax(axis=1), flat.max(axis=1)
+    of_best = np.take_along_axis(flat, best[:, None, None], axis=1)[:, 0]
+    other = (leaders != best[:, None]) & (top > 0) & (100 * top >= t.of_segment * valid) & (top >= t.clearly * of_best)
+    near = 100 * total.max(axis=2) >= t.nearly * mosts[:, None]
+    chimeric, many = other.any(axis=1).tolist(), (near.sum(axis=1) > 1).tolist()
+    out = []
+    for i, (n, most, length, (which, strand)) in enumerate(zip(counts.tolist(), mosts.tolist(), lengths, (divmod(b, 2) for b in best.tolist()), strict=True)):
+        if not n or 100 * most < t.least * n:
+            out.append((None, None, "unrecognizable", most, n, []))
+        elif chimeric[i]:
+            taxa = sorted({ctypes[which], *(ctypes[x // 2] for x in leaders[i][other[i]].tolist())})
+            out.append((None, None, "chimeric", most, n, taxa))
+        elif many[i]:
+            out.append((None, None, "unresolvable", most, n, [ctypes[x] for x in np.flatnonzero(near[i]).tolist()]))
+        else:
+            status = "unusually long" if 100 * length > t.longest * longest[which] else "classified"
+            out.append((ctypes[which], STRANDS[strand], status, most, n, [ctypes[which]]))
+    return out
+
+
+#: Bases, and cells of the counts, of the sequences that are looked up together.
+MOST_BASES, MOST_CELLS = 1 << 18, 1 << 21
+
+
+def together(seqs: list[str], cells: int) -> Iterator[list[str]]:
+    """Sequences in order, so many at a time."""
+    taken, bases = [], 0
+    for s in seqs:
+        if taken and (bases + len(s) > MOST_BASES or (len(taken) + 1) * cells > MOST_CELLS):
+            yield taken
+            taken, bases = [], 0
+        taken.append(s)
+        bases += len(s)
+    if taken:
+        yield taken
 
 
 def _added(rows: list[tuple]) -> list[pa.Array]:
@@ -161,7 +189,9 @@ def _by_search(rows: DataFrame, index: KmerIndex, t: Thresholds, seq_col: str) -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
         for batch in batches:
-            told = [decide(*ix.hits(s or "", t.segments), len(s or ""), ix.ctypes, ix.longest, t) for s in batch.column(seq_col).to_pylist()]
+            told = []
+            for seqs in together([s or "" for s in batch.column(seq_col).to_pylist()], 2 * len(ix.ctypes) * t.segments):
+                told += decide(*ix.hits(seqs, t.segments), [len(s) for s in seqs], ix.ctypes, ix.longest, t)
             yield pa.RecordBatch.from_arrays([*batch.columns, *_added(told)], [*batch.schema.names, *ADDED])
 
     return rows.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", " + ADDED_DDL)
@@ -193,7 +223,7 @@ def _by_join(rows: DataFrame, index: KmerIndex, t: Thresholds, seq_col: str) ->
                     n[v["segment"]] = v["n"]
                 for c in own_counts or ():
                     hits[c["strand"], c["ctype"], c["segment"]] = c["n"]
-                told.append(decide(hits, n, len(s or ""), ctypes, longest, t))
+                told += decide(hits[None], n[None], [len(s or "")], ctypes, longest, t)
             kept = [n for n in batch.schema.names if n not in ("valid", "counts")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *_added(told)], [*kept, *ADDED])
 

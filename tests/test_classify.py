@@ -99,3 +99,25 @@ def test_prepare_turns_and_drops(spark, case):
     got = {r.query_id: (r.ctype, r.nt) for r in prepare(raw, classifier=tell).collect()}
     assert got == {"p": ("A", refs["A"]), "q": ("given", refs["B"])}
     assert {r.id: r.status for r in unclassified(raw, tell).collect()} == {"r": "unrecognizable", "s": "chimeric"}
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_hits_of_many_sequences_as_of_each(seed):
+    """By looking up each k-mer of each sequence; none spans two sequences."""
+    rng = random.Random(seed)
+    letters = "ACGT"
+    k, segments = rng.choice([3, 5]), 4
+    index = KmerIndex.of([Reference(f"r{i}", "ABC"[i % 3], 0, "".join(rng.choice(letters) for _ in range(40))) for i in range(5)], k)
+    seqs = ["".join(rng.choice("ACGTNU") for _ in range(rng.choice([0, 1, k - 1, k, k + 1, 30, 77]))) for _ in range(25)]
+    got, valid = index.hits(seqs, segments)
+    for s, hits, own in zip(seqs, got, valid, strict=True):
+        plus, minus, good = kmers(s, k)
+        want, want_valid = np.zeros_like(hits), np.zeros_like(own)
+        for at in np.flatnonzero(good).tolist():
+            segment = at * segments // len(plus)
+            want_valid[segment] += 1
+            for strand, numbers in enumerate((plus, minus)):
+                for i in np.flatnonzero(index.numbers == numbers[at]).tolist():
+                    for member in index.members[index.first[i] : index.first[i + 1]].tolist():
+                        want[strand, member, segment] += 1
+        assert (hits == want).all() and (own == want_valid).all()
