@@ -340,10 +340,12 @@ class Join:
         self.scratch = Scratch(self.spark, "jaccard")
         self.docs = docs
         order = token_order(docs, self.scratch, words, least, most_ordered)
-        signed = self.scratch.write(signatures(docs, order, percent, words), "signed")
+        made = signatures(docs, order, percent, words)
+        signed = self.scratch.write(made.drop("prefix"), "signed")
         some = signed.filter(F.col("n") > 0)
         self.classes = self.scratch.write(some.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("coarse").alias("coarse")), "classes")
-        self.rows = self.lists(signed)
+        # prefixes hold most of a signature's bytes, so they are made again where they are needed and not written
+        self.rows = self.lists(made)
         self.signed = self.scratch.write(signed.select("doc_id", "h1", "h2", "sid", "n"), "names")
         self.scratch.drop("signed")
 
@@ -352,7 +354,7 @@ class Join:
         groups = self.classes.groupBy("gid").agg(F.count("*").alias("members"), F.first("n").alias("n"), F.min("sid").alias("sid"), F.first("coarse").alias("coarse"))
         groups = self.scratch.write(groups, "groups")
         several = F.col("members") > 1
-        self.several = groups.filter(several).select("gid")
+        self.several = self.scratch.write(groups.filter(several).select("gid"), "several")
         self.any_several = not self.several.isEmpty()
         shared = self.scratch.write(shared_rows(signed.filter(F.size("prefix") > 0)), "shared")
         along = Window.partitionBy("g").orderBy("pos")
@@ -364,7 +366,8 @@ class Join:
         if self.any_several:
             met = met.unionByName(self.members(self.several.select(F.xxhash64("gid").alias("key"), F.col("gid").alias("node"), F.lit(-1).alias("side"))))
         rows = self.scratch.write(met, "rows0")
-        self.scratch.drop("shared")
+        for made in ("shared", "groups"):
+            self.scratch.drop(made)
         return rows
 
     def members(self, ends: DataFrame) -> DataFrame:
