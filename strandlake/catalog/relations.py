@@ -331,7 +331,7 @@ weights AS (SELECT CAST(c_nationkey AS VARCHAR) AS reference_id, 'p' || c_custke
 def products_with_config(spark: SparkSession, sf: str) -> DataFrame:
     """Groups with their products, these with their weights; missing ones leave nothing there."""
     refs, specs, weights = _module_tables(spark, sf)
-    rows = tables.groups(refs).join(tables.products(specs, weights), ["reference_id", "ctype"], "left")
+    rows = tables.groups(refs).join(tables.products(specs, weights).hint("merge"), ["reference_id", "ctype"], "left")
     size = F.element_at("exons", -1)["cds_end"]
     entries = F.array_join(F.array_sort(F.transform(F.map_entries("weights"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
     return rows.select("reference_id", "ctype", long(F.size("seqs")).alias("n_seqs"), long("ref_len").alias("ref_len"), F.coalesce("product_name", F.lit("")).alias("product_name"), long(F.coalesce(size, F.lit(0))).alias("cds_len"), F.coalesce(entries, F.lit("")).alias("weights"))

@@ -73,12 +73,12 @@ def _pair_problem(pair: Column) -> Column:
 
 def products(specs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """reference_id, ctype, product_name, exons, required_start; with ``weights``, counts by position and codon, null
-    for a product without any."""
+    for a product without any. Maps of weights grow with their table, so they are never sent through the driver."""
     out = specs.select("reference_id", "ctype", "product_name", exons(F.col("ranges")).alias("exons"), "required_start")
     if weights is None:
         return out
     counts = F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "position", "codon"), "count"))).alias("weights")
-    return out.join(weights.groupBy("reference_id", "product_name").agg(counts), ["reference_id", "product_name"], "left")
+    return out.join(weights.groupBy("reference_id", "product_name").agg(counts).hint("merge"), ["reference_id", "product_name"], "left")
 
 
 def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:

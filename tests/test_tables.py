@@ -117,3 +117,11 @@ def test_carried_over_blocks_without_a_header(spark):
         now = None if f == "g" else f"h{b}" if h else now
         want[f, b, i] = now
     assert got == want
+
+
+def test_products_and_weights_are_not_sent_through_the_driver(spark):
+    specs = spark.createDataFrame([("R", "T", "p", [(0, 3)], None)], "reference_id string, ctype string, product_name string, ranges array<struct<start:int,end:int>>, required_start string")
+    weights = spark.createDataFrame([("R", "p", 1, "ATG", 5)], "reference_id string, product_name string, position int, codon string, count int")
+    rows = tables.products(specs, weights)
+    assert rows.select("weights").collect()[0][0] == {"1:ATG": 5}
+    assert "BroadcastExchange" not in rows._jdf.queryExecution().executedPlan().toString()
