@@ -12,9 +12,14 @@ def written_range(start: Column, end: Column) -> Column:
     return F.concat((start + 1).cast("string"), F.lit(".."), end.cast("string"))
 
 
+def written(start: Column, end: Column) -> Column:
+    """A range, or an insertion point, which has no end."""
+    return F.when(end.isNull(), start.cast("string")).otherwise(written_range(start, end))
+
+
 def format_ranges(ranges: Column) -> Column:
     """array<struct<start, end>>; an insertion point has no end."""
-    return F.array_join(F.transform(ranges, lambda r: F.when(r["end"].isNull(), r["start"].cast("string")).otherwise(written_range(r["start"], r["end"]))), ";")
+    return F.array_join(F.transform(ranges, lambda r: written(r["start"], r["end"])), ";")
 
 
 def _parsed(text: Column) -> tuple[Column, Column]:

@@ -33,7 +33,7 @@ def reverse_complement(seq: Column) -> Column:
 
 def plain(codon: Column) -> Column:
     """U as T, for comparing."""
-    return F.translate(codon, "U", "T")
+    return F.replace(codon, F.lit("U"), F.lit("T"))
 
 
 def amino_of(codon: str) -> str:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.coords import format_ranges
+from strandlake.functions.coords import written
 from strandlake.functions.indels import deletion_metrics, insertion_metrics, reported_insertion
-from strandlake.functions.iupac import amino_list, genome_id, variant_hash
+from strandlake.functions.iupac import genome_id, translate_exact, variant_hash
 from strandlake.schema import CDS_STATES, STATES, names
 
 
@@ -17,7 +17,7 @@ def bases(nt: Column, s: Column) -> Column:
 
 def aligned(states: Column, nt: Column, lpad: Column, start: str = "c_start", end: str = "c_end") -> Column:
     """Padding, then matched bases, with gaps for deletions; insertions are left out."""
-    parts = F.transform(F.filter(states, lambda s: s["op"] != "I"), lambda s: F.when(s["op"] == "M", bases(nt, s)).otherwise(F.repeat(F.lit("-"), s[end] - s[start])))
+    parts = F.transform(states, lambda s: F.when(s["op"] == "M", bases(nt, s)).when(s["op"] != "I", F.repeat(F.lit("-"), s[end] - s[start])))
     return F.concat(F.repeat(F.lit("."), lpad), F.array_join(parts, ""))
 
 
@@ -42,32 +42,30 @@ def materialize_products(rows: DataFrame) -> DataFrame:
     states, nt = F.col("states"), F.col("nt")
     n = F.size(states)
     kind = F.when(n == 0, "empty").when((n == 1) & (F.try_element_at(states, F.lit(1))["op"] == "D"), "deleted").otherwise("data")
-    out = rows.withColumns({"kind": kind, "__aln": aligned(states, nt, F.col("lpad"))}).withColumn("__aa", amino_list(F.col("__aln")))
-    out = out.withColumn("__at", F.array_position("__aa", "*").cast("int"))
+    out = rows.withColumns({"kind": kind, "__aln": aligned(states, nt, F.col("lpad"))}).withColumn("__aa", translate_exact(F.col("__aln")))
+    out = out.withColumn("__at", F.instr("__aa", "*"))
     stopped, stop = F.col("__at") > 0, 3 * F.col("__at")
     rest = F.when(F.length("__aln") % 3 > 0, F.lit("~")).otherwise(F.lit(""))
-    terminal = F.transform(states, lambda s, i: F.struct(s["op"].alias("op"), s["q_start"].alias("q_start"), s["q_end"].alias("q_end"), s["c_start"].alias("c_start"), s["c_end"].alias("c_end"), ((i == 0) | (i == n - 1)).alias("edge")))
-    kept = F.filter(terminal, lambda s: ~stopped | (s["c_start"] < stop))
-    cut = F.transform(kept, lambda s: F.struct(s["op"].alias("op"), s["q_start"].alias("q_start"), F.when(stopped & (s["op"] == "M") & (s["c_end"] > stop), s["q_end"] - (s["c_end"] - stop)).otherwise(s["q_end"]).alias("q_end"), s["c_start"].alias("c_start"), F.when(stopped & (s["op"] == "M"), F.least(s["c_end"], stop)).otherwise(s["c_end"]).alias("c_end"), s["edge"].alias("edge")))
+    cut = F.transform(states, lambda s, i: F.struct(s["op"].alias("op"), s["q_start"].alias("q_start"), F.when(stopped & (s["op"] == "M") & (s["c_end"] > stop), s["q_end"] - (s["c_end"] - stop)).otherwise(s["q_end"]).alias("q_end"), s["c_start"].alias("c_start"), F.when(stopped & (s["op"] == "M"), F.least(s["c_end"], stop)).otherwise(s["c_end"]).alias("c_end"), ((i == 0) | (i == n - 1)).alias("edge")))
     out = out.withColumns(
         {
-            "__kept": cut,
+            "__kept": F.filter(cut, lambda s: ~stopped | (s["c_start"] < stop)),
             "cds_aln": F.when(stopped, F.substr("__aln", F.lit(1), stop)).otherwise(F.col("__aln")),
-            "aa_aln": F.when(stopped, F.array_join(F.slice("__aa", F.lit(1), F.col("__at")), "")).otherwise(F.concat(F.array_join("__aa", ""), rest)),
+            "aa_aln": F.when(stopped, F.substr("__aa", F.lit(1), F.col("__at"))).otherwise(F.concat("__aa", rest)),
             "cds_rpad": F.when(stopped, F.col("cds_len") - stop).otherwise(F.col("rpad")),
         }
     )
     k = F.col("__kept")
-    read = F.filter(k, lambda s: s["op"] != "D")
+    read = lambda text, between: F.array_join(F.transform(k, lambda s: F.when(s["op"] != "D", text(s))), between)
     whole = lambda s: F.when(s["op"] == "D", s["c_end"] - s["c_start"]).otherwise(s["q_end"] - s["q_start"]) % 3 == 0
     inserted = F.filter(k, lambda s: (s["op"] == "I") & reported_insertion(bases(nt, s)))
     out = out.withColumns(
         {
-            "cds_seq": F.array_join(F.transform(read, lambda s: bases(nt, s)), ""),
+            "cds_seq": read(lambda s: bases(nt, s), ""),
             "has_insertion": F.exists(k, lambda s: s["op"] == "I"),
             "has_shift_indel": F.exists(k, lambda s: ((s["op"] == "I") | ((s["op"] == "D") & ~s["edge"])) & ~whole(s)),
-            "query_coordinates": format_ranges(F.transform(read, lambda s: F.struct(s["q_start"].alias("start"), s["q_end"].alias("end")))),
-            "cds_coordinates": format_ranges(F.transform(read, lambda s: F.struct(s["c_start"].alias("start"), F.when(s["op"] == "M", s["c_end"]).alias("end")))),
+            "query_coordinates": read(lambda s: written(s["q_start"], s["q_end"]), ";"),
+            "cds_coordinates": read(lambda s: written(s["c_start"], F.when(s["op"] == "M", s["c_end"])), ";"),
             "ins": F.transform(inserted, lambda s: F.struct(*[v.alias(c) for c, v in insertion_metrics(s["c_start"], bases(nt, s)).items()])),
             "del": F.transform(F.filter(k, lambda s: s["op"] == "D"), lambda s: F.struct(*[v.alias(c) for c, v in deletion_metrics(s["c_start"], s["c_end"]).items()])),
             "aa_rpad": F.floor(F.col("cds_rpad") / 3).cast("int"),
@@ -95,13 +93,15 @@ def product_rows(materialized: DataFrame, pad_aa: bool = True, pad_cds: bool = T
     """The tables seq, ins and del. Products without any state have no row.
 
     Rows are exploded with a null for empty arrays, which is left out afterwards: else Spark would first filter by the
-    size of the array and push that below all steps, each of which would be written out and computed many times."""
-    some = materialized.filter(F.col("kind") != "empty")
+    size of the array, or by kind, and push that below all steps, each of which would be written out and computed many
+    times, and below the dealing of rows to all cores."""
     keys = ["query_id", "ctype", "reference_id", "product_name"]
     of_data = F.when(F.col("kind") == "data", F.col("ins"))
     ins = materialized.select(*keys, F.explode_outer(of_data).alias("x")).filter("x IS NOT NULL").select(*keys, "x.*")
     gone = materialized.select(*keys, "variant_hash", "cds_id", F.explode_outer("del").alias("x")).filter("x IS NOT NULL").select(*keys, "variant_hash", "cds_id", "x.*")
-    return {"seq": some.withColumns(padded(pad_aa, pad_cds)).select(*names("seq")), "ins": ins.select(*names("ins")), "del": gone.select(*names("del"))}
+    some = F.when(F.col("kind") != "empty", F.array(F.struct(*names("seq"))))
+    seq = materialized.withColumns(padded(pad_aa, pad_cds)).select(F.explode_outer(some).alias("x")).filter("x IS NOT NULL").select("x.*")
+    return {"seq": seq, "ins": ins.select(*names("ins")), "del": gone.select(*names("del"))}
 
 
 def with_extension(states: Column, stop_end: Column, ref_len: Column) -> Column:

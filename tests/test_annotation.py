@@ -169,3 +169,14 @@ def test_rows_of_indels_come_from_one_copy_of_the_steps(spark, tmp_path):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") <= 6
     assert {r["what"] for r in rows.collect()} == {"ins", "del"}
+
+
+def test_products_are_dealt_before_any_step(spark, tmp_path):
+    """Leaving out empty products is no filter on their steps below the dealing of rows, where few tasks would do it."""
+    from strandlake.catalog.relations import product_materialize
+
+    spark.range(1, 20).select(F.col("id").alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = product_materialize(spark, str(tmp_path))
+    _, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Repartition")
+    assert "struct" not in below
+    assert sorted(int(r["query_id"]) for r in rows.collect()) == list(range(1, 20))
